@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from tapeline.plans import curation  # noqa: F401
+from tapeline.plans import curation, meshes  # noqa: F401
 from tapeline.plans.registry import OPERATORS, ORACLE, QUERIES  # noqa: F401

@@ -149,3 +149,80 @@ def survey_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return C.canonicalize(long, C.infer_units(long, ["row_idx", "value"]))
 
 
+
+
+def cloud(spark: SparkSession, sf: str) -> DataFrame:
+    """Vertex table from ``lineitem``: one case per supplier, quantity / price / discount as x / y / z."""
+    li = spread(
+        table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+        )
+    )
+    row_idx = (
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000003 + F.col("l_partkey")
+    ) * 10007 + F.col("l_suppkey")
+    return li.select(
+        F.col("l_suppkey").alias("case_id"), row_idx.alias("vertex_id"),
+        (F.col("l_quantity") / 50.0).alias("x"), (F.col("l_extendedprice") / 100000.0).alias("y"),
+        F.col("l_discount").alias("z"), (F.col("l_tax") * 10.0).alias("arm_w"),
+    )
+
+
+CLOUD = """cloud AS (
+  SELECT l_suppkey AS case_id, ((l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey) * 10007 + l_suppkey AS vertex_id,
+    l_quantity / 50.0::DOUBLE AS x, l_extendedprice / 100000.0::DOUBLE AS y, l_discount AS z, l_tax * 10.0::DOUBLE AS arm_w,
+    CAST(round(l_quantity) AS BIGINT) AS u, CAST(round(l_discount * 100) AS BIGINT) AS v FROM lineitem
+)"""
+
+BOXES = """boxes AS (
+  SELECT *, x_max - x_min AS span_x, y_max - y_min AS span_y, z_max - z_min AS span_z FROM (
+    SELECT case_id, count(*) AS n_verts, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max,
+      min(z) AS z_min, max(z) AS z_max, avg(x) AS x_mean, avg(y) AS y_mean, avg(z) AS z_mean FROM cloud GROUP BY 1)
+)"""
+
+
+def sql_bands(bands: dict) -> str:
+    rows = ", ".join(f"('{k}', {b[0]}::DOUBLE, {b[1]}::DOUBLE, '{b[2]}', '{b[3]}')" for k, b in bands.items())
+    return f"bands AS (SELECT * FROM (VALUES {rows}) t(key, lo, hi, rule, tie))"
+
+
+def sql_slices(adaptive: bool = True, axis: str = "y", lo: str = "y_min", span: str = "span_y", src: str = "cloud") -> str:
+    tol = (
+        "greatest(least(greatest(list_sort([span_x, span_y, span_z])[2] * 0.002, base), 0.01), 1e-5)" if adaptive else "base"
+    )
+    return f"""planes AS (
+  SELECT case_id, key, slice, start + slice * step AS y_slice, {tol} AS tolerance FROM (
+    SELECT *, step * 0.5 AS base FROM (
+      SELECT *, (stop - start) / 19 AS step FROM (
+        SELECT b.*, k.key, b.{lo} + k.lo * b.{span} AS start, b.{lo} + k.hi * b.{span} AS stop FROM boxes b, bands k))),
+    (SELECT CAST(range AS INTEGER) AS slice FROM range(20))
+),
+sp AS (SELECT p.case_id, p.key, p.slice, p.y_slice, c.* EXCLUDE (case_id) FROM planes p JOIN {src} c
+  ON p.case_id = c.case_id AND abs(c.{axis} - p.y_slice) < p.tolerance)"""
+
+
+def sql_hull(src: str, keys: str, su: str = "50.0", sv: str = "100.0", out: str = "hulls") -> str:
+    """Hull perimeter and area per group by definition: an edge has every other point on its left."""
+    on = lambda a, b: " AND ".join(f"{a}.{k.strip()} = {b}.{k.strip()}" for k in keys.split(","))
+    ks = ", ".join(f"p.{k.strip()}" for k in keys.split(","))
+    cross = "((q.u - p.u) * (r.v - p.v) - (q.v - p.v) * (r.u - p.u))"
+    dot = "((r.u - p.u) * (r.u - q.u) + (r.v - p.v) * (r.v - q.v))"
+    return f"""d_{out} AS (SELECT DISTINCT {keys}, u, v FROM {src}),
+e_{out} AS (
+  SELECT {ks}, p.u AS pu, p.v AS pv, q.u AS qu, q.v AS qv FROM d_{out} p JOIN d_{out} q ON {on('p', 'q')} AND (p.u <> q.u OR p.v <> q.v)
+  WHERE NOT EXISTS (SELECT 1 FROM d_{out} r WHERE {on('r', 'p')} AND ({cross} < 0 OR ({cross} = 0 AND {dot} > 0)))
+),
+{out} AS (
+  SELECT {keys}, sum(sqrt(((qu - pu) / {su}) ** 2 + ((qv - pv) / {sv}) ** 2)) AS perimeter_m,
+    abs(sum((pu * qv - qu * pv) / ({su} * {sv}))) / 2 AS area_m2 FROM e_{out} GROUP BY ALL
+)"""
+
+
+SLICE_ROWS = """cnt AS (SELECT case_id, key, slice, min(y_slice) AS y_slice, count(*) AS n_points, count(DISTINCT (u, v)) AS nd,
+  max(x) - min(x) AS width_m, max(z) - min(z) AS depth_m FROM sp GROUP BY 1, 2, 3),
+st AS (SELECT c.*, round(h.perimeter_m, 9) AS p FROM cnt c JOIN hulls h USING (case_id, key, slice) WHERE c.nd >= 3)"""
+
+PICKED = """md AS (SELECT case_id, key, quantile_cont(p, 0.5) AS med, count(*) AS n_candidates FROM st GROUP BY 1, 2),
+picked AS (SELECT * FROM (SELECT st.*, md.n_candidates, row_number() OVER (PARTITION BY st.case_id, st.key ORDER BY
+    CASE b.rule WHEN 'max' THEN -p WHEN 'min' THEN p ELSE round(abs(p - med), 9) END, CASE b.tie WHEN 'high' THEN -slice ELSE slice END) AS rn
+  FROM st JOIN md ON st.case_id = md.case_id AND st.key = md.key JOIN bands b ON b.key = st.key) WHERE rn = 1)"""
