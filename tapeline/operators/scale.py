@@ -46,8 +46,11 @@ def _present() -> Column:
     return F.when(F.col("_n") > 0, F.col("_v")).isNotNull()
 
 
-def quantiles_of_counts(counts: DataFrame, probs: dict[str, float], splits: int = 64) -> DataFrame:
-    """Exact quantiles from :func:`value_counts`, keyed by ``_g``.
+def quantiles_of_counts(
+    counts: DataFrame, probs: dict[str, float], splits: int = 64, nearest: bool = False
+) -> DataFrame:
+    """Exact quantiles from :func:`value_counts`, keyed by ``_g``: linear interpolation between ranks, or
+    with ``nearest`` the value at rank ``floor(n * p)`` (the last one when that is past the end).
 
     1. draw ``splits`` distinct values per group by hash order as cut points: the draw depends on
        the data only, so a recomputed stage sees the same cuts;
@@ -74,9 +77,14 @@ def quantiles_of_counts(counts: DataFrame, probs: dict[str, float], splits: int
         .withColumn("_end", F.sum("_bn").over(by_bucket))
         .withColumn("_tot", F.sum("_bn").over(Window.partitionBy("_g")))
     )
+    def rank_of(p):
+        if nearest:
+            return F.least(F.floor(F.col("_tot") * F.lit(float(p))), F.col("_tot") - 1).cast("double")
+        return (F.col("_tot") - 1) * F.lit(float(p))
+
     ranks = []
     for i, p in enumerate(probs.values()):
-        h = (F.col("_tot") - 1) * F.lit(float(p))
+        h = rank_of(p)
         ranks.append(F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), F.floor(h).alias("pos")))
         ranks.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), F.ceil(h).alias("pos")))
     wanted = (
@@ -113,17 +121,17 @@ def quantiles_of_counts(counts: DataFrame, probs: dict[str, float], splits: int
     out = hits.groupBy("_g").agg(*aggs)
     cols = []
     for i, (name, p) in enumerate(probs.items()):
-        h = (F.col("_tot") - 1) * F.lit(float(p))
+        h = rank_of(p)
         lo, hi = F.col(f"_q{i}_0"), F.col(f"_q{i}_1")
         cols.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
     return out.select("_g", *cols)
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], splits: int = 64
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], splits: int = 64, nearest: bool = False
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles per group, one output column per entry of ``probs``."""
-    out = quantiles_of_counts(value_counts(df, keys, value), probs, splits)
+    """Exact quantiles per group, one output column per entry of ``probs``."""
+    out = quantiles_of_counts(value_counts(df, keys, value), probs, splits, nearest)
     return out.select(*[F.col("_g")[k].alias(k) for k in keys], *probs)
 
 

@@ -226,3 +226,53 @@ PICKED = """md AS (SELECT case_id, key, quantile_cont(p, 0.5) AS med, count(*) A
 picked AS (SELECT * FROM (SELECT st.*, md.n_candidates, row_number() OVER (PARTITION BY st.case_id, st.key ORDER BY
     CASE b.rule WHEN 'max' THEN -p WHEN 'min' THEN p ELSE round(abs(p - med), 9) END, CASE b.tie WHEN 'high' THEN -slice ELSE slice END) AS rn
   FROM st JOIN md ON st.case_id = md.case_id AND st.key = md.key JOIN bands b ON b.key = st.key) WHERE rn = 1)"""
+
+
+def results(spark: SparkSession, sf: str) -> DataFrame:
+    """Measurement results from ``events``: user = case, type = key, day = run; ``k`` of the properties
+    decides missing values and warnings."""
+    e = table(spark, sf, "events")
+    k = F.regexp_extract("props", r'"k": (\d+)', 1).cast("int")
+    key = F.concat(F.upper("event_type"), F.lit("_M"))
+    none = F.array().cast("array<string>")
+    warnings = (
+        F.when(F.col("k") >= 80, F.array(F.concat(F.lit("SCALE_SUSPECTED:"), F.col("standard_key")), F.lit("RANGE_SUSPECTED")))
+        .when(F.col("k") >= 60, F.array(F.lit("EXEC_FAIL:TYPE_ERROR")))
+        .when(F.col("k") >= 55, F.array(F.lit("EXEC_FAIL:VALUE_ERROR"), F.lit("NOTE")))
+        .otherwise(none)
+    )
+    kind = F.when(F.col("user_id") % 3 == 0, "normal_").when(F.col("user_id") % 3 == 1, "varied_").otherwise("other_")
+    e = e.withColumn("k", k).withColumn("standard_key", key)
+    return e.select(
+        F.concat(kind, F.col("user_id").cast("string")).alias("case_id"), "event_id",
+        F.concat(F.lit("run_"), F.date_format("ts", "yyyyMMdd")).alias("run_id"), "standard_key", "k",
+        F.when((F.col("k") < 10) | (F.col("k") >= 90), None).otherwise(F.col("value")).alias("value"),
+        warnings.alias("warnings"),
+    )
+
+
+RESULTS = """results AS (
+  SELECT CASE user_id % 3 WHEN 0 THEN 'normal_' WHEN 1 THEN 'varied_' ELSE 'other_' END || CAST(user_id AS VARCHAR) AS case_id, event_id,
+    'run_' || strftime(ts, '%Y%m%d') AS run_id, standard_key, k, CASE WHEN k < 10 OR k >= 90 THEN NULL ELSE value END AS value,
+    CASE WHEN k >= 80 THEN ['SCALE_SUSPECTED:' || standard_key, 'RANGE_SUSPECTED'] WHEN k >= 60 THEN ['EXEC_FAIL:TYPE_ERROR']
+      WHEN k >= 55 THEN ['EXEC_FAIL:VALUE_ERROR', 'NOTE'] ELSE [] END AS warnings
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k, upper(event_type) || '_M' AS standard_key FROM events)
+)"""
+
+
+def residuals(spark: SparkSession, sf: str) -> DataFrame:
+    """Three residuals (metres) per line from ``lineitem``; NULL hip where the discount is zero."""
+    li = table(spark, sf, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
+        ((F.col("l_quantity") - 25) / 1000).alias("BUST_CIRC_M"),
+        ((F.col("l_extendedprice") - 50000) / 500000).alias("WAIST_CIRC_M"),
+        F.when(F.col("l_discount") != 0, (F.col("l_tax") - F.col("l_discount")) / 2).alias("HIP_CIRC_M"),
+    )
+
+
+RESIDUALS = """residuals AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, (l_quantity - 25) / 1000::DOUBLE AS b, (l_extendedprice - 50000) / 500000::DOUBLE AS w,
+    CASE WHEN l_discount <> 0 THEN (l_tax - l_discount) / 2::DOUBLE END AS h FROM lineitem
+),
+scored AS (SELECT *, greatest(0, least(100, 100 - (abs(b) * 100 + abs(w) * 100 + coalesce(abs(h) * 100, 0)))) AS score FROM residuals)"""

@@ -115,14 +115,14 @@ def scale_repair(spark, sf):
     "pelvis_frame", "A55",
     with_sql(CLOUD, BOXES, """
 SELECT c.case_id, count(*) FILTER (WHERE b) AS n_band,
-  round(CASE WHEN count(*) FILTER (WHERE b) >= 3 THEN avg(x) FILTER (WHERE b) ELSE avg(x) END, 9) AS ox,
-  round(CASE WHEN count(*) FILTER (WHERE b) >= 3 THEN avg(y) FILTER (WHERE b) ELSE avg(y) END, 9) AS oy,
-  round(CASE WHEN count(*) FILTER (WHERE b) >= 3 THEN avg(z) FILTER (WHERE b) ELSE avg(z) END, 9) AS oz
+  round(CASE WHEN count(*) FILTER (WHERE b) >= 3 THEN avg(x) FILTER (WHERE b) ELSE avg(x) END * count(*) FILTER (WHERE b), 7) AS ox,
+  round(CASE WHEN count(*) FILTER (WHERE b) >= 3 THEN avg(y) FILTER (WHERE b) ELSE avg(y) END * count(*) FILTER (WHERE b), 7) AS oy,
+  round(CASE WHEN count(*) FILTER (WHERE b) >= 3 THEN avg(z) FILTER (WHERE b) ELSE avg(z) END * count(*) FILTER (WHERE b), 7) AS oz
 FROM (SELECT c.*, y >= y_min + 0.45::DOUBLE * span_y AND y <= y_min + 0.55::DOUBLE * span_y AS b FROM cloud c JOIN boxes USING (case_id)) c GROUP BY 1"""),
 )
 def pelvis_frame(spark, sf):
     v = cloud(spark, sf)
-    return G.pelvis_frames(v, G.bounding_boxes(v)).select("case_id", "n_band", r9("ox"), r9("oy"), r9("oz"))
+    return G.pelvis_frames(v, G.bounding_boxes(v)).select("case_id", "n_band", *[F.round(F.col(c) * F.col("n_band"), 7).alias(c) for c in ("ox", "oy", "oz")])
 
 
 @query(
