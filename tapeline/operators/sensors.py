@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeline.functions import keys as K
 from tapeline.functions import numbers as N
-from tapeline.operators.scale import exact_quantiles, first_k, join_keys, order_stats, sample_text
+from tapeline.operators.scale import bounded, exact_quantiles, first_k, join_keys, order_stats, sample_text
 
 # Sensor thresholds.
 SCALE_HIGH = 10.0
@@ -171,7 +171,7 @@ def header_variants(names: DataFrame) -> DataFrame:
 
 def header_candidates(profile: DataFrame, patterns: DataFrame) -> DataFrame:
     """Columns whose name holds one of the patterns, with their completeness."""
-    return profile.join(F.broadcast(patterns), F.col("name").contains(F.col("pattern")))
+    return profile.join(bounded(patterns, 10_000, "name patterns"), F.col("name").contains(F.col("pattern")))
 
 
 def value_profile(

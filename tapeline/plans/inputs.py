@@ -276,3 +276,38 @@ RESIDUALS = """residuals AS (
     CASE WHEN l_discount <> 0 THEN (l_tax - l_discount) / 2::DOUBLE END AS h FROM lineitem
 ),
 scored AS (SELECT *, greatest(0, least(100, 100 - (abs(b) * 100 + abs(w) * 100 + coalesce(abs(h) * 100, 0)))) AS score FROM residuals)"""
+
+
+# The same text runs on Spark and as the comparison SQL: a progress log derived from ``events``.
+PROGRESS_SELECT = """SELECT event_id AS ordinal, ts, k,
+    CASE user_id % 3 WHEN 0 THEN 'body' WHEN 1 THEN 'fitting' ELSE 'garment' END AS module,
+    CASE event_type WHEN 'click' THEN 'round_start' WHEN 'signup' THEN 'round_end' ELSE event_type END AS event_type,
+    CASE WHEN k < 8 THEN 'UNSPECIFIED' WHEN k >= 12 THEN 'S' || CAST(user_id % 20 AS STRING) END AS step_id,
+    CASE WHEN k % 5 = 0 THEN ' ' ELSE 'R' || substr(CAST(ts AS STRING), 9, 2) END AS round_id,
+    CASE WHEN k < 70 THEN 'short' WHEN k = 88 THEN 'referenced_line=' || CAST(user_id AS STRING) || '/' || CAST(event_id - 5 AS STRING)
+      ELSE 'a longer note, k=' || CAST(k AS STRING) END AS note,
+    CASE WHEN k = 97 THEN 'not-a-time' ELSE substr(CAST(ts AS STRING), 1, 10) || 'T' || substr(CAST(ts AS STRING), 12, 8)
+      || CASE WHEN k % 2 = 0 THEN 'Z' ELSE '+09:00' END END AS ts_text,
+    CASE WHEN k < 20 THEN '"STEP_ID_MISSING"' WHEN k < 30 THEN '["STEP_ID_BACKFILLED","EXTRA"]' WHEN k < 40 THEN '[]'
+      WHEN k = 88 THEN '["SCHEMA_VIOLATION_BACKFILLED"]' END AS gate_codes,
+    CASE WHEN k BETWEEN 40 AND 45 THEN '[EVENT_THIN] few words' WHEN k BETWEEN 46 AND 50 THEN 'plain text' ELSE '' END AS warning,
+    CAST(k % 3 AS INT) AS dod_done_delta, CASE WHEN k % 7 <> 0 THEN CAST(5 + k % 4 AS INT) END AS dod_total,
+    CASE WHEN k % 4 = 3 THEN '' ELSE 'exports/runs/lane' || CAST(user_id % 4 AS STRING) || '/run_' || substr(CAST(ts AS STRING), 9, 2) || '/'
+      || CASE k % 4 WHEN 0 THEN 'geometry_manifest.json:12' WHEN 1 THEN 'facts_summary.json' ELSE 'RUN_README.md' END END AS path1,
+    CASE WHEN k % 6 = 0 THEN 'exports/runs/other/run_x/geometry_manifest.json' ELSE 'docs' || chr(92) || 'note.md' END AS path2
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT) AS k FROM events)"""
+PROGRESS = "progress AS (\n  " + PROGRESS_SELECT + "\n)"
+
+
+def progress(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events")
+    p = spark.sql(PROGRESS_SELECT.replace("FROM events)", "FROM {events})"), events=events)
+    from tapeline.functions.times import event_time
+
+    return p.withColumns(
+        {
+            "warnings": F.filter(F.array("warning"), lambda w: w != ""),
+            "paths": F.array("path2", "path1"),
+            "time": event_time(F.col("ts_text")),
+        }
+    )
