@@ -369,16 +369,14 @@ def glossary_join(spark, sf):
 
 
 MATCH = """tr AS (SELECT DISTINCT split_part(p_name, ' ', CAST(1 + p_size % 2 AS INTEGER)) AS term FROM part),
-hd AS (SELECT name, row_number() OVER (ORDER BY name) AS position FROM (SELECT DISTINCT CASE WHEN p_size < 25 THEN p_name ELSE split_part(p_name, ' ', 1) END AS name FROM part))"""
+hd AS (SELECT name, name AS position FROM (SELECT DISTINCT CASE WHEN p_size < 25 THEN p_name ELSE split_part(p_name, ' ', 1) END AS name FROM part))"""
 
 
 def _match(spark, sf):
-    from pyspark.sql import Window
-
     p = table(spark, sf, "part")
     terms = p.select(F.element_at(F.split("p_name", " "), F.col("p_size") % 2 + 1).alias("term")).distinct()
     name = F.when(F.col("p_size") < 25, F.col("p_name")).otherwise(F.element_at(F.split("p_name", " "), 1))
-    head = p.select(name.alias("name")).distinct().withColumn("position", F.row_number().over(Window.orderBy("name")))
+    head = p.select(name.alias("name")).distinct().withColumn("position", F.col("name"))
     return terms, head
 
 

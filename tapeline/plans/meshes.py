@@ -306,9 +306,9 @@ def torso_part(spark, sf):
 @query(
     "face_quality", "A52",
     """
-WITH vx AS (SELECT l_suppkey AS c, l_quantity / 50.0 AS x, l_extendedprice / 1e5 AS y, l_discount AS z,
-   row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS i FROM lineitem),
-f AS (SELECT o_custkey % (SELECT count(*) FROM supplier) AS c, o_orderkey AS f, o_orderkey % 97 AS a, o_custkey % 89 AS b, (o_orderkey + o_custkey) % 83 AS d, o_orderstatus = 'P' AS short FROM orders),
+WITH nv AS (SELECT count(*) // 20 AS n FROM part),
+vx AS (SELECT p_partkey % 20 AS c, p_partkey // 20 AS i, p_size / 50.0::DOUBLE AS x, p_retailprice / 1000 AS y, (p_partkey % 7) / 7.0::DOUBLE AS z FROM part),
+f AS (SELECT o_custkey % 20 AS c, o_orderkey AS f, o_orderkey % n AS a, o_custkey % n AS b, (o_orderkey + o_custkey) % n AS d, o_orderstatus = 'P' AS short FROM orders, nv),
 e AS (SELECT f.*, p.x AS px, p.y AS py, p.z AS pz, q.x AS qx, q.y AS qy, q.z AS qz, r.x AS rx, r.y AS ry, r.z AS rz FROM f
   JOIN vx p ON p.c = f.c AND p.i = a JOIN vx q ON q.c = f.c AND q.i = b JOIN vx r ON r.c = f.c AND r.i = d),
 g AS (SELECT c, f, short OR a = b OR b = d OR a = d AS deg, 0.5 * sqrt(
@@ -317,21 +317,19 @@ SELECT c AS case_id, count(*) AS n_faces, count(*) FILTER (WHERE deg OR ar <= 1e
   round(min(CASE WHEN deg THEN 0 ELSE ar END), 6) AS min_area, bool_or(deg OR ar <= 1e-12) AS invalid_face_flag FROM g GROUP BY 1""",
 )
 def face_quality(spark, sf):
-    from pyspark.sql import Window
-
-    li = table(spark, sf, "lineitem")
-    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    verts = li.select(
-        F.col("l_suppkey").alias("case_id"), (F.row_number().over(w) - 1).cast("bigint").alias("vertex_id"),
-        (F.col("l_quantity") / 50.0).alias("x"), (F.col("l_extendedprice") / 100000.0).alias("y"), F.col("l_discount").alias("z"),
+    p = table(spark, sf, "part")
+    k = F.col("p_partkey")
+    verts = p.select(
+        (k % 20).alias("case_id"), F.floor(k / 20).alias("vertex_id"), (F.col("p_size") / 50.0).alias("x"),
+        (F.col("p_retailprice") / 1000).alias("y"), ((k % 7) / 7.0).alias("z"),
     )
-    n = table(spark, sf, "supplier").agg(F.count(F.lit(1)).alias("n_case"))
-    o = table(spark, sf, "orders").crossJoin(F.broadcast(n))
+    n = F.col("n")
+    o = table(spark, sf, "orders").crossJoin(F.broadcast(p.agg(F.floor(F.count("*") / 20).alias("n"))))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    two = F.array((k % 97).cast("int"), (c % 89).cast("int"))
+    two = F.array(k % n, c % n)
     faces = o.select(
-        (c % F.col("n_case")).alias("case_id"), k.alias("face_id"),
-        F.when(F.col("o_orderstatus") == "P", two).otherwise(F.concat(two, F.array(((k + c) % 83).cast("int")))).alias("idx"),
+        (c % 20).alias("case_id"), k.alias("face_id"),
+        F.when(F.col("o_orderstatus") == "P", two).otherwise(F.concat(two, F.array((k + c) % n))).alias("idx"),
     )
     out = G.mesh_quality(G.face_quality(faces, verts))
     return out.withColumn("min_area", F.round("min_area", 6))
