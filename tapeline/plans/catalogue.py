@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from tapeline.plans import curation, documents, logs, meshes, runs  # noqa: F401
+from tapeline.plans import curation, documents, files, logs, meshes, runs  # noqa: F401
 from tapeline.plans.registry import OPERATORS, ORACLE, QUERIES  # noqa: F401
