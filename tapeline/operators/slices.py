@@ -180,11 +180,15 @@ def _thin(keys: list[str]):
 
 def _finish(keys: list[str]):
     """Measure the hull of each group from rows sorted by group; a long group keeps only its hull."""
-    names = [*keys, "perimeter_m", "hull_area_m2", "n_hull", "width_m", "depth_m"]
+    names = [*keys, "perimeter_m", "hull_area_m2", "n_hull", "width_m", "depth_m", "error"]
 
     def measure(key, ring):
-        xs, zs = [p[0] for p in ring], [p[1] for p in ring]
-        return (*key, ring_length(ring), ring_area(ring), len(ring), max(xs) - min(xs), max(zs) - min(zs))
+        # One bad group must not stop the others: it becomes a NULL value with a reason.
+        try:
+            xs, zs = [p[0] for p in ring], [p[1] for p in ring]
+            return (*key, ring_length(ring), ring_area(ring), len(ring), max(xs) - min(xs), max(zs) - min(zs), None)
+        except (ArithmeticError, ValueError, TypeError, IndexError) as e:
+            return (*key, None, None, len(ring), None, None, f"EXEC_FAIL:{type(e).__name__}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held = None, []
@@ -231,7 +235,7 @@ def hull_measures(points: DataFrame, keys: Sequence[str], u: str = "x", v: str =
         .sortWithinPartitions(*keys)
         .mapInPandas(
             _finish(keys),
-            f"{ks}, perimeter_m double, hull_area_m2 double, n_hull long, width_m double, depth_m double",
+            f"{ks}, perimeter_m double, hull_area_m2 double, n_hull long, width_m double, depth_m double, error string",
         )
     )
 
@@ -274,6 +278,26 @@ def circumferences(verts: DataFrame, boxes: DataFrame, bands: dict | None = None
     return select_slice(slice_table(slice_points(verts, boxes, bands)), bands)
 
 
+def measurement_outcomes(verts: DataFrame, boxes: DataFrame, bands: dict | None = None) -> DataFrame:
+    """One row per (case, key), measured or not: value, and why there is none."""
+    bands = bands or CIRC_BANDS
+    slices = slice_table(slice_points(verts, boxes, bands))
+    picked = select_slice(slices, bands)
+    failed = slices.where(F.col("error").isNotNull()).groupBy("case_id", "key").agg(F.min("error").alias("failed"))
+    names = F.explode(F.array(*[F.lit(k) for k in bands])).alias("key")
+    code = (
+        F.when(F.col("span_y") < 1e-6, "BODY_AXIS_TOO_SHORT")
+        .when(F.col("perimeter_m").isNull(), F.coalesce("failed", F.lit("EMPTY_CANDIDATES")))
+        .when(F.col("key") == "MIN_CALF_CIRC_M", "MIN_SEARCH_USED")
+    )
+    return (
+        boxes.select("case_id", "span_y", names)
+        .join(picked.select("case_id", "key", "perimeter_m", "n_candidates"), ["case_id", "key"], "left")
+        .join(failed, ["case_id", "key"], "left")
+        .select("case_id", F.col("key").alias("standard_key"), F.col("perimeter_m").alias("value"), "n_candidates", code.alias("code"))
+    )
+
+
 def shared_slices(verts: DataFrame, boxes: DataFrame) -> DataFrame:
     """Waist and hip groups: one slice table, one slice per group, three values from that slice."""
     picked = circumferences(verts, boxes, GROUP_BANDS)

@@ -172,6 +172,21 @@ def circumference_select(spark, sf):
     return out.select("case_id", "key", "slice", r6("y_slice"), r6("perimeter_m"), "n_candidates")
 
 
+@query(
+    "measurement_outcomes", "G10",
+    with_sql(CLOUD, BOXES, sql_bands(L.CIRC_BANDS), sql_slices(), HULLS, SLICE_ROWS, PICKED, """
+SELECT b.case_id, k.key AS standard_key, round(p, 6) AS value, coalesce(n_candidates, 0) AS n_candidates,
+  CASE WHEN p IS NULL THEN 'EMPTY_CANDIDATES' WHEN k.key = 'MIN_CALF_CIRC_M' THEN 'MIN_SEARCH_USED' ELSE '' END AS code
+FROM boxes b CROSS JOIN bands k LEFT JOIN picked ON picked.case_id = b.case_id AND picked.key = k.key"""),
+)
+def measurement_outcomes(spark, sf):
+    v = cloud(spark, sf)
+    out = L.measurement_outcomes(v, G.bounding_boxes(v))
+    return out.select(
+        "case_id", "standard_key", r6("value"), F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"), F.coalesce("code", F.lit("")).alias("code")
+    )
+
+
 @query(
     "shared_slice_groups", "G3",
     with_sql(CLOUD, BOXES, sql_bands(L.GROUP_BANDS), sql_slices(), HULLS, SLICE_ROWS, PICKED, """
