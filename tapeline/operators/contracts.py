@@ -43,8 +43,8 @@ def has_non_finite(text: Column) -> Column:
 
 def parse(df: DataFrame, text: str = "doc") -> DataFrame:
     """Adds ``v``; a document with NaN or Infinity, or one that is no object, does not parse."""
-    v = F.try_parse_json(F.when(~has_non_finite(F.col(text)), F.col(text)))
-    return df.withColumn("v", F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
+    whole = F.ltrim(F.col(text)).startswith("{") & ~has_non_finite(F.col(text))
+    return df.withColumn("v", F.try_parse_json(F.when(whole, F.col(text))))
 
 
 def kind(v: Column, path: str) -> Column:
@@ -105,8 +105,7 @@ def manifest_checks(v: Column) -> dict[str, Column]:
         out[f"version_keys:{k}"] = (
             F.when(F.coalesce(val, F.lit("")) == "", FAIL).when(val == "UNSPECIFIED", WARN).otherwise(PASS)
         )
-    gated = {k: F.when(v.isNotNull() | F.lit(k == "parse"), c) for k, c in out.items()}
-    return gated
+    return {k: c if k == "parse" else F.when(v.isNotNull(), c) for k, c in out.items()}
 
 
 def body_checks(v: Column) -> dict[str, Column]:

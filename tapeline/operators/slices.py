@@ -72,12 +72,10 @@ def slice_points(
     cols = ["case_id", *dict.fromkeys([lo, span, "span_x", "span_y", "span_z"])]
     v = verts.join(boxes.select(*cols), "case_id").where(F.col(span) >= 1e-6)
     margin = F.lit(2 * TOLERANCE_LIMITS[1]) if adaptive else 0.05 * F.col(span)
-    near = F.filter(
-        band_array(bands),
-        lambda b: (F.col(axis) > F.col(lo) + b["lo"] * F.col(span) - margin)
-        & (F.col(axis) < F.col(lo) + b["hi"] * F.col(span) + margin),
+    above = F.col(axis) - F.col(lo)
+    e = v.select("*", F.explode(band_array(bands)).alias("b")).where(
+        (above > F.col("b.lo") * F.col(span) - margin) & (above < F.col("b.hi") * F.col(span) + margin)
     )
-    e = v.select("*", F.explode(near).alias("b"))
     start = F.col(lo) + F.col("b.lo") * F.col(span)
     end = F.col(lo) + F.col("b.hi") * F.col(span)
     e = e.withColumn("_start", start).withColumn("_step", (end - F.col("_start")) / (n_slices - 1))
@@ -170,44 +168,45 @@ def _thin(keys: list[str]):
                 yield small
             big = pdf[sizes > PASS_POINTS]
             for key, part in big.groupby(keys, sort=False):
-                ring = hull(part[["px", "pz"]].to_numpy())
-                yield pd.DataFrame({**dict(zip(keys, key)), **dict(zip(("px", "pz"), map(list, zip(*ring))))})[
-                    [*keys, "px", "pz"]
-                ]
+                px, pz = map(list, zip(*hull(part[["px", "pz"]].to_numpy())))
+                w = [int(part["w"].sum())] + [0] * (len(px) - 1)
+                yield pd.DataFrame({**dict(zip(keys, key)), "px": px, "pz": pz, "w": w})[[*keys, "px", "pz", "w"]]
 
     return run
 
 
 def _finish(keys: list[str]):
     """Measure the hull of each group from rows sorted by group; a long group keeps only its hull."""
-    names = [*keys, "perimeter_m", "hull_area_m2", "n_hull", "width_m", "depth_m", "error"]
+    names = [*keys, "n_points", "perimeter_m", "hull_area_m2", "n_hull", "width_m", "depth_m", "error"]
 
-    def measure(key, ring):
+    def measure(key, n, ring):
         # One bad group must not stop the others: it becomes a NULL value with a reason.
         try:
             xs, zs = [p[0] for p in ring], [p[1] for p in ring]
-            return (*key, ring_length(ring), ring_area(ring), len(ring), max(xs) - min(xs), max(zs) - min(zs), None)
+            return (*key, n, ring_length(ring), ring_area(ring), len(ring), max(xs) - min(xs), max(zs) - min(zs), None)
         except (ArithmeticError, ValueError, TypeError, IndexError) as e:
-            return (*key, None, None, len(ring), None, None, f"EXEC_FAIL:{type(e).__name__}")
+            return (*key, n, None, None, len(ring), None, None, f"EXEC_FAIL:{type(e).__name__}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+        key, held, n = None, [], 0
         for pdf in batches:
             out = []
             cols = [pdf[k].tolist() for k in keys]
+            w = pdf["w"].to_numpy()
             pts = list(zip(pdf["px"].tolist(), pdf["pz"].tolist()))
             for lo, hi in _runs(pdf, keys):
                 here = tuple(c[lo] for c in cols)
                 if here != key:
                     if key is not None:
-                        out.append(measure(key, held))
-                    key, held = here, []
+                        out.append(measure(key, n, held))
+                    key, held, n = here, [], 0
+                n += int(w[lo:hi].sum())
                 many = held + pts[lo:hi]
                 held = hull(np.array(many)) if len(many) > PASS_POINTS else chain(sorted(set(many)))
             if out:
                 yield pd.DataFrame(out, columns=names)
         if key is not None:
-            yield pd.DataFrame([measure(key, held)], columns=names)
+            yield pd.DataFrame([measure(key, n, held)], columns=names)
 
     return run
 
@@ -227,23 +226,23 @@ def hull_measures(points: DataFrame, keys: Sequence[str], u: str = "x", v: str =
         *keys,
         (F.round(F.col(u) / QUANTUM) * QUANTUM).alias("px"),
         (F.round(F.col(v) / QUANTUM) * QUANTUM).alias("pz"),
+        F.lit(1).cast("bigint").alias("w"),
     )
     ks = _key_schema(points, keys)
-    thin = flat.mapInPandas(_thin(keys), f"{ks}, px double, pz double")
+    thin = flat.mapInPandas(_thin(keys), f"{ks}, px double, pz double, w long")
     return (
         thin.repartition(*keys)
         .sortWithinPartitions(*keys)
         .mapInPandas(
             _finish(keys),
-            f"{ks}, perimeter_m double, hull_area_m2 double, n_hull long, width_m double, depth_m double, error string",
+            f"{ks}, n_points long, perimeter_m double, hull_area_m2 double, n_hull long, width_m double, depth_m double, error string",
         )
     )
 
 
 def slice_table(points: DataFrame) -> DataFrame:
     """One row per (case, key, slice): height, vertex count, hull perimeter, width and depth."""
-    counts = points.groupBy(*SLICE).agg(F.count(F.lit(1)).alias("n_points"), F.min("y_slice").alias("y_slice"))
-    return counts.where(F.col("n_points") >= 3).join(hull_measures(points, SLICE), SLICE)
+    return hull_measures(points, [*SLICE, "y_slice"]).where(F.col("n_points") >= 3)
 
 
 def select_slice(slices: DataFrame, bands: dict, size: str = "perimeter_m", digits: int = 9) -> DataFrame:
@@ -364,8 +363,7 @@ def ordered_circumferences(verts: DataFrame, boxes: DataFrame, bands: dict | Non
     """Ordered-sum variant: vertex order kept, no tolerance from the mesh scale, limit codes."""
     bands = bands or ORDERED_BANDS
     pts = slice_points(verts, boxes, bands, adaptive=False)
-    heights = pts.groupBy(*SLICE).agg(F.min("y_slice").alias("y_slice"))
-    rings = ordered_rings(pts, SLICE).where(F.col("n_points") >= 3).join(heights, SLICE)
+    rings = ordered_rings(pts, [*SLICE, "y_slice"]).where(F.col("n_points") >= 3)
     picked = select_slice(rings, bands)
     code = F.when(F.col("perimeter_m") < PERIMETER_LIMITS[0], "PERIMETER_SMALL").when(
         F.col("perimeter_m") > PERIMETER_LIMITS[1], "PERIMETER_LARGE"

@@ -9,7 +9,7 @@ from tapeline.functions import numbers as N
 from tapeline.operators import curate as C
 from tapeline.operators import sensors as S
 from tapeline.plans.inputs import (
-    CANON, SURVEY_KEYS, SURVEY_LONG, SURVEY_RAW, UNITS, sql_parse, survey_canonical, survey_long, survey_raw, with_sql,
+    CANON, SURVEY_KEYS, SURVEY_LONG, SURVEY_RAW, UNITS, sql_parse, survey_canonical, survey_long, survey_raw, survey_units, with_sql,
 )
 from tapeline.plans.registry import query, table
 
@@ -121,7 +121,7 @@ def clean_id(spark, sf):
     with_sql(SURVEY_RAW, SURVEY_LONG, UNITS, "SELECT source, key, round(sample_median, 6) AS sample_median, n_sample, unit FROM units"),
 )
 def infer_units(spark, sf):
-    return C.infer_units(survey_long(spark, sf), ["row_idx", "value"]).select(
+    return survey_units(spark, sf).select(
         "source", "key", r6("sample_median"), "n_sample", "unit"
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tapeline.operators import contracts as D
 from tapeline.operators import sets as S
 from tapeline.plans.inputs import PROGRESS, progress, with_sql
-from tapeline.plans.registry import query, table
+from tapeline.plans.registry import query, spread, table
 
 # The document texts are one expression for both engines; the comparison SQL then derives the expected
 # severities from the columns behind them, without reading the JSON.
@@ -34,7 +34,7 @@ CHAIN = """'{"limits":{"max_retry":' || CASE WHEN o_custkey % 4 = 0 THEN '3' ELS
 
 
 def docs(spark, sf, text):
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
     return D.parse(o.withColumn("doc", F.expr(text)))
 
 

@@ -144,11 +144,13 @@ CANON = """canon AS (
 )"""
 
 
-def survey_canonical(spark: SparkSession, sf: str) -> DataFrame:
-    long = survey_long(spark, sf)
-    return C.canonicalize(long, C.infer_units(long, ["row_idx", "value"]))
+def survey_units(spark: SparkSession, sf: str) -> DataFrame:
+    repaired = lambda rows, keys: C.repair(C.to_long(rows.select("source", "row_idx", *keys), ["source", "row_idx"], keys, "raw"))
+    return C.infer_units_by_head(survey_raw(spark, sf), SURVEY_KEYS, repaired, ["row_idx", "value"])
 
 
+def survey_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    return C.canonicalize(survey_long(spark, sf), survey_units(spark, sf))
 
 
 def cloud(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +264,11 @@ RESULTS = """results AS (
 
 def residuals(spark: SparkSession, sf: str) -> DataFrame:
     """Three residuals (metres) per line from ``lineitem``; NULL hip where the discount is zero."""
-    li = table(spark, sf, "lineitem")
+    li = spread(
+        table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+        )
+    )
     return li.select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
         ((F.col("l_quantity") - 25) / 1000).alias("BUST_CIRC_M"),

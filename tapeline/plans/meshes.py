@@ -242,9 +242,7 @@ st AS (SELECT *, round(perimeter_m, 9) AS p FROM rg WHERE n_points >= 3)"""
 def _ordered(spark, sf, bands):
     v = cloud(spark, sf)
     pts = L.slice_points(v, G.bounding_boxes(v), bands, adaptive=False)
-    heights = pts.groupBy(*L.SLICE).agg(F.min("y_slice").alias("y_slice"))
-    rings = L.ordered_rings(pts, L.SLICE, block=ROW_BLOCK).where(F.col("n_points") >= 3)
-    return rings.join(heights, L.SLICE)
+    return L.ordered_rings(pts, [*L.SLICE, "y_slice"], block=ROW_BLOCK).where(F.col("n_points") >= 3)
 
 
 @query(

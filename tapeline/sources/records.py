@@ -27,12 +27,16 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
+def as_object(text: str) -> Column:
+    """Variant of a JSON object text, NULL for anything else."""
+    return F.try_parse_json(F.when(F.ltrim(F.col(text)).startswith("{"), F.col(text)))
+
+
 def read_events(spark: SparkSession, path: str, mode: str = "skip") -> DataFrame:
     """JSON-lines log with ``ordinal`` = line number. ``mode``: ``skip`` drops unreadable lines,
     ``report`` keeps them with ``bad_line`` true. Codes given as a string or a list stay JSON text."""
     lines = read_lines(spark, path).where(F.trim("value") != "")
-    v = F.try_parse_json("value")
-    parsed = lines.withColumn("_v", F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
+    parsed = lines.withColumn("_v", as_object("value"))
     get = lambda f: F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
     out = parsed.select(
         "file", F.col("line_no").alias("ordinal"), F.col("_v").isNull().alias("bad_line"),
@@ -53,10 +57,9 @@ def read_documents(spark: SparkSession, root: str, name: str = "*.json") -> Data
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"),
         F.regexp_replace("value", "^﻿", "").alias("doc"),
     )
-    v = F.try_parse_json("doc")
     return files.select(
         "*", F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder"),
-        F.when(F.schema_of_variant(v).startswith("OBJECT"), v).alias("v"),
+        as_object("doc").alias("v"),
     )
 
 
