@@ -19,8 +19,10 @@ ASSIGN = T.StructType([T.StructField("cluster", T.IntegerType()), T.StructField(
 
 
 def zscore(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
-    """Columns minus mean over population deviation (0 becomes 1); the parameters fit on the driver."""
-    aggs = [f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+    """Columns minus mean over population deviation (0 becomes 1); the parameters fit on the driver.
+
+    They are rounded to 12 digits, so that the order of partial sums does not show in the result."""
+    aggs = [F.round(f(c), 12).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_pop))]
     row = df.agg(*aggs).first()
     params = {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in cols}
     z = df.withColumns({c: (F.col(c) - m) / s for c, (m, s) in params.items()})

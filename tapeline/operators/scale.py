@@ -27,132 +27,127 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(marked, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+NULL_KEY = "\0"
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(``_g`` struct of the keys, ``_v``, ``_n``): equal values counted once, NULL included.
+    """(``_k0``.. key texts, ``_v``, ``_n``): equal values counted once, NULL included.
 
-    The shuffle is on (keys, value) after a map-side combine, so a hot key spreads over all tasks.
+    The shuffle is on (keys, value) after a map-side combine, so a hot key spreads over all tasks. Keys
+    travel as non-NULL text, which makes later joins on them plain equi-joins.
     """
-    g = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))
+    cols = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_KEY)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    cols = cols or [F.lit("").alias("_k0")]
+    g = [f"_k{i}" for i in range(len(cols))]
     return (
-        df.select(g.alias("_g"), F.col(value).cast("double").alias("_v"))
-        .groupBy("_g", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.select(*cols, F.col(value).cast("double").alias("_v")).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n"))
     )
 
 
-# A filter that needs the count cannot sink below the aggregation, so every branch of a quantile
-# plan reads one and the same exchange.
-def _present() -> Column:
-    return F.when(F.col("_n") > 0, F.col("_v")).isNotNull()
-
-
-def quantiles_of_counts(
+def stats_of_counts(
     counts: DataFrame, probs: dict[str, float], splits: int = 64, nearest: bool = False
 ) -> DataFrame:
-    """Exact quantiles from :func:`value_counts`, keyed by ``_g``: linear interpolation between ranks, or
-    with ``nearest`` the value at rank ``floor(n * p)`` (the last one when that is past the end).
+    """n_rows, n_values, min_value, max_value and exact quantiles from :func:`value_counts`, keyed by
+    the key texts. Quantiles interpolate between ranks, or with ``nearest`` take the value at rank
+    ``floor(n * p)`` (the last one when that is past the end); a group without values has NULLs.
 
     1. draw ``splits`` distinct values per group by hash order as cut points: the draw depends on
        the data only, so a recomputed stage sees the same cuts;
-    2. a histogram over the cuts tells which bucket holds each wanted rank;
+    2. a histogram over the cuts gives the totals and tells which bucket holds each wanted rank;
     3. only those buckets are ordered, each in a task of its own.
+
+    The filter on the cut values needs the count, so it cannot sink below the shuffle of the counts
+    and turn it into a different one that Spark could not reuse.
     """
-    counts = counts.where(_present())
-    drawn = Window.partitionBy("_g").orderBy(F.xxhash64("_v"), F.col("_v"))
+    g = [c for c in counts.columns if c.startswith("_k")]
+    valued = counts.where(F.when(F.col("_n") > 0, F.col("_v")).isNotNull())
+    drawn = Window.partitionBy(*g).orderBy(F.xxhash64("_v"), F.col("_v"))
     cuts = (
-        counts.withColumn("_r", F.row_number().over(drawn))
+        valued.withColumn("_r", F.row_number().over(drawn))
         .where(F.col("_r") <= splits)
-        .groupBy("_g")
+        .groupBy(*g)
         .agg(F.array_sort(F.collect_list("_v")).alias("_cuts"))
     )
+    bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     tagged = (
-        counts.join(cuts, "_g")
-        .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+        counts.join(cuts, g, "left")
+        .withColumn("_b", F.when(F.col("_v").isNull(), -1).otherwise(bucket))
         .drop("_cuts")
     )
-    by_bucket = Window.partitionBy("_g").orderBy("_b")
+    whole = Window.partitionBy(*g)
+    real = F.when(F.col("_b") >= 0, F.col("_bn")).otherwise(0)
     hist = (
-        tagged.groupBy("_g", "_b")
-        .agg(F.sum("_n").alias("_bn"))
-        .withColumn("_end", F.sum("_bn").over(by_bucket))
-        .withColumn("_tot", F.sum("_bn").over(Window.partitionBy("_g")))
+        tagged.groupBy(*g, "_b")
+        .agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+        .withColumns(
+            {
+                "_end": F.sum(real).over(whole.orderBy("_b")),
+                "_tot": F.sum(real).over(whole),
+                "_rows": F.sum("_bn").over(whole),
+                "_mn": F.min("_mn").over(whole),
+                "_mx": F.max("_mx").over(whole),
+            }
+        )
+        .withColumn("_start", F.col("_end") - real)
     )
+
     def rank_of(p):
         if nearest:
             return F.least(F.floor(F.col("_tot") * F.lit(float(p))), F.col("_tot") - 1).cast("double")
         return (F.col("_tot") - 1) * F.lit(float(p))
 
+    item = lambda i, side, pos: F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), pos.cast("bigint").alias("pos"))
     ranks = []
     for i, p in enumerate(probs.values()):
-        h = rank_of(p)
-        ranks.append(F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), F.floor(h).alias("pos")))
-        ranks.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), F.ceil(h).alias("pos")))
+        ranks += [item(i, 0, F.floor(rank_of(p))), item(i, 1, F.ceil(rank_of(p)))]
+    here = F.filter(F.array(*ranks), lambda w: (w["pos"] >= F.col("_start")) & (w["pos"] < F.col("_end")))
+    # A group without values keeps its one NULL row so that it still gets an output row.
     wanted = (
-        hist.withColumn("_start", F.col("_end") - F.col("_bn"))
-        .withColumn(
-            "_want",
-            F.filter(
-                F.array(*ranks),
-                lambda w: (w["pos"] >= F.col("_start")) & (w["pos"] < F.col("_end")),
-            ),
-        )
+        hist.withColumn("_want", F.when(F.col("_tot") == 0, F.array(item(-1, 0, F.lit(-1)))).otherwise(here))
         .where(F.size("_want") > 0)
-        .select("_g", "_b", "_start", "_tot", "_want")
+        .select(*g, "_b", "_start", "_tot", "_rows", "_mn", "_mx", "_want")
     )
-    in_bucket = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    in_bucket = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    covers = lambda w: (w["i"] < 0) | ((w["pos"] >= F.col("_run") - F.col("_n")) & (w["pos"] < F.col("_run")))
     hits = (
-        tagged.join(wanted, ["_g", "_b"])
+        tagged.join(wanted, [*g, "_b"])
         .withColumn("_run", F.col("_start") + F.sum("_n").over(in_bucket))
-        .withColumn(
-            "_hit",
-            F.explode(
-                F.filter(
-                    "_want",
-                    lambda w: (w["pos"] >= F.col("_run") - F.col("_n")) & (w["pos"] < F.col("_run")),
-                )
-            ),
-        )
+        .withColumn("_hit", F.explode(F.filter("_want", covers)))
     )
-    aggs = [F.max("_tot").alias("_tot")]
+    aggs = [F.max(c).alias(c) for c in ("_tot", "_rows", "_mn", "_mx")]
     for i, _ in enumerate(probs):
         for side in (0, 1):
-            here = (F.col("_hit.i") == i) & (F.col("_hit.side") == side)
-            aggs.append(F.max(F.when(here, F.col("_v"))).alias(f"_q{i}_{side}"))
-    out = hits.groupBy("_g").agg(*aggs)
+            mine = (F.col("_hit.i") == i) & (F.col("_hit.side") == side)
+            aggs.append(F.max(F.when(mine, F.col("_v"))).alias(f"_q{i}_{side}"))
+    out = hits.groupBy(*g).agg(*aggs)
     cols = []
     for i, (name, p) in enumerate(probs.items()):
         h = rank_of(p)
         lo, hi = F.col(f"_q{i}_0"), F.col(f"_q{i}_1")
         cols.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return out.select("_g", *cols)
+    return out.select(
+        *g, F.col("_rows").alias("n_rows"), F.col("_tot").alias("n_values"), F.col("_mn").alias("min_value"),
+        F.col("_mx").alias("max_value"), *cols,
+    )
 
 
-def exact_quantiles(
+def order_stats(
     df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], splits: int = 64, nearest: bool = False
 ) -> DataFrame:
-    """Exact quantiles per group, one output column per entry of ``probs``."""
-    out = quantiles_of_counts(value_counts(df, keys, value), probs, splits, nearest)
-    return out.select(*[F.col("_g")[k].alias(k) for k in keys], *probs)
+    """n_rows, n_values, min_value, max_value and exact quantiles per group, from one value count."""
+    out = stats_of_counts(value_counts(df, keys, value), probs, splits, nearest)
+    types = {k: df.select(k).schema[0].dataType for k in keys}
+    return out.select(
+        *[F.when(F.col(f"_k{i}") != NULL_KEY, F.col(f"_k{i}")).cast(types[k]).alias(k) for i, k in enumerate(keys)], "n_rows", "n_values", "min_value", "max_value", *probs
+    )
 
 
-def order_stats(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], splits: int = 64
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], splits: int = 64, nearest: bool = False
 ) -> DataFrame:
-    """n_rows, n_values, min_value, max_value and exact quantiles per group, from one value count.
-
-    Groups without any value keep NULL statistics.
-    """
-    counts = value_counts(df, keys, value)
-    base = counts.groupBy("_g").agg(
-        F.sum("_n").alias("n_rows"),
-        F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("n_values"),
-        F.min("_v").alias("min_value"),
-        F.max("_v").alias("max_value"),
-    )
-    out = base.join(quantiles_of_counts(counts, probs, splits), "_g", "left")
-    return out.select(
-        *[F.col("_g")[k].alias(k) for k in keys], "n_rows", "n_values", "min_value", "max_value", *probs
-    )
+    """Exact quantiles of the groups that have values, one output column per entry of ``probs``."""
+    out = order_stats(df, keys, value, probs, splits, nearest).where(F.col("n_values") > 0)
+    return out.select(*keys, *probs)
 
 
 def first_k(df: DataFrame, keys: Sequence[str], order: Sequence, k: int, rank: str = "rank") -> DataFrame:

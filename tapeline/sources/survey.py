@@ -27,7 +27,7 @@ SCAN_PRECISION = 3
 def choose_encoding(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS) -> str:
     """The first encoding that decodes every line; stops at the first line that fails."""
     lines = spark.read.text(path)
-    if lines.where(F.col("value").contains("�")).isEmpty():
+    if lines.where(~F.is_valid_utf8("value")).isEmpty():
         return encodings[0]
     return encodings[1] if len(encodings) > 1 else encodings[0]
 
