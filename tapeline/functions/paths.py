@@ -15,12 +15,8 @@ REGIONS = {
     "fitting": ("modules/fitting/",),
     "garment": ("modules/garment/",),
 }
-ALLOWED = (
-    "specs/", "docs/ops/rounds/", "docs/ops/BACKFILL_LOG.md", "specs/common/geometry_manifest.schema.json",
-    ".cursorrules", "docs/ops/GUARDRAILS.md", "CLAUDE.md", "tools/ops/", "tools/render_status.py",
-    "tools/render_work_briefs.py",
-)
-LOCAL_ONLY = ("ops/lab_roots.local.json", "ops/local/", "exports/logs/")
+ALLOWED = ("specs/", "docs/ops/rounds/", "tools/ops/")
+LOCAL_ONLY = ("ops/local/", "exports/logs/")
 
 
 def posix(path: Column) -> Column:
@@ -59,19 +55,20 @@ def _starts(path: Column, prefixes: Sequence[str]) -> Column:
     return out
 
 
-def change_region(path: Column) -> Column:
-    """allowlisted, a module region, or other; the allow list is looked at first."""
+def change_region(path: Column, allowed: Sequence[str] = ALLOWED) -> Column:
+    """allowlisted, a module region, or other; the allow list (folders or single files) comes first."""
     p = posix(path)
-    out = F.when(_starts(p, ALLOWED), "allowlisted")
+    out = F.when(_starts(p, allowed), "allowlisted")
     for name, prefixes in REGIONS.items():
         out = out.when(_starts(p, prefixes), name)
     return out.otherwise("other")
 
 
-def is_local_only(path: Column) -> Column:
+def is_local_only(path: Column, entries: Sequence[str] = LOCAL_ONLY) -> Column:
+    """The path is one of the entries or lies below one: never to be committed."""
     p = posix(path)
     out = F.lit(False)
-    for entry in LOCAL_ONLY:
+    for entry in entries:
         folder = entry.rstrip("/")
         out = out | (p == folder) | p.startswith(folder + "/")
     return out

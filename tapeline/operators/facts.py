@@ -155,3 +155,10 @@ def first_case(subset: DataFrame, order: Sequence[str], names: dict[str, str], b
     return out.select(*by, *[F.col("r")[k].alias(v) for k, v in names.items()], F.array_join(missing, ",").alias("missing"))
 
 
+
+
+def first_qualifying(results: DataFrame, keys: Sequence[str], cond: Column, key: str = "standard_key") -> DataFrame:
+    """Per case the first key in the given key order whose result meets the condition: recorded once."""
+    rank = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col(key))
+    hit = results.where(cond & F.col(key).isin(*keys))
+    return hit.groupBy("case_id").agg(F.min_by(key, rank).alias("first_key"), F.count("*").alias("n_qualifying"))

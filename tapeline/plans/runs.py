@@ -90,6 +90,17 @@ def flag_rates(spark, sf):
     return out.select("standard_key", "n_rows", r("proxy_used"), r("band_scan_used"), r("slice_shared"))
 
 
+@query(
+    "first_qualifying_key", "W8",
+    with_sql(RESULTS, """
+SELECT run_id || '/' || case_id AS case_id, ['VIEW_M', 'CLICK_M', 'ERROR_M'][min(CASE standard_key WHEN 'VIEW_M' THEN 1 WHEN 'CLICK_M' THEN 2 ELSE 3 END)] AS first_key, count(*) AS n_qualifying
+FROM results WHERE standard_key IN ('VIEW_M', 'CLICK_M', 'ERROR_M') AND value > 20 GROUP BY 1"""),
+)
+def first_qualifying_key(spark, sf):
+    d = results(spark, sf).withColumn("case_id", F.concat_ws("/", "run_id", "case_id"))
+    return A.first_qualifying(d, ["VIEW_M", "CLICK_M", "ERROR_M"], F.col("value") > 20)
+
+
 OUTCOMES = """outcomes AS (SELECT case_id, event_id AS seq, CASE WHEN k < 10 THEN 'load' WHEN k < 50 THEN 'measure' ELSE 'sink' END AS stage,
   CASE WHEN k < 10 THEN 'verts_missing' WHEN k >= 90 THEN 'sink_skip' WHEN k BETWEEN 55 AND 64 THEN 'exec_fail' ELSE 'success' END AS reason FROM results)"""
 
