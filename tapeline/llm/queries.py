@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import packing
+from tapeline.llm import packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +34,19 @@ def run_documents(spark: SparkSession, sf: str) -> DataFrame:
 def op1_sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack_documents(run_documents(spark, sf), vocabulary_file("byte_bpe_50k.json"))
     return packed.withColumnRenamed("path", "doc_id")
+
+
+def crc_of(column: str) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+@query
+def op3_quality_kernel_ridge(spark: SparkSession, sf: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select(
+        F.col("doc_id").alias("path"), F.col("quality").alias("accepted")
+    )
+    scores = quality.quality_scores(run_documents(spark, sf), labels, F.pmod(crc_of("path"), F.lit(4)) != 2)
+    return scores.select(
+        F.col("path").alias("doc_id"), (F.pmod(crc_of("path"), F.lit(4)) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
