@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
-from tapeline.llm.packing import cut, pack_documents, place
+from tapeline.llm.packing import Vocabulary, cut, pack_documents, place
 
 FILE = P.path("byte_bpe_50k.json")
 DOCS = [(1, "one manifest"), (2, None), (3, ""), (None, "no path"), (5, "x " * 9000), (1, "one manifest"), (6, "é\n\n  1'll <|endoftext|>")]
@@ -39,6 +39,19 @@ def test_pieces_and_places(frame):
     assert len(sequences) == -(-sum(r.length for r in rows) // 2048)
 
 
+def test_vocabulary_is_the_tokenizer_of_the_file():
+    """On random letters, bytes, symbols of many planes and white space."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(FILE)
+    t.encode_special_tokens = True
+    rng = np.random.default_rng(11)
+    planes = [(97, 123)] * 6 + [(32, 127), (160, 0x600), (0x3000, 0xD000), (0x1F300, 0x1F6FF), (9, 14)]
+    odd = ["".join(chr(rng.integers(*planes[k])) for k in rng.integers(0, len(planes), n)) for n in rng.integers(0, 60, 3000)]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch(odd, add_special_tokens=False)]
+    assert list(Vocabulary(FILE).ids(odd)) == want
+
+
 def test_empty_table(frame):
     assert pack_documents(frame([]), FILE).collect() == []
 
