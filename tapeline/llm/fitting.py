@@ -36,11 +36,11 @@ def partition_sums(df: DataFrame, size: int, add: Callable[[np.ndarray, pa.Recor
 
     tasks = df.rdd.getNumPartitions()
     sums = df.mapInArrow(each, SUM)
-    while tasks > FAN_IN:
+    while tasks > 1:
         tasks = -(-tasks // FAN_IN)
         sums = sums.repartition(tasks).mapInArrow(merge, SUM)
     total = np.zeros(size)
-    for row in sums.toLocalIterator():
+    for row in sums.collect():  # one row, or none
         total += np.frombuffer(bytes(row[0]))
     return total
 

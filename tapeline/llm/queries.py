@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import packing, quality
+from tapeline.llm import packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +50,13 @@ def op3_quality_kernel_ridge(spark: SparkSession, sf: str) -> DataFrame:
         F.col("path").alias("doc_id"), (F.pmod(crc_of("path"), F.lit(4)) == 2).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op9_noisy_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("path"), "toxic")
+    scores = toxicity.toxicity_scores(run_documents(spark, sf), labels, F.pmod(crc_of("path"), F.lit(5)) != 0)
+    return scores.select(
+        F.col("path").alias("doc_id"), (F.pmod(crc_of("path"), F.lit(5)) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
