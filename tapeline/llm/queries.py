@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import packing, quality, toxicity
+from tapeline.llm import jaccard, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,3 +60,38 @@ def op9_noisy_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         F.col("path").alias("doc_id"), (F.pmod(crc_of("path"), F.lit(5)) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    found = jaccard.jaccard_components(run_documents(spark, sf))
+    return found.select(F.col("path").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+ORACLE["op10_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> w[i:i + 4])) END AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both, any_value(a.n) AS na, any_value(b.n) AS nb
+    FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM shared WHERE 100 * both >= 75 * (na + nb - both)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS c FROM sets
+    UNION
+    SELECT e.b, r.c FROM reach r JOIN both_ways e ON e.a = r.a WHERE r.c < e.b
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.c AS component_id
+FROM sets s JOIN (SELECT a, min(c) AS c FROM reach GROUP BY a) r ON r.a = s.doc_id
+"""
