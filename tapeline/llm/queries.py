@@ -75,16 +75,16 @@ WITH RECURSIVE words AS (
     FROM documents
 ), sets AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-                        ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> w[i:i + 4])) END AS s
+                        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) END AS s
     FROM words
 ), items AS (
     SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
 ), shared AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both, any_value(a.n) AS na, any_value(b.n) AS nb
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common_n, any_value(a.n) AS na, any_value(b.n) AS nb
     FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id
     GROUP BY a.doc_id, b.doc_id
 ), links AS (
-    SELECT a, b FROM shared WHERE 100 * both >= 75 * (na + nb - both)
+    SELECT a, b FROM shared WHERE 100 * common_n >= 75 * (na + nb - common_n)
 ), both_ways AS (
     SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reach AS (

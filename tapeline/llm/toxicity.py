@@ -25,12 +25,12 @@ _LATIN = [chr(i).lower().translate(_BASE) for i in range(256)]
 _CODES = np.array([ord(c) - 96 if "a" <= c <= "z" else 0 for c in _LATIN], dtype=np.int64)
 _LETTER = np.array([chr(i).isalpha() for i in range(256)])
 _LEET = np.array([chr(i) in LEET for i in range(256)])
+_LEET_DIGIT = np.array([chr(i) in LEET and chr(i).isdigit() for i in range(256)])
 _SEPARATOR = np.array([chr(i) in SEPARATORS + "\n\t" for i in range(256)])
 _SYMBOLS = re.escape("".join(c for c in LEET if not c.isdigit()))
-_CANDIDATE = re.compile(
-    rf"(?<![^\W_])(?:[^\W\d_][{re.escape(SEPARATORS)}]{{1,2}}){{2,}}[^\W\d_](?![^\W_])"
-    rf"|(?:[^\W_]|[{_SYMBOLS}](?=[{_SYMBOLS}]*[^\W_]))+"
-)
+_SPACED = re.compile(rf"(?<![^\W_])(?:[^\W\d_][{re.escape(SEPARATORS)}]{{1,2}}){{2,}}[^\W\d_](?![^\W_])")
+_MIXED = re.compile(rf"(?:[^\W_]|[{_SYMBOLS}](?=[{_SYMBOLS}]*[^\W_]))+")
+_GAP = re.compile(r"\s")
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 CACHED = 100_000
@@ -40,20 +40,24 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("latin-1", "replace"), dtype=np.uint8)
 
 
-def suspicious(text: str) -> bool:
-    """Whether any place of the text could be obfuscated; plain texts need no lattice."""
+def suspicious(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places that could be obfuscated: inside a word with leetspeak or a letter three times, and where three or
+    more letters stand alone. Places are characters of the text; plain texts have none and need no lattice."""
     b = _bytes(text)
+    none = np.empty(0, dtype=np.int64)
     if len(b) < 3:
-        return False
-    letter, leet, gap = _LETTER[b], _LEET[b], _SEPARATOR[b]
-    if (leet[:-1] & letter[1:] | letter[:-1] & leet[1:]).any():
-        return True
-    if (letter[2:] & (b[2:] == b[1:-1]) & (b[1:-1] == b[:-2])).any():
-        return True
+        return none, none
+    letter = _LETTER[b]
+    mixed = _LEET[b[:-1]] & letter[1:] | letter[:-1] & _LEET_DIGIT[b[1:]]
+    same = b[1:] == b[:-1]
+    mixed[1:] |= letter[2:] & same[1:] & same[:-1]
+    edge = ~letter
     alone = letter.copy()  # letters without a letter beside them
-    alone[1:] &= ~letter[:-1]
-    alone[:-1] &= ~letter[1:]
-    return bool((alone[:-2] & gap[1:-1] & alone[2:]).any() or (alone[:-3] & gap[1:-2] & gap[2:-1] & alone[3:]).any())
+    alone[1:] &= edge[:-1]
+    alone[:-1] &= edge[1:]
+    at = np.flatnonzero(alone)
+    near = at[1:] - at[:-1] <= 3
+    return np.flatnonzero(mixed), at[:-2][near[1:] & near[:-1]]
 
 
 class LanguageModel:
@@ -70,16 +74,34 @@ class LanguageModel:
 
     def restore(self, text: str) -> str:
         """The text with every obfuscated place in its likeliest reading; other places stay as they are."""
-        return _CANDIDATE.sub(self._reading, text) if suspicious(text) else text
-
-    def _reading(self, match: re.Match) -> str:
-        found = match.group(0)
-        spaced = len(found) > 4 and found[1] in SEPARATORS
-        if not spaced:
-            marks = [c in LEET for c in found]
-            mixed = any(marks) and any(c.isalpha() for c in found)
-            if not mixed and not _RUN.search(found):
-                return found
+        mixed, alone = suspicious(text)
+        if not len(mixed) and not len(alone):
+            return text
+        found: dict[int, str] = {}
+        done = 0
+        for at in alone.tolist():
+            if at >= done and (m := _SPACED.match(text, at)):
+                found[at], done = m.group(0), m.end()
+        spans = [(a, a + len(t)) for a, t in found.items()]
+        done = 0
+        for at in mixed.tolist():
+            if at < done:
+                continue
+            start = max(text.rfind(" ", 0, at), text.rfind("\n", 0, at), text.rfind("\t", 0, at)) + 1
+            gap = _GAP.search(text, at + 1)
+            done = gap.start() if gap else len(text)
+            for m in _MIXED.finditer(text, start, done):
+                t = m.group(0)
+                odd = any(c in LEET for c in t) and any(c.isalpha() for c in t) or _RUN.search(t)
+                if odd and not any(m.start() < e and s < m.end() for s, e in spans):
+                    found[m.start()] = t
+        out, last = [], 0
+        for at in sorted(found):
+            out += [text[last:at], self.reading(found[at])]
+            last = at + len(found[at])
+        return "".join([*out, text[last:]])
+
+    def reading(self, found: str) -> str:
         if found not in self.known:
             if len(self.known) > CACHED:
                 self.known.clear()
@@ -249,7 +271,8 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, learn: Column | Non
     share = min(1.0, fit_rows / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64(F.lit("fit"), F.col("path").cast("string")), F.lit(1 << 20)) < share * (1 << 20))
     language = language_model(source.select("doc"))
-    model = fit_toxicity(shared.written(source.join(known, "path"), "examples"), language)
+    learned = source.join(F.broadcast(known), "path")  # about fit_rows short rows at most
+    model = fit_toxicity(shared.written(learned, "examples"), language)
     schema = T.StructType([source.schema["path"], T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -54,8 +54,16 @@ def test_viterbi_against_all_readings(language):
 
 
 def test_suspicious_places():
-    assert not suspicious("plain words, 12 of them.") and not suspicious("")
-    assert suspicious("1diot") and suspicious("a i d b") and suspicious("sooo")
+    places = lambda t: tuple(len(x) for x in suspicious(t))
+    assert places("plain words!! 12 of them.") == places("") == places("a b") == (0, 0)
+    assert places("1diot") == (1, 0) and places("a i d b") == (0, 2) and places("sooo") == (1, 0)
+
+
+def test_restore_keeps_the_rest(language):
+    text = "A 1d10t,\tsaid: s-t-u-p-i-d!! (l0s3r) E=mc2 é é é x@y.z " + "q" * 500
+    got = language.restore(text)
+    assert got.startswith("A idiot,\tsaid: stupid!! (loser) ")
+    assert language.restore("no change, here") == "no change, here"
 
 
 def test_held_out_accuracy(spark):
