@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import jaccard, packing, quality, toxicity
+from tapeline.llm import jaccard, packing, quality, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +52,15 @@ def op3_quality_kernel_ridge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op7_forest_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables hold no reviewed findings, so those whose form settles them are the labelled ones."""
+    found = secret_scan.scan_secrets(run_documents(spark, sf))
+    return found.select(
+        F.col("path").alias("doc_id"), "start", "length", "kind", secret_scan.digest("value").alias("value_sha256"), "score", "secret"
+    )
+
+
 @query
 def op9_noisy_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("path"), "toxic")
