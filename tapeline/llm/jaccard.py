@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,20 +18,8 @@ SKETCH = 1 << 20  # counters of the frequency sketch; a fixed size whatever the
 PARTS = 1024  # parts of the hash space for the suffix filter
 SMALL = 8  # members up to which a bucket is paired directly
 BLOCK = 1024  # members of a block of a large bucket
-KNOWN_WORDS = 500_000
+SEEN = 50_000  # pairs a task remembers to leave out repeats; later steps leave out the rest
 MANY_ROWS = 1_000_000  # longest list of paths that is broadcast
-_LOW = np.uint64(0xFFFFFFFF)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _WordHashes()
 
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
@@ -39,9 +28,7 @@ def shingles(text: str | None, width: int = 5) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(_words) > KNOWN_WORDS:
-        _words.clear()
-    h = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     k = min(width, len(words))
     out = np.full(len(h) - k + 1, k, dtype=np.uint64)
     for i in range(k):
@@ -49,7 +36,8 @@ def shingles(text: str | None, width: int = 5) -> np.ndarray:
         out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(32)
-    return np.unique(out)
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
 
 
 def parities(tokens: np.ndarray) -> bytes:
@@ -209,7 +197,7 @@ def bucket_rows(postings: DataFrame, percent: int, hot: np.ndarray) -> DataFrame
                 ok = _possible(center[3], center[4], n[i], at[i], percent)
                 pairs.update((center[2], k) for k in keys.take(pa.array(i[ok])).to_pylist())
             pairs = [p for p in pairs if p not in emitted and p[0] != p[1]]
-            if len(emitted) > KNOWN_WORDS:
+            if len(emitted) > SEEN:
                 emitted.clear()
             emitted.update(pairs)
             if pairs:
@@ -281,17 +269,25 @@ def verified(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -
         documents = documents.join(F.broadcast(paths), "path", "left_semi")
     schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
     side = lambda s: documents.select(F.col("path").alias(s), F.col("doc").alias(f"d{s}"))
-    texts = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "da", "db")
+    texts = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "da", "db")  # equal a, the hubs, come together
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, mine = None, None
-        for batch in shared.chunks(batches, 500):
+        recent: dict[str, np.ndarray] = {}
+
+        def tokens(text: str) -> np.ndarray:
+            if text not in recent:
+                if len(recent) >= 64:
+                    recent.pop(next(iter(recent)))
+                recent[text] = shingles(text, width)
+            return recent[text]
+
+        for batch in shared.chunks(batches, 200):
             keep = []
             for i, (a, b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if a != last or mine is None:
-                    last, mine = a, shingles(a, width)
-                other = shingles(b, width)
-                both = len(np.intersect1d(mine, other, assume_unique=True))
+                mine, other = tokens(a), tokens(b)
+                merged = np.concatenate([mine, other])
+                merged.sort()
+                both = int((merged[1:] == merged[:-1]).sum())
                 if 100 * both >= percent * (len(mine) + len(other) - both):
                     keep.append(i)
             at = pa.array(keep, pa.int64())
@@ -340,7 +336,7 @@ def second_look(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
                         if a != b and (a, b) not in seen:
                             seen.add((a, b))
                             yield a, b
-            if len(seen) > KNOWN_WORDS:
+            if len(seen) > SEEN:
                 seen.clear()
 
         def flush(table: pa.Table):
