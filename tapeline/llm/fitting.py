@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SUM = "sums binary"
 FAN_IN = 32
@@ -45,6 +46,15 @@ def partition_sums(df: DataFrame, size: int, add: Callable[[np.ndarray, pa.Recor
     return total
 
 
+def known_labels(labels: DataFrame, label: str, fit_rows: int) -> DataFrame:
+    """(path, label 0/1) of about ``fit_rows`` labelled paths, chosen by the hash of the path. NULL paths and labels
+    are left out; a path that is named twice counts once, by its mean."""
+    known = labels.where(F.col("path").isNotNull() & F.col(label).isNotNull())
+    known = known.groupBy("path").agg((F.avg(label) >= 0.5).cast("int").alias(label))
+    share = min(1.0, fit_rows / max(1, known.count()))
+    return known.where(F.pmod(F.xxhash64(F.lit("fit"), F.col("path").cast("string")), F.lit(1 << 20)) < share * (1 << 20))
+
+
 def isotonic(ones: np.ndarray, counts: np.ndarray, prior: float = 1.0) -> np.ndarray:
     """Non-decreasing rates of fixed score bins by pooling adjacent violators; empty bins take no part and get
     the interpolated rate. Each pool is drawn towards the overall rate by ``prior`` rows."""

@@ -412,3 +412,18 @@ def jaccard_components(documents: DataFrame, path: str = "path", doc: str = "doc
     out = sets.join(of_class, "digest", "left")
     return out.select(F.col("path").alias(path), F.col("n").alias("n_shingles"),
                       F.when(F.col("path").isNotNull(), F.coalesce("component", "path")).alias("component"))
+
+
+def one_of_each(documents: DataFrame, path: str = "path", doc: str = "doc", width: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``documents`` without those that :func:`jaccard_components` puts in the component of a smaller
+    path; of rows that repeat a path one stays. All columns are kept, and rows with a NULL path stay. Texts are
+    not shuffled while the list of paths to leave out can be broadcast."""
+    found = shared.written(jaccard_components(documents, path, doc, width, percent), "found")
+    leave = shared.written(found.where(F.col("component") < F.col(path)).select(path).distinct(), "leave")
+    rows = documents.join(F.broadcast(leave) if leave.count() <= MANY_ROWS else leave, path, "left_anti")
+    twice = shared.written(found.where(F.col(path).isNotNull()).groupBy(path).count().where("count > 1").select(path), "twice")
+    n = twice.count()
+    if not n:
+        return rows
+    some = F.broadcast(twice) if n <= MANY_ROWS else twice
+    return rows.join(some, path, "left_anti").unionByName(rows.join(some, path, "left_semi").dropDuplicates([path]))

@@ -53,18 +53,21 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-def document_statistics(documents: DataFrame, path: str = "path", doc: str = "doc") -> DataFrame:
-    """(``path``, statistics array) of every document, NULL as empty; each text is read once."""
-    source = documents.select(F.col(path).alias("path"), F.col(doc).alias("doc"))
-    schema = T.StructType([source.schema["path"], T.StructField("statistics", T.ArrayType(T.DoubleType()))])
+def document_statistics(documents: DataFrame, doc: str = "doc") -> DataFrame:
+    """``documents`` with an array ``statistics`` in place of ``doc``; NULL counts as empty."""
+    names = documents.columns
+    at = names.index(doc)
+    others = [f for f in documents.schema.fields if f.name != doc]
+    schema = T.StructType([*others, T.StructField("statistics", T.ArrayType(T.DoubleType()))])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = shared.arrow_schema(schema)
         for batch in shared.chunks(batches):
-            rows = [statistics(t) for t in shared.texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.types[0]), pa.array(rows, out.types[1])], schema=out)
+            rows = pa.array([statistics(t) for t in shared.texts(batch.column(at))], out.types[-1])
+            kept = [batch.column(i) for i in range(len(names)) if i != at]
+            yield pa.RecordBatch.from_arrays([*[c.cast(t) for c, t in zip(kept, out.types)], rows], schema=out)
 
-    return source.mapInArrow(measure, schema)
+    return documents.mapInArrow(measure, schema)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -148,28 +151,42 @@ def fit_quality(examples: DataFrame, waves: int = 256, width: float = 4.0, ridge
     return model
 
 
+def quality_model(documents: DataFrame, labels: DataFrame, learn: Column | None = None, path: str = "path", doc: str = "doc",
+                  accepted: str = "accepted", fit_rows: int = 60_000) -> QualityModel:
+    """The model of :func:`quality_scores`, fitted on the statistics of the labelled documents."""
+    known = labels.select(F.col(path).alias("path"), F.col(accepted).cast("double").alias("accepted"))
+    known = fitting.known_labels(known if learn is None else known.where(learn), "accepted", fit_rows)
+    source = documents.select(F.col(path).alias("path"), F.col(doc).alias("doc"))
+    labelled = source.join(F.broadcast(known), "path")  # about fit_rows short rows at most
+    return fit_quality(shared.written(document_statistics(labelled), "statistics"))
+
+
 def quality_scores(documents: DataFrame, labels: DataFrame, learn: Column | None = None, path: str = "path", doc: str = "doc",
-                   accepted: str = "accepted") -> DataFrame:
+                   accepted: str = "accepted", fit_rows: int = 60_000) -> DataFrame:
     """(``path``, score) of every run document: how likely reviewers accept it, from its text alone.
 
     ``labels`` has ``path`` and ``accepted`` (0/1) for some documents; only labels where ``learn`` (a condition on the
-    path, default all) holds are learned from. Labels that name a path twice count once, by their mean.
+    path, default all) holds are learned from, and of those about ``fit_rows`` by the hash of the path. Labels that
+    name a path twice count once, by their mean. Every document is scored in one pass over its whole text.
     NULL and empty documents are scored by the model like any other; a repeated row is scored each time; a NULL
-    path is scored and never learned from; without usable labels every score is 0.5. An empty table gives no rows.
-    Other columns are ignored.
+    path is scored and never learned from; without usable labels every score is about 0.5. An empty table gives no
+    rows. Other columns are ignored.
     """
-    measured = shared.written(document_statistics(documents, path, doc), "statistics")
-    known = labels.select(F.col(path).alias("path"), F.col(accepted).cast("double").alias("accepted"))
-    known = (known if learn is None else known.where(learn)).where("accepted IS NOT NULL")
-    known = known.groupBy("path").agg((F.avg("accepted") >= 0.5).cast("double").alias("accepted"))
-    model = fit_quality(shared.written(measured.join(known, "path"), "examples"))
-    schema = T.StructType([measured.schema["path"], T.StructField("score", T.DoubleType())])
+    model = quality_model(documents, labels, learn, path, doc, accepted, fit_rows)
+    source = documents.select(F.col(path).alias("path"), F.col(doc).alias("doc"))
+    schema = T.StructType([source.schema["path"], T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = shared.arrow_schema(schema)
-        for batch in batches:
-            if batch.num_rows:
-                found = model.score(_matrix(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.types[0]), pa.array(found)], schema=out)
+        for batch in shared.chunks(batches):
+            found = model.score(np.array([statistics(t) for t in shared.texts(batch.column(1))]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.types[0]), pa.array(found)], schema=out)
+
+    return source.mapInArrow(score, schema).withColumnRenamed("path", path)
+
 
-    return measured.mapInArrow(score, schema).withColumnRenamed("path", path)
+def accepted_documents(documents: DataFrame, labels: DataFrame, learn: Column | None = None, path: str = "path", doc: str = "doc",
+                       accepted: str = "accepted", least: float = 0.7) -> DataFrame:
+    """The rows of ``documents`` with a score of ``least`` or more in :func:`quality_scores`, all columns kept."""
+    model = quality_model(documents, labels, learn, path, doc, accepted)
+    return shared.kept_rows(documents, doc, lambda texts: model.score(np.array([statistics(t) for t in texts])) >= least)

@@ -4,42 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import corpus_pipeline
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.llm import jaccard, packing, quality, secret_scan, toxicity
+from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
-def vocabulary_file(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def run_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """``documents`` as run documents: the id stands for the path."""
-    table = spark.read.parquet(f"{sf}/documents.parquet")
-    return table.select(F.col("doc_id").alias("path"), F.col("text").alias("doc"))
-
-
 @query
 def op1_sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack_documents(run_documents(spark, sf), vocabulary_file("byte_bpe_50k.json"))
     return packed.withColumnRenamed("path", "doc_id")
 
 
-def crc_of(column: str) -> Column:
-    return F.crc32(F.col(column).cast("string").cast("binary"))
-
-
 @query
 def op3_quality_kernel_ridge(spark: SparkSession, sf: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(

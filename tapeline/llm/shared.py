@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -44,3 +45,14 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def kept_rows(documents: DataFrame, doc: str, keep: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """The rows whose text ``keep`` says yes to, as they are; the texts stay where they are read."""
+    at = documents.columns.index(doc)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            yield batch.filter(pa.array(np.asarray(keep(texts(batch.column(at))), dtype=bool)))
+
+    return documents.mapInArrow(each, documents.schema)

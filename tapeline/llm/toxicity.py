@@ -253,6 +253,17 @@ def fit_toxicity(examples: DataFrame, language: LanguageModel, dictionary: int =
     return model
 
 
+def toxicity_model(documents: DataFrame, labels: DataFrame, learn: Column | None = None, path: str = "path", doc: str = "doc",
+                   toxic: str = "toxic", fit_rows: int = 60_000) -> ToxicityModel:
+    """The model of :func:`toxicity_scores`: a language model of all texts, weights from the labelled ones."""
+    source = documents.select(F.col(path).alias("path"), F.col(doc).alias("doc"))
+    known = labels.select(F.col(path).alias("path"), F.col(toxic).cast("double").alias("toxic"))
+    known = fitting.known_labels(known if learn is None else known.where(learn), "toxic", fit_rows)
+    language = language_model(source.select("doc"))
+    learned = source.join(F.broadcast(known), "path")  # about fit_rows short rows at most
+    return fit_toxicity(shared.written(learned, "examples"), language)
+
+
 def toxicity_scores(documents: DataFrame, labels: DataFrame, learn: Column | None = None, path: str = "path", doc: str = "doc",
                     toxic: str = "toxic", fit_rows: int = 60_000) -> DataFrame:
     """(``path``, score) of every text, such as run documents or event notes: how likely it is toxic.
@@ -264,15 +275,8 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, learn: Column | Non
     twice count once, by their mean; NULL paths and labels are not learned from; without usable labels every
     score is about 0.5. An empty table gives no rows. Other columns are ignored.
     """
+    model = toxicity_model(documents, labels, learn, path, doc, toxic, fit_rows)
     source = documents.select(F.col(path).alias("path"), F.col(doc).alias("doc"))
-    known = labels.select(F.col(path).alias("path"), F.col(toxic).cast("double").alias("toxic"))
-    known = (known if learn is None else known.where(learn)).where("toxic IS NOT NULL AND path IS NOT NULL")
-    known = known.groupBy("path").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
-    share = min(1.0, fit_rows / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64(F.lit("fit"), F.col("path").cast("string")), F.lit(1 << 20)) < share * (1 << 20))
-    language = language_model(source.select("doc"))
-    learned = source.join(F.broadcast(known), "path")  # about fit_rows short rows at most
-    model = fit_toxicity(shared.written(learned, "examples"), language)
     schema = T.StructType([source.schema["path"], T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,3 +286,10 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, learn: Column | Non
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.types[0]), pa.array(found)], schema=out)
 
     return source.mapInArrow(score, schema).withColumnRenamed("path", path)
+
+
+def clean_documents(documents: DataFrame, labels: DataFrame, learn: Column | None = None, path: str = "path", doc: str = "doc",
+                    toxic: str = "toxic", below: float = 0.5) -> DataFrame:
+    """The rows of ``documents`` with a score under ``below`` in :func:`toxicity_scores`, all columns kept."""
+    model = toxicity_model(documents, labels, learn, path, doc, toxic)
+    return shared.kept_rows(documents, doc, lambda texts: model.score(np.array([model.raw(t) for t in texts])) < below)
