@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tapeline.llm import shared
 
 SUM = "sums binary"
 FAN_IN = 32
@@ -55,6 +56,22 @@ def known_labels(labels: DataFrame, label: str, fit_rows: int) -> DataFrame:
     return known.where(F.pmod(F.xxhash64(F.lit("fit"), F.col("path").cast("string")), F.lit(1 << 20)) < share * (1 << 20))
 
 
+def commonest(counted: DataFrame, key: str, n: str, most: int) -> dict:
+    """The keys with the largest counts, at most ``most`` of them; keys at the border that would be too many all
+    stay out, so the result does not depend on their order. Only the counts' histogram and the result reach the
+    driver. ``counted`` is a written table."""
+    level = F.floor(F.log2(F.col(n).cast("double")) * 16)
+    least, total = None, 0
+    for row in sorted(counted.where(F.col(n) > 0).groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+        total += row["count"]
+        if total > most:
+            break
+        least = row.level
+    if least is None:
+        return {}
+    return {r[key]: r[n] for r in counted.where(level >= least).select(key, n).collect()}
+
+
 def isotonic(ones: np.ndarray, counts: np.ndarray, prior: float = 1.0) -> np.ndarray:
     """Non-decreasing rates of fixed score bins by pooling adjacent violators; empty bins take no part and get
     the interpolated rate. Each pool is drawn towards the overall rate by ``prior`` rows."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeline.llm import shared
+from tapeline.llm import fitting, shared
 
 # Names of credentials, words of made-up values, forms that name their provider.
 CREDENTIAL_WORDS = ("key", "token", "secret", "password", "passwd", "pwd", "credential", "auth", "bearer", "aws", "api")
@@ -117,7 +117,7 @@ def describe(text: str, start: int, end: int, kind: str, value: str, assigned: b
 
 
 def lexicon_of(documents: DataFrame, words: int = 50_000) -> Lexicon:
-    """The ``words`` words of 4 to 20 letters that most documents have, with their counts; all texts are counted."""
+    """The words of 4 to 20 letters that most documents have, up to ``words`` of them; all texts are counted."""
     pattern = re.compile(r"(?<![^\W\d_])[^\W\d_]{4,20}(?![^\W\d_])")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +134,7 @@ def lexicon_of(documents: DataFrame, words: int = 50_000) -> Lexicon:
             yield drained()
 
     counted = documents.select("doc").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return Lexicon({r.word: r.n for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(words).collect()})
+    return Lexicon(fitting.commonest(shared.written(counted.where("n > 1"), "words"), "word", "n", words))
 
 
 def _found(path, text: str, lexicon: Lexicon) -> list[tuple]:

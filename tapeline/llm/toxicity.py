@@ -218,9 +218,9 @@ def fit_toxicity(examples: DataFrame, language: LanguageModel, dictionary: int =
             found = [k for t in shared.texts(batch.column(0)) for k in features(language.restore(t))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["k"])
 
-    counted = fit.where("toxic = 1").select("doc").mapInArrow(evidence, "k string").groupBy("k").count()
-    common = counted.where(F.col("count") >= least).orderBy(F.desc("count"), "k").limit(dictionary).collect()
-    place = {r.k: i for i, r in enumerate(common)}
+    counted = fit.where("toxic = 1").select("doc").mapInArrow(evidence, "k string").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    common = fitting.commonest(shared.written(counted.where(F.col("n") >= least), "evidence"), "k", "n", dictionary)
+    place = {k: i for i, k in enumerate(sorted(common))}
     starts = {k[:3] for k in place}
     n = len(place)
 

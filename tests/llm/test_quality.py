@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from tapeline.llm import queries
-from tapeline.llm.fitting import isotonic
+from tapeline.llm.fitting import commonest, isotonic
 from tapeline.llm.quality import STATISTICS, QualityModel, quality_scores, statistics
 
 SF = "/root/testdata/sf0.01"
@@ -26,6 +26,13 @@ def test_isotonic_against_brute_force():
     assert (np.diff(got) >= 0).all()
 
 
+def test_commonest(spark):
+    counted = spark.createDataFrame([(f"w{i}", 1000 // (i + 1)) for i in range(200)], "word string, n long")
+    got = commonest(counted, "word", "n", 20)
+    assert 10 <= len(got) <= 20 and set(got) == {f"w{i}" for i in range(len(got))}
+    assert commonest(counted.where("false"), "word", "n", 5) == {}
+
+
 def test_waves_approximate_the_gaussian_kernel():
     rng = np.random.default_rng(1)
     d, width = len(STATISTICS), 4.0
