@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import jaccard, packing, quality, secret_scan, toxicity
+from tapeline.llm import digests, jaccard, packing, quality, secret_scan, toxicity
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op3_quality_kernel_ridge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op4_quartile_bucket_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return digests.document_digests(run_documents(spark, sf)).withColumnRenamed("path", "doc_id")
+
+
 @query
 def op7_forest_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The tables hold no reviewed findings, so those whose form settles them are the labelled ones."""
