@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import digests, jaccard, packing, quality, secret_scan, toxicity
+from tapeline.llm import bpe, digests, jaccard, packing, quality, secret_scan, toxicity
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,15 @@ def op4_quartile_bucket_digest(spark: SparkSession, sf: str) -> DataFrame:
     return digests.document_digests(run_documents(spark, sf)).withColumnRenamed("path", "doc_id")
 
 
+@query
+def op6_recursive_query_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    found = bpe.encode_documents(run_documents(spark, sf), vocabulary_file("byte_bpe_multi_50k.tiktoken"), decode=True)
+    return found.select(
+        F.col("path").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op7_forest_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The tables hold no reviewed findings, so those whose form settles them are the labelled ones."""
