@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, digests, jaccard, packing, quality, secret_scan, toxicity
+from tapeline.llm import bpe, digests, jaccard, packing, quality, secret_scan, shared, toxicity, warc
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,31 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.withColumnRenamed("path", "doc_id")
 
 
+@query
+def op2_sharded_warc_writer(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    folder = f"{shared.shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(pages, folder, "page_id", "html", "url")
+    return warc.read_archives(spark, folder, "page_id", pages.schema["page_id"].dataType)
+
+
+ORACLE["op2_sharded_warc_writer"] = """
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), led AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload) AS leader FROM rows
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31)::BIGINT, 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id < leader THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < leader THEN leader END AS refers_to
+FROM led
+"""
+
+
 @query
 def op3_quality_kernel_ridge(spark: SparkSession, sf: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(

@@ -17,7 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor reaches: ``spark.checkpoint.dir``; only a local session may go without."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        place = spark._jvm.org.apache.hadoop.fs.Path(named)  # with its scheme, which executors' own libraries need
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return "file://" + tempfile.mkdtemp(prefix="tapeline-")
