@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, digests, jaccard, packing, quality, secret_scan, shared, toxicity, warc
+from tapeline.llm import bpe, digests, jaccard, packing, quality, search, secret_scan, shared, toxicity, warc
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,39 @@ def op4_quartile_bucket_digest(spark: SparkSession, sf: str) -> DataFrame:
     return digests.document_digests(run_documents(spark, sf)).withColumnRenamed("path", "doc_id")
 
 
+@query
+def op5_block_max_wand(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document whose id is divisible by 100 is a query against all documents."""
+    documents = run_documents(spark, sf)
+    asked = documents.where("path % 100 = 0").withColumnRenamed("path", "query")
+    return search.search_documents(documents, asked).withColumnsRenamed({"query": "query_id", "path": "doc_id"})
+
+
+ORACLE["op5_block_max_wand"] = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM documents
+), tf AS (
+    SELECT doc_id, word, count(*) AS tf FROM words GROUP BY doc_id, word
+), lengths AS (
+    SELECT doc_id, sum(tf) AS len FROM tf GROUP BY doc_id
+), corpus AS (
+    SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(len) FROM lengths) / (SELECT count(*) FROM documents) AS average
+), idf AS (
+    SELECT word, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, corpus GROUP BY word
+), scored AS (
+    SELECT q.doc_id AS query_id, d.doc_id,
+           round(sum(idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * len / average))), 6) AS score
+    FROM tf q JOIN tf d USING (word) JOIN idf USING (word) JOIN lengths ON lengths.doc_id = d.doc_id, corpus
+    WHERE q.doc_id % 100 = 0
+    GROUP BY q.doc_id, d.doc_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
 @query
 def op6_recursive_query_bpe(spark: SparkSession, sf: str) -> DataFrame:
     found = bpe.encode_documents(run_documents(spark, sf), vocabulary_file("byte_bpe_multi_50k.tiktoken"), decode=True)
