@@ -405,8 +405,8 @@ def jaccard_components(documents: DataFrame, path: str = "path", doc: str = "doc
     labels = shared.written(graph.components(links), "labels")
     open_pairs = shared.written(second_look(members, labels, sized, percent).join(first, ["a", "b"], "left_anti"), "pairs")
     if open_pairs.limit(1).count():
-        links = shared.written(links.union(verified(open_pairs, kept, width, percent)), "links")
-        labels = shared.written(graph.components(links), "labels")
+        more_links = verified(open_pairs, kept, width, percent)
+        labels = shared.written(graph.components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more_links)), "labels")
     of_class = classes.join(labels, classes["path"] == labels["node"], "left").where("copies > 1 OR component IS NOT NULL")
     of_class = shared.written(of_class.select("digest", F.coalesce("component", "path").alias("component")), "components")
     out = sets.join(of_class, "digest", "left")

@@ -46,6 +46,7 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def kept_rows(documents: DataFrame, doc: str, keep: Callable[[list[str]], np.ndarray]) -> DataFrame:

@@ -97,7 +97,9 @@ def test_parity_bound_never_exceeds_the_difference():
         assert jaccard.apart(*bits)[0] <= len(np.setxor1d(a, b))
 
 
-def test_components_of_chains_stars_and_cycles(spark):
+@pytest.mark.parametrize("chunk", [1, 3, 100_000])
+def test_components_of_chains_stars_and_cycles(spark, monkeypatch, chunk):
+    monkeypatch.setattr(graph, "CHUNK", chunk)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, k) for k in range(501, 560)] + [(7, 8), (8, 9), (9, 7), (3, 3), (8, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{k: 500 for k in range(500, 560)}, 7: 7, 8: 7, 9: 7}
