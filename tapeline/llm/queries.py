@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, digests, jaccard, packing, quality, search, secret_scan, shared, toxicity, warc
+from tapeline.llm import bpe, digests, jaccard, licenses, packing, quality, search, secret_scan, shared, toxicity, warc
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,11 @@ def op7_forest_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op8_patience_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_licenses(run_documents(spark, sf)).withColumnRenamed("path", "doc_id")
+
+
 @query
 def op9_noisy_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("path"), "toxic")
