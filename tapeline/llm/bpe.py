@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tapeline.llm import shared
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000  # some 200 MB in a worker
 LONG_WORD = 64  # bytes from which a word is looked at for places that no token crosses
 STEP_ROWS = 4_000_000  # rows one recursive query may add before its state is taken over by the next
 
@@ -42,6 +42,14 @@ FROM ids JOIN vocabulary USING (token) GROUP BY document
 _codecs: dict[str, "Codec"] = {}
 
 
+def _is_text(token: bytes) -> bool:
+    try:
+        token.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Codec:
     """A vocabulary of ranks with its merge table, in a DuckDB of the task's own."""
 
@@ -67,6 +75,8 @@ class Codec:
         self._store("merges", pa.table({"a": a, "b": b, "rank": rank}))
         text = [t.hex() for t in ranks]
         self._store("vocabulary", pa.table({"token": pa.array(ranks.values(), pa.int32()), "text": text}))
+        # a word that is a token is that token
+        self.whole = {t.decode(): np.int32(r).tobytes() for t, r in ranks.items() if _is_text(t)}
         self.known: dict[str, bytes] = {}
 
     def _store(self, name: str, rows: pa.Table) -> None:
@@ -120,13 +130,20 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        ids = dict(zip(new, self.encode_words(new))) if new else {}
-        known.update((w, b) for w, b in ids.items() if len(w) <= LONG_WORD)
-        return [b"".join([known[w] if w in known else ids[w] for w in words]) for words in split]
+        new = list(set().union(*split).difference(known))
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
+            new = list(set().union(*split))
+        whole = {w: self.whole[w] for w in new if w in self.whole}
+        rest = [w for w in new if w not in whole]
+        known.update(whole)
+        known.update(zip(rest, self.encode_words(rest)))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in rest:
+            if len(w) > LONG_WORD:
+                del known[w]
+        return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each id sequence; ids outside the vocabulary have none."""
