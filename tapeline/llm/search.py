@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from tapeline.llm import shared
 
 K1, B = 1.2, 0.75
-BLOCK = 32  # documents of a block
-FIRST_BLOCKS = 16  # blocks scored before anything is pruned
+BLOCK = 64  # documents of a block
+FIRST_BLOCKS = 8  # blocks scored before anything is pruned
+DENSE = 8  # a term that one document in so many has is kept as a row over all documents
 DIGITS = 6  # scores are rounded, so that equal texts tie whatever the order of additions
 _WORDS = bytes(i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
 
@@ -56,51 +57,69 @@ class Shard:
         self.terms = entry_term[first]
         self.term_start = np.append(first, len(entry_term))
         self.blocks = -(-len(texts) // BLOCK)
+        postings = self.entry_start[self.term_start]
+        self.dense_row = np.full(len(self.terms), -1)
+        often = np.flatnonzero(np.diff(postings) * DENSE >= max(len(texts), BLOCK))
+        self.dense_row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.blocks * BLOCK))
+        for row, t in zip(self.dense, often):
+            row[doc[postings[t] : postings[t + 1]]] = self.weights[postings[t] : postings[t + 1]]
 
     def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of documents that contain a query term and reach the k-th best score of this shard.
 
-        A block's bound is the sum of its terms' maxima. The blocks with the largest bounds are scored first; after
-        that only blocks whose bound reaches the k-th best score so far are.
+        Common terms are rows over all documents and added up first. A block's bound is its best sum so far and the
+        maxima of its other terms. The blocks with the largest bounds are finished first; after that only blocks whose
+        bound reaches the k-th best score so far are.
         """
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
         here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         at, idf = at[here], idf[here]
+        scores = np.zeros(self.blocks * BLOCK)
         if not len(at):
             return np.empty(0, int), np.empty(0)
-        entries, which = _ranges(self.term_start[at], self.term_start[at + 1])
-        weight = idf[which]
+        row = self.dense_row[at]
+        part = np.empty_like(scores)
+        for r, w in zip(row[row >= 0].tolist(), idf[row >= 0].tolist()):
+            np.multiply(self.dense[r], w, out=part)
+            scores += part
+        at, idf = at[row < 0], idf[row < 0]
+        start, size = self.term_start[at], self.term_start[at + 1] - self.term_start[at]
+        entries = _ranges(start, size)
+        weight = np.repeat(idf, size)
         block = self.entry_block[entries]
-        bound = np.bincount(block, weights=weight * self.entry_max[entries], minlength=self.blocks) + 10.0**-DIGITS
-        scores = np.zeros(self.blocks * BLOCK)
+        bound = np.bincount(block, weights=weight * self.entry_max[entries], minlength=self.blocks).astype(np.float64)
+        bound += scores.reshape(self.blocks, BLOCK).max(axis=1) + 10.0**-DIGITS
 
-        def score(mask: np.ndarray) -> None:
+        def finish(mask: np.ndarray) -> None:
             use = mask[block]
             own = entries[use]
-            postings, entry = _ranges(self.entry_start[own], self.entry_start[own + 1])
-            # terms come in the same order for every document, so equal documents get equal sums
-            scores[:] += np.bincount(self.docs[postings], weights=weight[use][entry] * self.weights[postings], minlength=len(scores))
+            size = self.entry_start[own + 1] - self.entry_start[own]
+            postings = _ranges(self.entry_start[own], size)
+            added = np.repeat(weight[use], size) * self.weights[postings]
+            scores[:] += np.bincount(self.docs[postings], weights=added, minlength=len(scores))
 
-        def least() -> float:
-            return np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        def least(of: np.ndarray) -> float:
+            return np.partition(of, -k)[-k] if len(of) >= k else 0.0
 
         first = np.zeros(self.blocks, dtype=bool)
         first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
-        score(first)
-        rest = ~first & (bound >= max(least(), 1e-12))
+        finish(first)
+        rest = ~first & (bound >= max(least(scores), 1e-12))
         if rest.any():
-            score(rest)
-        scores = np.round(scores, DIGITS)
-        rows = np.flatnonzero((scores > 0) & (scores >= least()))
-        return self.order[rows], scores[rows]
-
-
-def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges one after the other, and the range each is from."""
-    size = end - start
-    which = np.repeat(np.arange(len(size)), size)
-    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + start[which], which
+            finish(rest)
+        done = np.repeat(first | rest, BLOCK)
+        rows = np.flatnonzero(done & (scores > 0))
+        found = np.round(scores[rows], DIGITS)
+        best = found >= least(found)
+        return self.order[rows[best]], found[best]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
 
 
 def _ready_queries(source: DataFrame, queries: DataFrame) -> tuple[DataFrame, float]:

@@ -35,9 +35,10 @@ def corpus(seed, n):
     return [(i, " ".join(word[x] for x in rng.choice(300, rng.integers(1, 60), p=share / share.sum()))) for i in range(n)]
 
 
-@pytest.mark.parametrize("k,shard,first", [(10, 50, 16), (3, 1000, 1), (1, 20, 1), (500, 64, 2)])
-def test_against_brute_force(spark, frame, monkeypatch, k, shard, first):
+@pytest.mark.parametrize("k,shard,first,dense", [(10, 50, 16, 8), (3, 1000, 1, 0), (1, 20, 1, 2), (500, 64, 2, 1000)])
+def test_against_brute_force(spark, frame, monkeypatch, k, shard, first, dense):
     monkeypatch.setattr(search, "FIRST_BLOCKS", first)
+    monkeypatch.setattr(search, "DENSE", dense)
     monkeypatch.setattr(search, "BLOCK", 4)
     docs = corpus(3, 240) + [(400 + i, corpus(3, 5)[4][1]) for i in range(6)]
     queries = docs[::20] + [(9000, "w1 nothing"), (9001, "absent"), (9002, None), (9003, "")]
@@ -56,7 +57,7 @@ def test_blocks_are_pruned(monkeypatch):
     texts[7] = terms_of("rare words here rare")
     index = search.Shard(texts, 20.0)
     seen = []
-    monkeypatch.setattr(search, "_ranges", lambda s, e, f=search._ranges: seen.append(int((e - s).sum())) or f(s, e))
+    monkeypatch.setattr(search, "_ranges", lambda s, n, f=search._ranges: seen.append(int(n.sum())) or f(s, n))
     rows, scores = index.top(np.unique(terms_of("rare words here w1")), np.full(4, 5.0), 1)
     assert rows.tolist() == [7] and seen[1] + sum(seen[2:]) < len(index.docs) / 2
 
