@@ -26,6 +26,7 @@ def partition_sums(df: DataFrame, size: int, add: Callable[[np.ndarray, pa.Recor
                 add(total, batch)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+        shared.give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(size), False

@@ -226,6 +226,7 @@ def bucket_rows(postings: DataFrame, percent: int, hot: np.ndarray) -> DataFrame
         if held is not None:
             rows, _ = work(held, True)
             yield from rows
+        shared.give_back()
 
     hot_slots = postings.sparkSession.sparkContext.broadcast(hot)
     return postings.mapInArrow(each, schema)
@@ -355,6 +356,7 @@ def second_look(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
             held = table.slice(cuts[-2]).to_batches()
         if held:
             yield from flush(pa.Table.from_batches(held))
+        shared.give_back()
 
     ready = dealt.select("token", "i", "j", "own", "a", "component", "n", "parity")
     return ready.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "a").mapInArrow(each, schema).distinct()

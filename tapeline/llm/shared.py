@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,6 +33,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
@@ -41,12 +45,19 @@ def texts(column) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def give_back() -> None:
+    """Return free memory to the system: a worker lives on, and would keep what its largest batch has needed."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``rows`` rows, so that what a task holds beside its input stays small."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
-    pa.default_memory_pool().release_unused()  # the worker lives on
+    give_back()
 
 
 def kept_rows(documents: DataFrame, doc: str, keep: Callable[[list[str]], np.ndarray]) -> DataFrame:
