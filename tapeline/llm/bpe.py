@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from tapeline.llm import shared
 
-KNOWN_WORDS = 1_000_000  # some 200 MB in a worker
+KNOWN_WORDS = 500_000  # some 100 MB in a worker
 LONG_WORD = 64  # bytes from which a word is looked at for places that no token crosses
-STEP_ROWS = 4_000_000  # rows one recursive query may add before its state is taken over by the next
+STEP_ROWS = 3_000_000  # rows one recursive query may add before its state is taken over by the next
 
 # Each step contracts, in every word that still has a mergeable pair, the leftmost pair of smallest rank. Words without
 # one drop out; the last state of a word is its encoding, unless the steps ran out.
@@ -70,7 +70,7 @@ class Codec:
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
                     merges.append((a, b, rank))
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         a, b, rank = (pa.array(c, pa.int32()) for c in zip(*merges))
         self._store("merges", pa.table({"a": a, "b": b, "rank": rank}))
         text = [t.hex() for t in ranks]

@@ -140,7 +140,7 @@ def _ready_queries(source: DataFrame, queries: DataFrame) -> tuple[DataFrame, fl
                 terms = terms_of(text)
                 documents, words = documents + 1, words + len(terms)
                 held.append(np.unique(terms))
-            if sum(map(len, held)) > 4_000_000:
+            if sum(map(len, held)) > 2_000_000:
                 yield drained()
                 held.clear()
         if held:
@@ -168,7 +168,7 @@ def _ready_queries(source: DataFrame, queries: DataFrame) -> tuple[DataFrame, fl
 
 
 def search_documents(documents: DataFrame, queries: DataFrame, k: int = 10, path: str = "path", doc: str = "doc", query: str = "query",
-                     query_doc: str = "doc", shard_documents: int = 16_384) -> DataFrame:
+                     query_doc: str = "doc", shard_documents: int = 8192) -> DataFrame:
     """(``query``, rank, ``path``, score) of the ``k`` best run documents for each query text, exactly.
 
     BM25 over the distinct words of the query, with document counts and mean length of the whole corpus; scores are
@@ -200,6 +200,7 @@ def search_documents(documents: DataFrame, queries: DataFrame, k: int = 10, path
             return
         index = Shard(texts, average)
         del texts
+        shared.give_back()
         keys = pa.array(paths, out.types[1])
         for uri in place:
             store, name = fs.FileSystem.from_uri(uri)
@@ -214,6 +215,8 @@ def search_documents(documents: DataFrame, queries: DataFrame, k: int = 10, path
                         scores.append(score)
                     at, rows, scores = (np.concatenate(c) for c in (names, rows, scores))
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)).cast(out.types[0]), keys.take(pa.array(rows)), pa.array(scores)], schema=out)
+        del index, keys
+        shared.give_back()
 
     shards = max(1, -(-source.count() // shard_documents))
     found = source.coalesce(shards).mapInArrow(each, schema)
