@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tapeline.operators.scale import order_stats
 
-MAX_CENTROID_CELLS = 5_000_000
+CENTROID_CELLS = 2_000_000  # cells that ship with a task at once
 ASSIGN = T.StructType([T.StructField("cluster", T.IntegerType()), T.StructField("sq_dist", T.DoubleType())])
 
 
@@ -32,10 +32,22 @@ def zscore(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, tup
 def assign(df: DataFrame, cols: Sequence[str], centroids: np.ndarray) -> DataFrame:
     """Nearest centroid of each row (the lowest index wins a tie) and the squared distance.
 
-    ``centroids`` is k x d and ships with the task; its size is checked, the rows never move.
+    ``centroids`` is k x d and ships with the task, a block of at most ``CENTROID_CELLS`` cells at a time; the
+    rows never move.
     """
-    if centroids.size > MAX_CENTROID_CELLS:
-        raise ValueError(f"{centroids.size} centroid cells are too many to ship")
+    rows = max(1, CENTROID_CELLS // max(1, centroids.shape[1]))
+    out = df
+    for start in range(0, len(centroids), rows):
+        near = _nearest(centroids[start : start + rows], start)(*[F.col(k) for k in cols])
+        out = out.withColumn("_near", near)
+        if start:
+            out = out.withColumn("_best", F.when(F.col("_near.sq_dist") < F.col("_best.sq_dist"), F.col("_near")).otherwise(F.col("_best")))
+        else:
+            out = out.withColumn("_best", F.col("_near"))
+    return out.select(*df.columns, "_best.*")
+
+
+def _nearest(centroids: np.ndarray, first: int):
     c = np.ascontiguousarray(centroids, dtype=float)
 
     @F.pandas_udf(ASSIGN)
@@ -50,9 +62,9 @@ def assign(df: DataFrame, cols: Sequence[str], centroids: np.ndarray) -> DataFra
                     d += (x[lo : lo + step, j, None] - c[None, :, j]) ** 2
                 idx[lo : lo + step] = d.argmin(axis=1)
                 dist[lo : lo + step] = d.min(axis=1)
-            yield pd.DataFrame({"cluster": idx, "sq_dist": dist})
+            yield pd.DataFrame({"cluster": idx + first, "sq_dist": dist})
 
-    return df.withColumn("_near", nearest(*[F.col(k) for k in cols])).select("*", "_near.*").drop("_near")
+    return nearest
 
 
 def lloyd(df: DataFrame, cols: Sequence[str], k: int, order: Sequence[str], max_iter: int = 300, tol: float = 1e-12) -> np.ndarray:

@@ -31,7 +31,6 @@ AGE_RANGE = (20, 59)
 HEIGHT_BOUNDS = (1.0, 2.2)
 WEIGHT_BOUNDS = (20.0, 250.0)
 FORCED_MM_SOURCE = "7th"
-MAX_UNITS = 10_000
 
 
 def as_warnings(df: DataFrame) -> DataFrame:
@@ -143,33 +142,6 @@ def infer_units(long: DataFrame, order: Sequence[str], sample_size: int = 100) -
     return med.withColumn("unit", unit)
 
 
-def infer_units_by_head(
-    rows: DataFrame, keys: Sequence[str], repaired: Callable[[DataFrame, list[str]], DataFrame],
-    order: Sequence[str], sample_size: int = 100, head_rows: int = 1000,
-) -> DataFrame:
-    """:func:`infer_units` from the wide rows, reading as little as the sample needs.
-
-    The first rows of each source nearly always hold the whole sample of a key, and a prefix gives the
-    exact sample; only the keys it leaves short are looked for in all rows. The result has one row per
-    source and key. ``repaired`` turns wide rows into the long form for the given keys.
-    """
-    pos = [c for c in order if c != "value"]
-    head = first_k(rows, ["source"], [F.col(c) for c in pos], head_rows, "_h").drop("_h")
-    first = infer_units(repaired(head, list(keys)), order, sample_size).collect()
-    done = {(r["source"], r["key"]) for r in first if r["n_sample"] >= sample_size}
-    sources = [r["source"] for r in head.select("source").distinct().collect()]
-    short = [(s, k) for s in sources for k in keys if (s, k) not in done]
-    found = [r for r in first if (r["source"], r["key"]) in done]
-    schema = "source string, key string, sample_median double, n_sample long, unit string"
-    if short:
-        left = sorted({k for _, k in short})
-        of = sorted({s for s, _ in short})
-        rest = infer_units(repaired(rows.where(F.col("source").isin(of)), left), order, sample_size).collect()
-        found += [r for r in rest if (r["source"], r["key"]) in short]
-    units = rows.sparkSession.createDataFrame([tuple(r) for r in found], schema)
-    return F.broadcast(units) if len(found) <= MAX_UNITS else units
-
-
 def canonicalize(long: DataFrame, units: DataFrame) -> DataFrame:
     """Apply the unit map; every row says how its key was treated.
 
@@ -306,7 +278,8 @@ def curate_source(
     tagged = fixed.withColumn("source", F.lit(source))
     unpivoted = lambda d, keys: to_long(d.select("source", order, *keys), ["source", order], keys)
     long = unpivoted(tagged, numeric)
-    units = infer_units_by_head(tagged, numeric, unpivoted, [order])
+    # one row per column of the mapping, collected once: the plans below do not infer the units again
+    units = spark.createDataFrame(infer_units(long, [order]).collect(), "source string, key string, sample_median double, n_sample long, unit string")
     unit_map = {r["key"]: r["unit"] for r in units.collect()}
     wide = apply_units_wide(fixed.withColumnRenamed(order, "_" + order), unit_map, source)
     found = unit_findings(canonicalize(long, units)).select(

@@ -20,7 +20,7 @@ STUCK_MIN = 5
 THIN_MIN = 7
 THIN_CHARS = 12
 STALE_HOURS = 24
-REGISTRY_LOOKBACK = 1000
+EVIDENCE_SHOWN = 3
 MISSING, BACKFILLED = "STEP_ID_MISSING", "STEP_ID_BACKFILLED"
 ORDINAL_BLOCK = 100_000
 
@@ -133,13 +133,13 @@ def round_balance(events: DataFrame, now: Column, hours: int = 24) -> DataFrame:
     ).withColumn("end_missing", F.col("starts") > F.col("ends"))
 
 
-def registry_records(events: DataFrame) -> DataFrame:
-    """Registry records of round-end events: lane and run from the first run path, up to three
-    evidence paths, gate codes with the two quality codes, the manifest path."""
+def registry_records(events: DataFrame, shown: int = EVIDENCE_SHOWN) -> DataFrame:
+    """Registry records of round-end events: up to ``shown`` evidence paths, lane and run of the last of them,
+    gate codes with the two quality codes, the manifest path."""
     ends = events.where(F.lower("event_type") == "round_end").withColumn("paths", P.event_paths(F.col("paths")))
-    ev = F.slice(F.filter("paths", lambda p: P.run_id_of(p).isNotNull()), 1, 3)
+    ev = F.slice(F.filter("paths", lambda p: P.run_id_of(p).isNotNull()), 1, shown)
     e = ends.withColumn("evidence", ev).where(F.size("evidence") > 0)
-    last = F.element_at("evidence", -1)
+    last = F.try_element_at("evidence", F.lit(-1))
     e = e.withColumns({"lane": P.lane_of(last), "run_id": P.run_id_of(last)})
     prefix = F.concat(F.lit("exports/runs/"), F.col("lane"), F.lit("/"), F.col("run_id"), F.lit("/"))
     manifests = F.filter("evidence", lambda p: F.lower(p).contains("manifest"))
@@ -163,9 +163,10 @@ def registry_records(events: DataFrame) -> DataFrame:
 REGISTRY_KEY = ["module", "lane", "run_id", "round_id"]
 
 
-def new_records(records: DataFrame, registry: DataFrame, lookback: int = REGISTRY_LOOKBACK) -> DataFrame:
-    """First record per key that is not among the last ``lookback`` registry entries."""
-    known = registry.orderBy(F.desc("ordinal")).limit(lookback).select(*REGISTRY_KEY)
+def new_records(records: DataFrame, registry: DataFrame, lookback: int | None = None) -> DataFrame:
+    """First record per key that the registry does not hold; with ``lookback``, that is not among its last entries."""
+    known = registry if lookback is None else registry.orderBy(F.desc("ordinal")).limit(lookback)
+    known = known.select(*REGISTRY_KEY).distinct()
     fresh = records.join(known, REGISTRY_KEY, "left_anti")
     return first_k(fresh, REGISTRY_KEY, [F.asc("ordinal")], 1, "_r").drop("_r")
 

@@ -178,9 +178,7 @@ def arm_lengths(verts: DataFrame, boxes: DataFrame) -> DataFrame:
     at = {"shoulder": 0.15, "wrist": 0.50}
     near = lambda r: F.abs(F.col("y") - (F.col("y_max") - r * F.col("span_y"))) < 0.05 * F.col("span_y")
     v = verts.join(boxes.select("case_id", "y_max", "span_y"), "case_id")
-    pick = lambda r: F.max_by(
-        F.struct("x", "y", "z"), F.when(near(r), F.struct("x", (-F.col("vertex_id")).alias("v")))
-    )
+    pick = lambda r: F.min_by(F.struct("x", "y", "z"), F.when(near(r), F.struct((-F.col("x")).alias("x"), "vertex_id")))
     ends = v.groupBy("case_id").agg(
         *[F.when(F.count_if(near(r)) > 0, pick(r)).alias(n) for n, r in at.items()]
     )

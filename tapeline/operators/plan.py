@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.operators.scale import sample_text
-
 # Levels in order, valid modules and phases.
 LEVELS = ("M0", "M1", "M2")
 MODULES = ("body", "garment", "fitting", "common")
@@ -27,26 +25,33 @@ def reached_levels(events: DataFrame) -> DataFrame:
     )
 
 
-def plan_state(steps: DataFrame, edges: DataFrame, reached: DataFrame) -> DataFrame:
-    """Each step as done, ready or blocked, with how many requirements it lacks.
+def unmet_requirements(steps: DataFrame, edges: DataFrame, reached: DataFrame) -> DataFrame:
+    """(step_id, from_step) of every requirement that a step lacks, whatever the step's own state.
 
     ``edges`` (step_id, from_step, min_level): the strongest of a repeated requirement holds. A
     dependency counts when it is itself done and reached the asked level.
     """
-    have = steps.join(reached, "step_id", "left").withColumn(
-        "done", F.coalesce(F.col("reached") >= level_rank(F.col("m_level")), F.lit(False))
-    )
+    have = _with_done(steps, reached)
     need = edges.groupBy("step_id", "from_step").agg(F.max(level_rank(F.col("min_level"))).alias("need"))
     met = need.join(have.select(F.col("step_id").alias("from_step"), "done", "reached"), "from_step", "left")
-    unmet = met.where(~(F.coalesce("done", F.lit(False)) & F.coalesce(F.col("reached") >= F.col("need"), F.lit(False))))
-    lack = unmet.groupBy("step_id").agg(F.count("*").alias("n_unmet"))
-    names = sample_text(unmet, ["step_id"], [F.col("from_step")], 5, "from_step", "unmet")
-    out = have.join(lack, "step_id", "left").join(names, "step_id", "left")
+    unmet = ~(F.coalesce("done", F.lit(False)) & F.coalesce(F.col("reached") >= F.col("need"), F.lit(False)))
+    return met.where(unmet).select("step_id", "from_step")
+
+
+def _with_done(steps: DataFrame, reached: DataFrame) -> DataFrame:
+    return steps.join(reached, "step_id", "left").withColumn(
+        "done", F.coalesce(F.col("reached") >= level_rank(F.col("m_level")), F.lit(False))
+    )
+
+
+def plan_state(steps: DataFrame, edges: DataFrame, reached: DataFrame) -> DataFrame:
+    """Each step as done, ready or blocked, with how many of its :func:`unmet_requirements` it lacks."""
+    lack = unmet_requirements(steps, edges, reached).groupBy("step_id").agg(F.count("*").alias("n_unmet"))
+    out = _with_done(steps, reached).join(lack, "step_id", "left")
     state = F.when(F.col("done"), "done").when(F.col("n_unmet") > 0, "blocked").otherwise("ready")
     return out.select(
         "step_id", "module", "phase", state.alias("state"),
         F.when(F.col("done"), 0).otherwise(F.coalesce("n_unmet", F.lit(0))).cast("bigint").alias("n_unmet"),
-        F.when(F.col("done"), "").otherwise(F.coalesce("unmet", F.lit(""))).alias("unmet"),
     )
 
 

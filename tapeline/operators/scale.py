@@ -212,18 +212,3 @@ def neighbour(
     return joined.select(
         *[c for c in df.columns], *[F.col("_near")[c].alias(prefix + c) for c in cols]
     )
-
-
-def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """The rows as a broadcast side, after checking that there are at most ``max_rows`` of them."""
-    rows = df.limit(max_rows + 1).count()
-    if rows > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows, not broadcast")
-    return F.broadcast(df)
-
-
-def small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A dictionary-sized relation, computed once: up to ``max_rows`` rows come back as a broadcast side,
-    so joins with it move nothing. A larger one stays as it is and joins by shuffle."""
-    rows = df.limit(max_rows + 1).collect()
-    return df if len(rows) > max_rows else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions import keys as K
 from tapeline.functions import numbers as N
-from tapeline.operators.scale import bounded, exact_quantiles, first_k, join_keys, order_stats, sample_text
+from tapeline.operators.scale import exact_quantiles, first_k, join_keys, order_stats, sample_text
+from tapeline.operators.sets import containing
 
 # Sensor thresholds.
 SCALE_HIGH = 10.0
@@ -126,8 +127,9 @@ def high_missing(quality: DataFrame, rate: float = HIGH_MISSING) -> DataFrame:
 
 
 def source_order(quality: DataFrame) -> DataFrame:
-    """Keys of each source ranked by missing rate, worst first (a dictionary-sized relation)."""
-    return first_k(quality, ["source"], [F.desc("missing_rate"), F.asc("key")], 1000, "position")
+    """Keys of each source ranked by missing rate, worst first (a row per source and column)."""
+    worst = Window.partitionBy("source").orderBy(F.desc("missing_rate"), F.asc("key"))
+    return quality.withColumn("position", F.row_number().over(worst))
 
 
 def stage_trace(stages: DataFrame, keys: Sequence[str], order: Sequence[str], samples: int = 20) -> DataFrame:
@@ -171,7 +173,7 @@ def header_variants(names: DataFrame) -> DataFrame:
 
 def header_candidates(profile: DataFrame, patterns: DataFrame) -> DataFrame:
     """Columns whose name holds one of the patterns, with their completeness."""
-    return profile.join(bounded(patterns, 10_000, "name patterns"), F.col("name").contains(F.col("pattern")))
+    return containing(profile, "name", patterns, "pattern")
 
 
 def value_profile(

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions import paths as P
-from tapeline.operators.scale import bounded, first_k, join_keys
+from tapeline.operators.scale import first_k, join_keys
 
-HEADER_LIMIT = 100_000
+GRAM = 3
 
 
 def presence_matrix(names: DataFrame, sources: Sequence[str], name: str = "name", source: str = "source") -> DataFrame:
@@ -38,17 +38,29 @@ def newly_true(now: DataFrame, before: DataFrame, keys: Sequence[str], flag: str
     return now.where(flag).select(*keys).exceptAll(before.where(flag).select(*keys).distinct())
 
 
+def containing(long: DataFrame, whole: str, short: DataFrame, part: str) -> DataFrame:
+    """Pairs of rows where the text ``whole`` contains the text ``part``, without comparing all pairs.
+
+    A text that contains another holds its first ``GRAM`` characters, so the pairs meet on those: an equi-join of
+    the grams of the one with the start of the other, checked afterwards. An empty ``part`` is in every text.
+    """
+    size = F.least(F.length(part), F.lit(GRAM))
+    text = F.col(whole)
+    at = lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))
+    grams = F.concat(F.array(F.lit("")), *[F.when(F.length(text) >= n, at(n)).otherwise(F.array().cast("array<string>")) for n in range(1, GRAM + 1)])
+    held = long.where(text.isNotNull()).withColumn("_gram", F.explode(F.array_distinct(grams)))
+    keyed = short.where(F.col(part).isNotNull()).withColumn("_gram", F.substring(F.col(part), F.lit(1), size))
+    return held.join(keyed, "_gram").where(text.contains(F.col(part))).drop("_gram")
+
+
 def first_match(terms: DataFrame, columns: DataFrame) -> DataFrame:
     """For each term the column named exactly so, else the first one that contains it or is contained.
 
-    ``columns`` (name, position) is a header, not data; at most one row per term leaves.
+    ``columns`` has (name, position); at most one row per term leaves.
     """
-    columns = bounded(columns, HEADER_LIMIT, "column header")
     exact = terms.join(columns, F.col("term") == F.col("name")).withColumn("kind", F.lit(0))
-    part = terms.join(
-        columns,
-        (F.col("term") != F.col("name")) & (F.col("name").contains(F.col("term")) | F.col("term").contains(F.col("name"))),
-    ).withColumn("kind", F.lit(1))
+    inside = containing(columns, "name", terms, "term").unionByName(containing(terms, "term", columns, "name"))
+    part = inside.where("term <> name").withColumn("kind", F.lit(1))
     hits = exact.unionByName(part)
     best = hits.groupBy("term").agg(F.min_by(F.struct("name", "kind"), F.struct("kind", "position")).alias("b"))
     return terms.join(best, "term", "left").select(
@@ -57,8 +69,8 @@ def first_match(terms: DataFrame, columns: DataFrame) -> DataFrame:
 
 
 def nearest_names(terms: DataFrame, columns: DataFrame, n: int = 3) -> DataFrame:
-    """The ``n`` column names closest in spelling to an unmatched term (a dictionary against a header)."""
-    columns = bounded(columns, HEADER_LIMIT, "column header")
+    """The ``n`` column names closest in spelling to each unmatched term: the stated terms against all names of
+    a fitting length. Spark broadcasts whichever side its statistics show to be small."""
     d = terms.join(columns, F.length("name") <= F.length("term") * 3 + 8).withColumn("distance", F.levenshtein("term", "name"))
     return first_k(d, ["term"], [F.asc("distance"), F.asc("name")], n)
 

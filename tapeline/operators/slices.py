@@ -327,9 +327,14 @@ def pelvis_heights(verts: DataFrame, frames: DataFrame, up: Sequence[float] = (0
 # --- ordered sums ---------------------------------------------------------------------------------
 
 
-def ordered_rings(points: DataFrame, keys: Sequence[str], u: str = "x", v: str = "z", block: int = 50_000) -> DataFrame:
-    """Perimeter and shoelace area of points taken in vertex order, the last joined to the first."""
-    chunk = F.floor(F.col("vertex_id") / block)
+def ordered_rings(
+    points: DataFrame, keys: Sequence[str], u: str = "x", v: str = "z", block: int = 50_000, chunk: Column | None = None
+) -> DataFrame:
+    """Perimeter and shoelace area of points taken in vertex order, the last joined to the first.
+
+    ``chunk`` must not decrease along ``vertex_id``; without it vertex numbers are cut into blocks.
+    """
+    chunk = F.floor(F.col("vertex_id") / block) if chunk is None else chunk
     nxt = neighbour(points.select(*keys, "vertex_id", u, v), keys, ["vertex_id"], [u, v], chunk, True, "n_")
     du, dv = F.col(f"n_{u}") - F.col(u), F.col(f"n_{v}") - F.col(v)
     agg = nxt.groupBy(*keys).agg(
@@ -359,11 +364,11 @@ def loop_quality(rings: DataFrame) -> DataFrame:
     )
 
 
-def ordered_circumferences(verts: DataFrame, boxes: DataFrame, bands: dict | None = None) -> DataFrame:
+def ordered_circumferences(verts: DataFrame, boxes: DataFrame, bands: dict | None = None, chunk: Column | None = None) -> DataFrame:
     """Ordered-sum variant: vertex order kept, no tolerance from the mesh scale, limit codes."""
     bands = bands or ORDERED_BANDS
     pts = slice_points(verts, boxes, bands, adaptive=False)
-    rings = ordered_rings(pts, [*SLICE, "y_slice"]).where(F.col("n_points") >= 3)
+    rings = ordered_rings(pts, [*SLICE, "y_slice"], chunk=chunk).where(F.col("n_points") >= 3)
     picked = select_slice(rings, bands)
     code = F.when(F.col("perimeter_m") < PERIMETER_LIMITS[0], "PERIMETER_SMALL").when(
         F.col("perimeter_m") > PERIMETER_LIMITS[1], "PERIMETER_LARGE"

@@ -282,12 +282,14 @@ def streaming_dedupe(spark, sf):
 
 @query(
     "streaming_transitions", "ST3",
-    with_sql(PROGRESS, "SELECT module || '/' || step_id AS key, min(ordinal) AS ordinal FROM progress WHERE step_id IS NOT NULL AND k >= 95 GROUP BY 1"),
+    with_sql(PROGRESS, """
+SELECT key, ordinal FROM (SELECT *, lag(flag, 1, false) OVER (PARTITION BY key ORDER BY ordinal) AS was FROM (
+  SELECT module || '/' || step_id AS key, ordinal, k >= 80 AS flag FROM progress WHERE step_id IS NOT NULL)) WHERE flag AND NOT was"""),
 )
 def streaming_transitions(spark, sf):
     s, where = _stream(spark, sf, "module", "step_id", "k", "ordinal")
     flags = s.where(F.col("step_id").isNotNull()).select(
-        F.concat_ws("/", "module", "step_id").alias("key"), (F.col("k") >= 95).alias("flag"), "ordinal"
+        F.concat_ws("/", "module", "step_id").alias("key"), (F.col("k") >= 80).alias("flag"), "ordinal"
     )
     J.run_once(J.transitions(flags), f"{where}/out", f"{where}/state")
     return spark.read.parquet(f"{where}/out")

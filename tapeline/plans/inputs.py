@@ -19,6 +19,11 @@ def with_sql(*parts: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + last if ctes else last
 
 
+def line_order():
+    """The place of a line: its columns in order, which neither overflow nor collide however large the keys are."""
+    return F.array(*[F.col(c).cast("bigint") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+
+
 def survey_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Raw survey text from ``lineitem``: three sources by return flag; the line number decides which
     kind of dirt a row carries (commas, sentinels, blanks, words, infinities, NULLs)."""
@@ -34,9 +39,6 @@ def survey_raw(spark: SparkSession, sf: str) -> DataFrame:
     src = F.when(F.col("l_returnflag") == "A", "7th").when(F.col("l_returnflag") == "N", "8th_direct").otherwise("8th_3d")
     sex7 = F.when(F.col("l_linestatus") == "F", "여").otherwise("남")
     sex8 = F.when(F.col("l_linestatus") == "F", "f").otherwise("m")
-    row_idx = (
-        (F.col("l_orderkey") * 8 + ln) * 1000003 + F.col("l_partkey")
-    ) * 10007 + F.col("l_suppkey")
     height = (
         F.when(ln == 1, F.concat(F.substring(h, 1, 1), F.lit(","), F.substring(h, 2, 3)))
         .when(ln == 2, F.concat(h, F.lit(",3")))
@@ -48,7 +50,7 @@ def survey_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
     return li.select(
         src.alias("source"),
-        row_idx.alias("row_idx"),
+        line_order().alias("row_idx"),
         F.concat(F.lpad(F.col("l_orderkey").cast("string"), 8, "0"), F.when(ln == 1, ".0").otherwise("")).alias("HUMAN_ID"),
         F.when(ln == 3, "X").when(F.col("l_returnflag") == "A", sex7).otherwise(sex8).alias("SEX"),
         (q + 15).cast("string").alias("AGE"),
@@ -63,7 +65,7 @@ def survey_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 SURVEY_RAW = """survey_raw AS (
   SELECT CASE l_returnflag WHEN 'A' THEN '7th' WHEN 'N' THEN '8th_direct' ELSE '8th_3d' END AS source,
-    ((l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey) * 10007 + l_suppkey AS row_idx,
+    [l_orderkey, l_linenumber, l_partkey, l_suppkey] AS row_idx,
     lpad(CAST(l_orderkey AS VARCHAR), 8, '0') || CASE WHEN l_linenumber = 1 THEN '.0' ELSE '' END AS HUMAN_ID,
     CASE WHEN l_linenumber = 3 THEN 'X'
          WHEN l_returnflag = 'A' THEN CASE WHEN l_linestatus = 'F' THEN '여' ELSE '남' END
@@ -145,8 +147,7 @@ CANON = """canon AS (
 
 
 def survey_units(spark: SparkSession, sf: str) -> DataFrame:
-    repaired = lambda rows, keys: C.repair(C.to_long(rows.select("source", "row_idx", *keys), ["source", "row_idx"], keys, "raw"))
-    return C.infer_units_by_head(survey_raw(spark, sf), SURVEY_KEYS, repaired, ["row_idx", "value"])
+    return C.infer_units(survey_long(spark, sf), ["row_idx", "value"])
 
 
 def survey_canonical(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,18 +161,15 @@ def cloud(spark: SparkSession, sf: str) -> DataFrame:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
         )
     )
-    row_idx = (
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000003 + F.col("l_partkey")
-    ) * 10007 + F.col("l_suppkey")
     return li.select(
-        F.col("l_suppkey").alias("case_id"), row_idx.alias("vertex_id"),
+        F.col("l_suppkey").alias("case_id"), line_order().alias("vertex_id"),
         (F.col("l_quantity") / 50.0).alias("x"), (F.col("l_extendedprice") / 100000.0).alias("y"),
         F.col("l_discount").alias("z"), (F.col("l_tax") * 10.0).alias("arm_w"),
     )
 
 
 CLOUD = """cloud AS (
-  SELECT l_suppkey AS case_id, ((l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey) * 10007 + l_suppkey AS vertex_id,
+  SELECT l_suppkey AS case_id, [l_orderkey, l_linenumber, l_partkey, l_suppkey] AS vertex_id,
     l_quantity / 50.0::DOUBLE AS x, l_extendedprice / 100000.0::DOUBLE AS y, l_discount AS z, l_tax * 10.0::DOUBLE AS arm_w,
     CAST(round(l_quantity) AS BIGINT) AS u, CAST(round(l_discount * 100) AS BIGINT) AS v FROM lineitem
 )"""

@@ -17,15 +17,10 @@ from tapeline.operators import sensors as S
 from tapeline.operators import slices as L
 from tapeline.sources import sinks, survey
 
-MAX_MAPPING_ROWS = 100_000
 
-
-def mapping_rows(mapping: DataFrame) -> list:
-    """The column dictionary on the driver, after a size check."""
-    rows = mapping.limit(MAX_MAPPING_ROWS + 1).collect()
-    if len(rows) > MAX_MAPPING_ROWS:
-        raise ValueError("column mapping is too large for a dictionary")
-    return [r.asDict() for r in rows]
+def mapping_rows(mapping: DataFrame, source: str) -> list:
+    """The mapping of one source: a row per column of the table to be built, which is a plan's own size."""
+    return [r.asDict() for r in mapping.where(F.col("source") == source).collect()]
 
 
 def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -33,11 +28,11 @@ def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tu
 
     The sensors look at the rows before the age filter, the filter then applies to the table.
     """
-    mapping = mapping_rows(survey.read_mapping(spark, mapping_path))
+    mapping = survey.read_mapping(spark, mapping_path)
     frames, notes = [], []
     for source, path in sheets.items():
         raw = survey.read_survey(spark, path, strip_prefix=source.startswith("8th"))
-        wide, found = C.curate_source(spark, raw, mapping, source, "row_idx")
+        wide, found = C.curate_source(spark, raw, mapping_rows(mapping, source), source, "row_idx")
         frames.append(wide)
         notes.append(found)
     every = C.union_sources(frames)

@@ -160,14 +160,14 @@ def registry_records(spark, sf):
 @query(
     "registry_append", "JN7 W4",
     with_sql(PROGRESS, CODES, REG, """
-kn AS (SELECT module, lane, run_id, round_id FROM (SELECT * FROM recs WHERE ordinal % 10 < 3 ORDER BY ordinal DESC LIMIT 100)),
+kn AS (SELECT module, lane, run_id, round_id FROM (SELECT * FROM recs WHERE ordinal % 10 < 3)),
 fr AS (SELECT * FROM recs r WHERE NOT EXISTS (SELECT 1 FROM kn WHERE kn.module = r.module AND kn.lane = r.lane AND kn.run_id = r.run_id AND kn.round_id = r.round_id))""", """
 SELECT ordinal, module, lane, run_id, round_id FROM (SELECT *, row_number() OVER (PARTITION BY module, lane, run_id, round_id ORDER BY ordinal) AS rn FROM fr) WHERE rn = 1"""),
 )
 def registry_append(spark, sf):
     recs = E.registry_records(progress(spark, sf))
     known = recs.where(F.col("ordinal") % 10 < 3)
-    return E.new_records(recs, known, 100).select("ordinal", *E.REGISTRY_KEY)
+    return E.new_records(recs, known).select("ordinal", *E.REGISTRY_KEY)
 
 
 FINDINGS = """fd AS (SELECT ordinal, 'STEP_ID_MISSING' AS code FROM progress WHERE step_id IS NULL)"""
@@ -232,7 +232,14 @@ state AS (SELECT step_id, module, phase, CASE WHEN done THEN 'done' WHEN coalesc
 
 @query("ready_blocked", "JN11", with_sql(PLAN, STATE, "SELECT * FROM state"))
 def ready_blocked(spark, sf):
-    return L.plan_state(*_state_args(spark, sf)).drop("unmet")
+    return L.plan_state(*_state_args(spark, sf))
+
+
+@query("unmet_requirements", "JN11", with_sql(PLAN, STATE, """
+SELECT n.step_id, n.from_step FROM nd n LEFT JOIN hv h ON h.step_id = n.from_step
+WHERE NOT (coalesce(h.done, false) AND coalesce(h.reached >= n.need, false))"""))
+def unmet_requirements(spark, sf):
+    return L.unmet_requirements(*_state_args(spark, sf))
 
 
 def _state_args(spark, sf):

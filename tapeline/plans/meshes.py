@@ -12,7 +12,7 @@ from tapeline.plans.inputs import (
 from tapeline.plans.registry import query, table
 
 HULLS = sql_hull("sp", "case_id, key, slice")
-ROW_BLOCK = 10**12
+ORDER_BLOCK = 50_000  # orders whose lines form a chunk of vertices
 
 
 def r6(c, name=None):
@@ -242,20 +242,23 @@ st AS (SELECT *, round(perimeter_m, 9) AS p FROM rg WHERE n_points >= 3)"""
 def _ordered(spark, sf, bands):
     v = cloud(spark, sf)
     pts = L.slice_points(v, G.bounding_boxes(v), bands, adaptive=False)
-    return L.ordered_rings(pts, [*L.SLICE, "y_slice"], block=ROW_BLOCK).where(F.col("n_points") >= 3)
+    return L.ordered_rings(pts, [*L.SLICE, "y_slice"], chunk=_order_chunk()).where(F.col("n_points") >= 3)
+
+
+def _order_chunk():
+    return F.floor(F.col("vertex_id")[0] / ORDER_BLOCK)
 
 
 @query(
     "ordered_perimeter", "G4",
     with_sql(CLOUD, BOXES, sql_bands(L.ORDERED_BANDS), sql_slices(adaptive=False), ORDERED_SQL, PICKED, """
-SELECT case_id, key, slice, n_points, round(perimeter_m, 6) AS perimeter_m,
+SELECT case_id, key, slice, n_points, round(perimeter_m, 6) AS perimeter_m, 'y:' || slice || ':' || format('{:.6f}', y_slice) AS section_id,
   coalesce(CASE WHEN perimeter_m < 0.1 THEN 'PERIMETER_SMALL' WHEN perimeter_m > 3 THEN 'PERIMETER_LARGE' END, '') AS code FROM picked"""),
 )
 def ordered_perimeter(spark, sf):
-    picked = L.select_slice(_ordered(spark, sf, L.ORDERED_BANDS), L.ORDERED_BANDS)
-    p = F.col("perimeter_m")
-    code = F.when(p < L.PERIMETER_LIMITS[0], "PERIMETER_SMALL").when(p > L.PERIMETER_LIMITS[1], "PERIMETER_LARGE")
-    return picked.select("case_id", "key", "slice", "n_points", r6("perimeter_m"), F.coalesce(code, F.lit("")).alias("code"))
+    v = cloud(spark, sf)
+    out = L.ordered_circumferences(v, G.bounding_boxes(v), chunk=_order_chunk())
+    return out.select("case_id", "key", "slice", "n_points", r6("perimeter_m"), "section_id", F.coalesce("code", F.lit("")).alias("code"))
 
 
 @query(

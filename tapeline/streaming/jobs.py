@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,23 +44,25 @@ def balance_windows(events: DataFrame, time: str = "time", size: str = "24 hours
 
 
 def _became_true(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    was = state.get[0] if state.exists else False
-    first = None
-    for pdf in batches:
-        hit = pdf.loc[pdf["flag"].fillna(False), "ordinal"]
-        if not was and len(hit):
-            low = int(hit.min())
-            first = low if first is None else min(first, low)
-    state.update((bool(was or first is not None),))
-    if first is not None:
-        yield pd.DataFrame({"key": [key[0]], "ordinal": [first]})
+    parts = [(pdf["ordinal"].to_numpy(), pdf["flag"].fillna(False).to_numpy(dtype=bool)) for pdf in batches]
+    ordinal, flag = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(ordinal, kind="stable")
+    ordinal, flag = ordinal[order], flag[order]
+    rises = flag & ~np.append(state.exists, flag[:-1])
+    if flag[-1]:
+        state.update((True,))
+    elif state.exists:
+        state.remove()
+    if rises.any():
+        yield pd.DataFrame({"key": key[0], "ordinal": ordinal[rises]})
 
 
 def transitions(flags: DataFrame) -> DataFrame:
-    """(key, ordinal) the first time a key's flag turns true. One boolean of state per key; rows of a
-    group pass through in batches."""
+    """(key, ordinal) each time a key's flag turns from false to true. Rows of a key are taken in the order of
+    their ordinal within a micro-batch. Only keys whose last flag is true have state; it is freed when the
+    flag turns false."""
     return flags.select("key", "flag", "ordinal").groupBy("key").applyInPandasWithState(
-        _became_true, "key string, ordinal long", "seen boolean", "append", GroupStateTimeout.NoTimeout
+        _became_true, "key string, ordinal long", "flag boolean", "append", GroupStateTimeout.NoTimeout
     )
 
 
