@@ -14,9 +14,12 @@ SUM = "sums binary"
 FAN_IN = 32
 
 
-def partition_sums(df: DataFrame, size: int, add: Callable[[np.ndarray, pa.RecordBatch], None]) -> np.ndarray:
+def partition_sums(
+    df: DataFrame, size: int, add: Callable[[np.ndarray, pa.RecordBatch], None], finish: Callable[[np.ndarray], np.ndarray] | None = None
+) -> np.ndarray:
     """The total of a fixed-size vector over all rows: ``add`` accumulates batches inside a task, and the vectors
-    of the tasks are summed ``FAN_IN`` at a time, so neither a task nor the driver ever holds many of them."""
+    of the tasks are summed ``FAN_IN`` at a time, so neither a task nor the driver ever holds many of them. ``finish`` turns the
+    total into what the driver needs, where the total is."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(size), False
@@ -42,10 +45,16 @@ def partition_sums(df: DataFrame, size: int, add: Callable[[np.ndarray, pa.Recor
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
         sums = sums.repartition(tasks).mapInArrow(merge, SUM)
-    total = np.zeros(size)
-    for row in sums.collect():  # one row, or none
-        total += np.frombuffer(bytes(row[0]))
-    return total
+    finish = finish or (lambda total: total)
+    kind = finish(np.zeros(size)).dtype
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [finish(np.frombuffer(blob.as_py())).tobytes() for blob in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["sums"])
+
+    row = sums.mapInArrow(last, SUM).first()  # one row, or none
+    return np.frombuffer(bytes(row[0]), dtype=kind) if row else finish(np.zeros(size))
 
 
 def known_labels(labels: DataFrame, label: str, fit_rows: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tapeline.llm import fitting, graph, shared
 
-SKETCH = 1 << 20  # counters of the frequency sketch; a fixed size whatever the input
+SKETCH = 1 << 19  # counters of the frequency sketch; a fixed size whatever the input
 PARTS = 1024  # parts of the hash space for the suffix filter
 SMALL = 8  # members up to which a bucket is paired directly
 BLOCK = 1024  # members of a block of a large bucket
@@ -107,8 +107,12 @@ def frequency_levels(sketches: DataFrame) -> tuple[np.ndarray, float]:
         for blob in batch.column(0):
             total += np.frombuffer(blob.as_py(), dtype=np.uint16)
 
-    counts = fitting.partition_sums(sketches, SKETCH, add)
-    return np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8), float(counts.mean())
+    def finish(counts):
+        levels = np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8)
+        return np.append(levels, np.frombuffer(np.float64(counts.mean()).tobytes(), dtype=np.uint8))
+
+    found = fitting.partition_sums(sketches, SKETCH, add, finish)
+    return found[:SKETCH], float(np.frombuffer(found[SKETCH:].tobytes())[0])
 
 
 def prefixes(documents: DataFrame, levels: np.ndarray, mean: float, width: int, percent: int, hot: int) -> DataFrame:
@@ -421,11 +425,13 @@ def one_of_each(documents: DataFrame, path: str = "path", doc: str = "doc", widt
     path; of rows that repeat a path one stays. All columns are kept, and rows with a NULL path stay. Texts are
     not shuffled while the list of paths to leave out can be broadcast."""
     found = shared.written(jaccard_components(documents, path, doc, width, percent), "found")
-    leave = shared.written(found.where(F.col("component") < F.col(path)).select(path).distinct(), "leave")
-    rows = documents.join(F.broadcast(leave) if leave.count() <= MANY_ROWS else leave, path, "left_anti")
-    twice = shared.written(found.where(F.col(path).isNotNull()).groupBy(path).count().where("count > 1").select(path), "twice")
-    n = twice.count()
-    if not n:
+    by_path = found.where(F.col(path).isNotNull()).groupBy(path)
+    odd = by_path.agg(F.max(F.col("component") < F.col(path)).alias("leave"), (F.count(F.lit(1)) > 1).alias("twice"))
+    odd = shared.written(odd.where("leave OR twice"), "odd")
+    count = odd.agg(F.count_if("leave").alias("leave"), F.count_if(F.col("twice") & ~F.col("leave")).alias("twice")).first()
+    leave, twice = odd.where("leave").select(path), odd.where("twice AND NOT leave").select(path)
+    rows = documents.join(F.broadcast(leave) if count["leave"] <= MANY_ROWS else leave, path, "left_anti")
+    if not count["twice"]:
         return rows
-    some = F.broadcast(twice) if n <= MANY_ROWS else twice
+    some = F.broadcast(twice) if count["twice"] <= MANY_ROWS else twice
     return rows.join(some, path, "left_anti").unionByName(rows.join(some, path, "left_semi").dropDuplicates([path]))

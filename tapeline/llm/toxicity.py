@@ -63,13 +63,8 @@ def suspicious(text: str) -> tuple[np.ndarray, np.ndarray]:
 class LanguageModel:
     """Character four-grams of words, interpolated down to single characters. Of fixed size: 27 to the fourth."""
 
-    def __init__(self, counts: np.ndarray, weight: float = 4.0):
-        grams = counts.reshape((LETTERS,) * ORDER)
-        p = np.full(LETTERS, 1.0 / LETTERS)
-        for left in range(ORDER - 1, -1, -1):
-            n = grams.sum(axis=tuple(range(left)))
-            p = (n + weight * p) / (n.sum(axis=-1, keepdims=True) + weight)
-        self.log = np.log(p).ravel().astype(np.float32)
+    def __init__(self, log: np.ndarray):
+        self.log = log
         self.known: dict[str, str] = {}
 
     def restore(self, text: str) -> str:
@@ -160,6 +155,16 @@ def count_grams(text: str, total: np.ndarray) -> None:
     total += np.bincount(gram, minlength=len(total))
 
 
+def log_probabilities(counts: np.ndarray, weight: float = 4.0) -> np.ndarray:
+    """Of each last character given the three before it, each order drawn towards the next shorter one."""
+    grams = counts.reshape((LETTERS,) * ORDER)
+    p = np.full(LETTERS, 1.0 / LETTERS)
+    for left in range(ORDER - 1, -1, -1):
+        n = grams.sum(axis=tuple(range(left)))
+        p = (n + weight * p) / (n.sum(axis=-1, keepdims=True) + weight)
+    return np.log(p).ravel().astype(np.float32)
+
+
 def language_model(texts: DataFrame) -> LanguageModel:
     """From all texts of a one-column table; NULL counts as empty."""
 
@@ -167,7 +172,7 @@ def language_model(texts: DataFrame) -> LanguageModel:
         for part in shared.chunks([batch], 200):
             count_grams("\n".join(shared.texts(part.column(0))), total)
 
-    return LanguageModel(fitting.partition_sums(texts, LETTERS**ORDER, add))
+    return LanguageModel(fitting.partition_sums(texts, LETTERS**ORDER, add, log_probabilities))
 
 
 def features(text: str) -> set[str]:

@@ -4,7 +4,7 @@ import math
 import numpy as np
 import pytest
 from tapeline.llm import queries
-from tapeline.llm.toxicity import LEET, LETTERS, ORDER, SEPARATORS, LanguageModel, _code, count_grams, suspicious, toxicity_scores
+from tapeline.llm.toxicity import LEET, LETTERS, ORDER, SEPARATORS, LanguageModel, _code, count_grams, log_probabilities, suspicious, toxicity_scores
 
 SF = "/root/testdata/sf0.01"
 WORDS = "you are a total idiot and a stupid loser the gate step is done with all evidence in this module run " * 40
@@ -14,7 +14,7 @@ WORDS = "you are a total idiot and a stupid loser the gate step is done with all
 def language():
     total = np.zeros(LETTERS**ORDER)
     count_grams(WORDS, total)
-    return LanguageModel(total)
+    return LanguageModel(log_probabilities(total))
 
 
 @pytest.mark.parametrize("seen,want", [
