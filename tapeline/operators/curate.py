@@ -257,9 +257,9 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
 
 def curate_source(
     spark: SparkSession, raw: DataFrame, mapping: Sequence, source: str, order: str
-) -> tuple[DataFrame, DataFrame]:
-    """One source from raw text columns to metres, with its findings. Both results are lazy plans
-    over the same input; only the unit map (one row per key) visits the driver."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One source from raw text columns to metres, its findings, and the repaired long rows the sensors look at. All
+    are lazy plans over the same input; only the unit map (one row per key) visits the driver."""
     frame, notes = standardize(raw, mapping, source, keep=[order])
     numeric = [c for c in frame.columns if c not in (order, "HUMAN_ID", "SEX", "AGE")]
     meta = {
@@ -286,4 +286,5 @@ def curate_source(
         "source", F.col("key").alias("column"), "reason",
         F.concat(F.lit("treatment="), "treatment").alias("details"),
     )
-    return wide.withColumn("_source", F.lit(source)), as_warnings(notes).unionByName(as_warnings(found))
+    texts = to_long(frame.select(F.lit(source).alias("source"), order, *numeric), ["source", order], numeric, "raw")
+    return wide.withColumn("_source", F.lit(source)), as_warnings(notes).unionByName(as_warnings(found)), repair(texts)

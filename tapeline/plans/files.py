@@ -103,13 +103,19 @@ def _cells(spark, sf):
 
 
 HEADER = """pr AS (SELECT file, min(row_idx) FILTER (WHERE trim(cell) = '표준 측정항목 명') AS p FROM cells GROUP BY 1),
-hd AS (SELECT file, coalesce(max(p), 4) AS "primary", min(row_idx) FILTER (WHERE row_idx = p + 1 AND contains(cell, '표준 측정항목 코드')) AS code,
+hd AS (SELECT file, coalesce(max(p), CASE WHEN file % 4 < 3 THEN 6 ELSE 4 END) AS "primary", min(row_idx) FILTER (WHERE row_idx = p + 1 AND contains(cell, '표준 측정항목 코드')) AS code,
   min(row_idx) FILTER (WHERE row_idx BETWEEN p + 1 AND p + 6 AND contains(cell, '성별')) AS secondary FROM cells JOIN pr USING (file) GROUP BY 1)"""
 
 
+def _header_default():
+    """Three of four files are sheets of the three surveys, the fourth is of no known source."""
+    kind = F.col("file") % 4
+    return V.default_header(F.when(kind == 0, "7th").when(kind == 1, "8th_direct").when(kind == 2, "8th_3d").otherwise("other"))
+
+
 @query("header_rows", "S2", with_sql(CELLS, HEADER, """SELECT "primary", coalesce(code, -1) AS code, coalesce(secondary, -1) AS secondary, count(*) AS n FROM hd GROUP BY 1, 2, 3"""))
 def header_rows(spark, sf):
-    h = V.locate_header_rows(_cells(spark, sf), strip_prefix=True)
+    h = V.locate_header_rows(_cells(spark, sf), strip_prefix=True, default=_header_default())
     c = [F.coalesce(x, F.lit(-1)).alias(x) for x in ("code", "secondary")]
     return h.groupBy("primary", *c).agg(F.count("*").alias("n"))
 
@@ -121,7 +127,7 @@ SELECT row_idx, count(*) AS n FROM cells JOIN hd USING (file) WHERE row_idx > gr
 )
 def header_cut(spark, sf):
     c = _cells(spark, sf)
-    return V.cut_header(c, V.locate_header_rows(c)).groupBy("row_idx").agg(F.count("*").alias("n"))
+    return V.cut_header(c, V.locate_header_rows(c, default=_header_default())).groupBy("row_idx").agg(F.count("*").alias("n"))
 
 
 SCORES = """pv AS (SELECT file, row_idx, CASE WHEN coalesce(trim(cell), '') <> '' THEN trim(cell) END AS v, count(*) AS n, count(*) FILTER (WHERE starts_with(cell, 'Unnamed:')) AS u FROM cells GROUP BY 1, 2, 3),
@@ -150,7 +156,7 @@ def best_header(spark, sf):
     "merge_headers", "P17",
     with_sql(CELLS, """
 pr AS (SELECT file, col_idx, coalesce(max(trim(cell)) FILTER (WHERE row_idx = 6), '') AS u, coalesce(max(trim(cell)) FILTER (WHERE row_idx = 7), '') AS l FROM cells GROUP BY 1, 2),
-cd AS (SELECT file, count(*) FILTER (WHERE rn <= 20 AND regexp_matches(u, '^[A-Za-z0-9\\-_\\[\\]]+$')) > count(*) * 0.5 AS codes FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY col_idx) AS rn FROM pr WHERE u <> '') GROUP BY 1)""", """
+cd AS (SELECT file, count(*) FILTER (WHERE regexp_matches(u, '^[A-Za-z0-9\\-_\\[\\]]+$')) > count(*) * 0.5 AS codes FROM pr WHERE u <> '' GROUP BY 1)""", """
 SELECT name, count(*) AS n FROM (SELECT CASE WHEN l <> '' AND (u = '' OR coalesce(codes, false)) THEN l WHEN u <> '' AND l <> '' THEN u || '_' || l ELSE u END AS name FROM pr LEFT JOIN cd USING (file)) GROUP BY 1"""),
 )
 def merge_headers(spark, sf):

@@ -29,12 +29,13 @@ def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tu
     The sensors look at the rows before the age filter, the filter then applies to the table.
     """
     mapping = survey.read_mapping(spark, mapping_path)
-    frames, notes = [], []
+    frames, notes, texts = [], [], []
     for source, path in sheets.items():
-        raw = survey.read_survey(spark, path, strip_prefix=source.startswith("8th"))
-        wide, found = C.curate_source(spark, raw, mapping_rows(mapping, source), source, "row_idx")
+        raw = survey.read_survey(spark, path, strip_prefix=source.startswith("8th"), source=source)
+        wide, found, repaired = C.curate_source(spark, raw, mapping_rows(mapping, source), source, "row_idx")
         frames.append(wide)
         notes.append(found)
+        texts.append(repaired)
     every = C.union_sources(frames)
     keys = [c for c in every.columns if not c.startswith("_") and c not in ("HUMAN_ID", "SEX", "AGE")]
     long = C.to_long(every.select(F.col("_source").alias("source"), *keys), ["source"], keys)
@@ -44,10 +45,32 @@ def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tu
         F.format_string("p01=%.4f, p50=%.4f, p99=%.4f, min=%.4f, max=%.4f", "p01", "p50", "p99", "min_value", "max_value").alias("details"),
     )
     empty = S.all_null_by_source(long).select("source", F.col("key").alias("column"), "reason")
-    warnings = C.union_sources([*notes, C.as_warnings(seen), C.as_warnings(empty)])
+    warnings = C.union_sources([*notes, C.as_warnings(seen), C.as_warnings(empty), *sensor_warnings(C.union_sources(texts), every, long)])
     return C.age_filter(every, "AGE"), warnings, report
 
 
+def sensor_warnings(repaired: DataFrame, every: DataFrame, long: DataFrame) -> list[DataFrame]:
+    """What was lost on the way: sentinels, missing values, empty and emptied columns, rows outside the age window,
+    and medians that differ between sources."""
+    named = lambda df, reason, details, *more: C.as_warnings(
+        df.select("source", F.col("key").alias("column"), reason.alias("reason"), details.alias("details"), *more)
+    )
+    marks = C.sentinel_counts(repaired).where("sentinel_count + blank_count > 0")
+    lost = S.massive_null(repaired, F.col("raw"), F.col("parsed"))
+    adult = F.col("AGE").between(*C.AGE_RANGE)
+    ages = C.filter_report(every.withColumnRenamed("_source", "source"), ["source"], {"age": adult}).where("age_removed > 0")
+    pairs = S.cross_source_ratio(long).where(~F.col("consistent")).withColumnRenamed("source_a", "source")
+    none = F.lit(None).cast("string")
+    return [
+        named(marks, F.lit("SENTINEL_MISSING"), F.format_string("blank=%d", "blank_count"), F.lit("9999").alias("sentinel_value"), "sentinel_count"),
+        named(S.missing_net(repaired), F.lit("value_missing"), F.format_string("missing=%d", "net_missing")),
+        named(S.all_null(repaired), F.col("reason"), none),
+        named(lost, F.lit("MASSIVE_NULL_INTRODUCED"), F.format_string("dropped=%d of %d", "dropped", "n_before")),
+        named(ages.withColumn("key", F.lit("AGE")), F.lit("age_filter_applied"), F.format_string("removed=%d of %d", "age_removed", "n_rows")),
+        named(pairs, F.lit("CROSS_SOURCE_SUSPECTED"), F.format_string("%s: p50 ratio %.4f", "source_b", "p50_ratio")),
+    ]
+
+
 def write_curation(curated: DataFrame, warnings: DataFrame, path: str, fmt: str = "parquet") -> None:
     sinks.write_curated(curated, f"{path}/curated", fmt)
     sinks.write_warnings(warnings, f"{path}/warnings")

@@ -672,8 +672,10 @@ def representative_value(spark, sf):
 
 # --- clusters -------------------------------------------------------------------------------------
 
-DIMS = ["x0", "x1", "x2"]
-VECTORS = """vec AS (SELECT vec_id, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1, embedding[3]::DOUBLE AS x2 FROM embeddings)"""
+DIMS = [f"x{i}" for i in range(64)]
+CENTROIDS = 384
+every_dim = lambda form, sep=", ": sep.join(form.format(d=d) for d in DIMS)
+VECTORS = "vec AS (SELECT vec_id, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS {d}" for i, d in enumerate(DIMS)) + " FROM embeddings)"
 
 
 def _vectors(spark, sf):
@@ -684,9 +686,10 @@ def _vectors(spark, sf):
 
 @query(
     "zscore", "ML1",
-    with_sql(VECTORS, """
-p AS (SELECT avg(x0) AS m0, stddev_pop(x0) AS s0, avg(x1) AS m1, stddev_pop(x1) AS s1, avg(x2) AS m2, stddev_pop(x2) AS s2 FROM vec)""", """
-SELECT vec_id, round((x0 - m0) / s0, 6) AS x0, round((x1 - m1) / s1, 6) AS x1, round((x2 - m2) / s2, 6) AS x2 FROM vec, p"""),
+    with_sql(
+        VECTORS, "p AS (SELECT " + every_dim("avg({d}) AS m_{d}, stddev_pop({d}) AS s_{d}") + " FROM vec)",
+        "SELECT vec_id, " + every_dim("round(({d} - m_{d}) / s_{d}, 6) AS {d}") + " FROM vec, p",
+    ),
 )
 def zscore(spark, sf):
     z, _ = K.zscore(_vectors(spark, sf), DIMS)
@@ -694,27 +697,46 @@ def zscore(spark, sf):
 
 
 def _step(n, prev):
-    return f"""a{n} AS (SELECT v.vec_id, v.x0, v.x1, v.x2, min_by(c.i, (round((v.x0 - c.x0) ** 2 + (v.x1 - c.x1) ** 2 + (v.x2 - c.x2) ** 2, 15), c.i)) AS i
-  FROM vec v, {prev} c GROUP BY 1, 2, 3, 4),
-c{n} AS (SELECT i, avg(x0) AS x0, avg(x1) AS x1, avg(x2) AS x2 FROM a{n} GROUP BY 1)"""
+    """One round: the nearest centroid of each vector, the means of each cluster; an empty one keeps its centroid."""
+    square = every_dim("(v.{d} - c.{d}) ** 2", " + ")
+    return f"""a{n} AS (SELECT v.vec_id, min_by(c.i, (round({square}, 15), c.i)) AS i FROM vec v, {prev} c GROUP BY 1),
+m{n} AS (SELECT i, {every_dim("avg({d}) AS {d}")} FROM a{n} JOIN vec USING (vec_id) GROUP BY 1),
+c{n} AS (SELECT p.i, {every_dim("coalesce(m.{d}, p.{d}) AS {d}")} FROM {prev} p LEFT JOIN m{n} m USING (i))"""
 
 
-LLOYD = [VECTORS, "c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS i, x0, x1, x2 FROM (SELECT * FROM vec ORDER BY vec_id LIMIT 4))", _step(1, "c0"), _step(2, "c1")]
+LLOYD = [
+    VECTORS, f"c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS i, {every_dim('{d}')} FROM (SELECT * FROM vec ORDER BY vec_id LIMIT {CENTROIDS}))",
+    _step(1, "c0"), _step(2, "c1"),
+]
 
 
-@query("lloyd_2_iterations", "ML2 T5", with_sql(*LLOYD, "SELECT CAST(i AS INTEGER) AS cluster, round(x0, 6) AS x0, round(x1, 6) AS x1, round(x2, 6) AS x2 FROM c2"))
+@query("lloyd_2_iterations", "ML2 T5", with_sql(*LLOYD, "SELECT CAST(i AS INTEGER) AS cluster, " + every_dim("round({d}, 6) AS {d}") + " FROM c2"))
 def lloyd_2_iterations(spark, sf):
-    c = K.lloyd(_vectors(spark, sf), DIMS, 4, ["vec_id"], max_iter=2)
+    c = K.lloyd(_vectors(spark, sf), DIMS, CENTROIDS, ["vec_id"], max_iter=2)
     return K.centroid_frame(spark, c, DIMS).select("cluster", *[r(f"c_{d}", d) for d in DIMS])
 
 
+@query(
+    "lloyd_converged", "ML2 T5",
+    f"SELECT CAST(least(count(*), {CENTROIDS}) AS BIGINT) AS n_clusters, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_moved FROM embeddings",
+)
+def lloyd_converged(spark, sf):
+    """Rounds until unchanged: one more round of assignments and means moves no centroid."""
+    v = _vectors(spark, sf)
+    c = K.lloyd(v, DIMS, CENTROIDS, ["vec_id"])
+    means = K.assign(v, DIMS, c).groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(d).alias(d) for d in DIMS])
+    both = K.centroid_frame(spark, c, DIMS).join(means, "cluster", "left")
+    moved = F.greatest(*[F.abs(F.col(d) - F.col(f"c_{d}")) for d in DIMS]) > 1e-9
+    return both.agg(F.count("*").alias("n_clusters"), F.sum("n").alias("n_rows"), F.count_if(moved).alias("n_moved"))
+
+
 def _assigned(spark, sf):
     v = _vectors(spark, sf)
-    c = K.lloyd(v, DIMS, 4, ["vec_id"], max_iter=2)
+    c = K.lloyd(v, DIMS, CENTROIDS, ["vec_id"], max_iter=2)
     return K.original_distance(K.assign(v, DIMS, c), K.centroid_frame(spark, c, DIMS), DIMS)
 
 
-ASSIGNED = [*LLOYD, _step(3, "c2"), "ds AS (SELECT a3.vec_id, a3.i, sqrt((a3.x0 - c2.x0) ** 2 + (a3.x1 - c2.x1) ** 2 + (a3.x2 - c2.x2) ** 2) AS d FROM a3 JOIN c2 USING (i))"]
+ASSIGNED = [*LLOYD, _step(3, "c2"), "ds AS (SELECT a3.vec_id, a3.i, sqrt(" + every_dim("(v.{d} - c2.{d}) ** 2", " + ") + ") AS d FROM a3 JOIN c2 USING (i) JOIN vec v USING (vec_id))"]
 
 
 @query("assign_distance", "ML4 JN13", with_sql(*ASSIGNED, "SELECT vec_id, CAST(i AS INTEGER) AS cluster, round(d, 6) AS distance FROM ds"))
@@ -742,5 +764,5 @@ def worst_subjects(spark, sf):
 @query("kmeans_library", "ML3")
 def kmeans_library(spark, sf):
     v = _vectors(spark, sf)
-    c = K.library_kmeans(v, DIMS, 4, restarts=2, max_iter=20)
+    c = K.library_kmeans(v, DIMS, 32, restarts=10, max_iter=300)
     return K.assign(v, DIMS, c).groupBy("cluster").agg(F.count("*").alias("n"), F.sqrt(F.avg("sq_dist")).alias("rms"))

@@ -23,4 +23,18 @@ def build_session(app: str = "tapeline", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, whose workers import it by name; jobs that are submitted with
+    ``--py-files`` or on workers that have it installed need not."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    root = Path(__file__).parent
+    package = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tapeline-ship-')}/tapeline", "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(package)

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions import keys as K
 from tapeline.functions import numbers as N
-from tapeline.operators.curate import mapping_frame
+from tapeline.operators.curate import mapping_frame, union_sources
 from tapeline.sources.lines import BOM, number_rows, placed
 
-# Header terms of the surveys, rows to look at, default header row, meta line.
+# Header terms of the surveys, rows to look at, default header row by source and of others, meta line.
 ANCHOR = "표준 측정항목 명"
 CODE_TERM = "표준 측정항목 코드"
 META_TOKENS = ("성별", "SEX", "ID", "HUMAN_ID", "HUMAN ID", "나이")
 MAX_HEADER_ROWS = 20
+DEFAULT_HEADERS = {"7th": 6, "8th_direct": 6, "8th_3d": 6}
 DEFAULT_HEADER = 4
 NUMERIC_PREFIX = r"^\d+\.?\d*\s*"
 ENCODINGS = ("UTF-8", "MS949")
@@ -35,13 +36,14 @@ def choose_encoding(spark: SparkSession, path: str, encodings: Sequence[str] = E
 def read_cells(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS) -> DataFrame:
     """All rows of a sheet as text columns ``_c0..``, with ``row_idx`` (0-based) in file order.
 
-    The width is that of the widest of the first rows: title rows are often short.
+    The width is that of the widest row of all; commas inside quotes do not count.
     """
     encoding = choose_encoding(spark, path, encodings)
     if encoding != "UTF-8":
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    head = [r["value"] for r in spark.read.text(path).limit(MAX_HEADER_ROWS).collect()]
-    width = max((line.count(",") + 1 for line in head), default=1)
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    widest = spark.read.text(path).agg(F.max(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))).alias("n")).first()
+    width = (widest.n or 0) + 1
     schema = ", ".join(f"_c{i} string" for i in range(width))
     raw = spark.read.csv(path, schema=schema, header=False, encoding=encoding, mode="PERMISSIVE",
                          ignoreLeadingWhiteSpace=False, enforceSchema=True)
@@ -58,10 +60,11 @@ def head_cells(rows: DataFrame, by: Sequence[str] = ("file",), max_check: int =
 
 def locate_header_rows(
     cells: DataFrame, by: Sequence[str] = ("file",), anchor: str = ANCHOR, code_term: str = CODE_TERM,
-    tokens: Sequence[str] = META_TOKENS, strip_prefix: bool = False,
+    tokens: Sequence[str] = META_TOKENS, strip_prefix: bool = False, default: Column | None = None,
 ) -> DataFrame:
     """Primary row (a cell equals the anchor), code row (the next row, when it holds the code term) and
-    secondary row (first of the next six rows with a meta token); the default primary when none is found."""
+    secondary row (first of the next six rows with a meta token). Where no anchor is found ``default``, an
+    expression of the ``by`` columns, is the primary row and ``header_defaulted`` is true."""
     by = list(by)
     cell = F.trim("cell")
     primary = cells.groupBy(*by).agg(F.min(F.when(cell == anchor, F.col("row_idx"))).alias("_p"))
@@ -72,35 +75,50 @@ def locate_header_rows(
     near = cells.join(primary, by)
     after = F.col("row_idx") - F.col("_p")
     return near.groupBy(*by).agg(
-        F.coalesce(F.max("_p"), F.lit(DEFAULT_HEADER)).alias("primary"),
+        F.coalesce(F.max("_p"), F.lit(DEFAULT_HEADER) if default is None else default).alias("primary"),
         F.min(F.when((after == 1) & cell.contains(code_term), F.col("row_idx"))).alias("code"),
         F.min(F.when(after.between(1, 6) & token, F.col("row_idx"))).alias("secondary"),
+        F.max("_p").isNull().alias("header_defaulted"),
     )
 
 
+def default_header(source: Column) -> Column:
+    """The header row of a source whose sheet shows none."""
+    known = F.create_map(*[F.lit(x) for kv in DEFAULT_HEADERS.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, source), F.lit(DEFAULT_HEADER))
+
+
 def cut_header(rows: DataFrame, header: DataFrame, by: Sequence[str] = ("file",)) -> DataFrame:
     """Data rows only: those after the last header row of their file."""
     last = F.greatest("primary", F.coalesce("code", F.lit(-1)), F.coalesce("secondary", F.lit(-1)))
     return rows.join(header.select(*by, last.alias("_last")), list(by)).where(F.col("row_idx") > F.col("_last")).drop("_last")
 
 
-def read_survey(spark: SparkSession, path: str, ids: Sequence[str] = ("HUMAN_ID",), strip_prefix: bool = False) -> DataFrame:
-    """Data rows of one sheet under the names of its primary header row; ids as clean text."""
+def read_survey(
+    spark: SparkSession, path: str, ids: Sequence[str] = ("HUMAN_ID",), strip_prefix: bool = False, source: str | None = None,
+    max_check: int = MAX_HEADER_ROWS,
+) -> DataFrame:
+    """Data rows of the sheets at ``path``, each under the names of its own primary header row, united by name; ids
+    as clean text. A sheet without the anchor in its first ``max_check`` rows has the header row of its source."""
     rows = read_cells(spark, path)
-    header = locate_header_rows(head_cells(rows), strip_prefix=strip_prefix)
-    h = header.first()
-    want = [i for i in (h["primary"], h["secondary"]) if i is not None]
-    found = {r["row_idx"]: r for r in rows.where(F.col("row_idx").isin(want)).collect()}
+    header = locate_header_rows(head_cells(rows, max_check=max_check), strip_prefix=strip_prefix, default=default_header(F.lit(source)))
     cols = [c for c in rows.columns if c.startswith("_c")]
-    top, low = found.get(h["primary"]), found.get(h["secondary"]) if h["secondary"] is not None else None
-    names = []
-    for c in cols:
-        name = (top[c] or "").strip() if top else ""
-        if low is not None and (low[c] or "").strip() and (not name or name == ANCHOR):
-            name = low[c].strip()
-        names.append(name or c)
+    last = F.greatest("primary", F.coalesce("secondary", F.lit(-1)))
+    near = rows.join(F.broadcast(header.select("file", last.alias("_last"))), "file").where(F.col("row_idx") <= F.col("_last"))
+    found = {(r["file"], r["row_idx"]): r for r in near.collect()}  # header rows only
     data = cut_header(rows, header)
-    out = data.select("row_idx", *[F.trim(F.col(c)).alias(n) for c, n in zip(cols, dedupe_names(names))])
+    parts = []
+    for h in sorted(header.collect(), key=lambda r: r["file"]):
+        top, low = found.get((h["file"], h["primary"])), found.get((h["file"], h["secondary"]))
+        names = []
+        for c in cols:
+            name = (top[c] or "").strip() if top else ""
+            if low is not None and (low[c] or "").strip() and (not name or name == ANCHOR):
+                name = low[c].strip()
+            names.append(name or c)
+        own = data.where(F.col("file") == h["file"])
+        parts.append(own.select("row_idx", *[F.trim(F.col(c)).alias(n) for c, n in zip(cols, dedupe_names(names))]))
+    out = union_sources(parts) if parts else data.select("row_idx", *cols)
     return out.withColumns({c: N.clean_id(F.col(c)) for c in out.columns if c in ids})
 
 
@@ -157,14 +175,12 @@ def best_header_row(scores: DataFrame, by: Sequence[str] = ("file",)) -> DataFra
 
 def merge_headers(cells: DataFrame, by: Sequence[str], upper: int, lower: int) -> DataFrame:
     """Two header rows as one: ``upper_lower``, or only the lower one when the upper row looks like codes
-    (more than half of its first twenty filled cells are plain ASCII codes)."""
+    (more than half of its filled cells are plain ASCII codes)."""
     by = list(by)
     pick = lambda r: F.max(F.when(F.col("row_idx") == r, F.trim("cell")))
     pair = cells.groupBy(*by, "col_idx").agg(pick(upper).alias("u"), pick(lower).alias("l")).na.fill("", ["u", "l"])
-    filled = pair.where("u <> ''").withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("col_idx")))
-    codes = filled.groupBy(*by).agg(
-        (F.count_if((F.col("_r") <= 20) & F.col("u").rlike(r"(?i)^[A-Z0-9\-_\[\]]+$")) > F.count("*") * 0.5).alias("codes")
-    )
+    plain = F.col("u").rlike(r"(?i)^[A-Z0-9\-_\[\]]+$")
+    codes = pair.where("u <> ''").groupBy(*by).agg((F.count_if(plain) > F.count("*") * 0.5).alias("codes"))
     joined = pair.join(codes, by, "left")
     both = F.concat("u", F.lit("_"), "l")
     name = F.when((F.col("l") != "") & ((F.col("u") == "") | F.coalesce("codes", F.lit(False))), F.col("l")).when(

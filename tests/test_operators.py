@@ -218,6 +218,9 @@ def test_curate_job(spark, tmp_path):
     reasons = {(r["source"], r["column"], r["reason"]) for r in warnings.collect()}
     assert ("7th", "NECK_CIRC_M", "column_not_present") in reasons and ("8th_3d", "NECK_CIRC_M", "column_not_found") in reasons
     assert ("7th", "HEIGHT_M", "unit_conversion_applied") in reasons and ("8th_3d", "NECK_CIRC_M", "ALL_NULL_BY_SOURCE") in reasons
+    assert ("7th", "HEIGHT_M", "SENTINEL_MISSING") in reasons and ("7th", "NECK_CIRC_M", "ALL_NULL_EXTRACTED") in reasons
+    assert ("7th", "AGE", "age_filter_applied") in reasons and ("7th", "WAIST_CIRC_M", "CROSS_SOURCE_SUSPECTED") in reasons
+    assert ("7th", "NECK_CIRC_M", "value_missing") in reasons
     assert {r["n_rows"] for r in report.collect()} == {121}
     jobs.write_curation(table, warnings, str(tmp_path / "out"))
     assert sinks.read_curated(spark, str(tmp_path / "out/curated")).count() == table.count()
@@ -249,13 +252,14 @@ def test_documents(spark):
 
 
 def test_cluster_is_deterministic(spark):
-    rows = [(f"s{i:04d}", 0.8 + 0.01 * i, 0.7 + 0.01 * i, 0.9 + 0.01 * i) for i in range(20)]
+    rng = np.random.default_rng(17)
+    rows = [(f"case-{i * 3 % 31}", *map(float, rng.normal(1.0 + (i % 2) / 4, 0.02, 3))) for i in range(31)]
     cols = ["BUST_CIRC_M", "WAIST_CIRC_M", "HIP_CIRC_M"]
     d = spark.createDataFrame(rows, "subject_id string, " + ", ".join(f"{c} double" for c in cols))
     a = jobs.cluster(d.repartition(3), cols, 2, "subject_id")
     b = jobs.cluster(d.repartition(7), cols, 2, "subject_id")
     assert np.array_equal(a["centroids"], b["centroids"])
     count = lambda r: sorted(x["n"] for x in r["assignments"].groupBy("cluster").agg(F.count("*").alias("n")).collect())
-    assert count(a) == count(b) and sum(count(a)) == 20
+    assert count(a) == count(b) and sum(count(a)) == 31
     lib = K.library_kmeans(d, cols, 2, restarts=2)
     assert np.array_equal(lib, K.library_kmeans(d, cols, 2, restarts=2))
