@@ -752,7 +752,8 @@ SELECT (SELECT count(*) FROM ds) AS n_rows, round(min(d), 6) AS dist_min, round(
   (SELECT quantile_cont(n::DOUBLE, 0.5) FROM (SELECT count(*) AS n FROM ds GROUP BY i)) AS size_p50, (SELECT max(n)::DOUBLE FROM (SELECT count(*) AS n FROM ds GROUP BY i)) AS size_max FROM ds"""),
 )
 def assignment_stats(spark, sf):
-    out = K.assignment_stats(_assigned(spark, sf))
+    # kept in memory or on disk: three order statistics read these two columns, and the plan behind them is wide
+    out = K.assignment_stats(_assigned(spark, sf).select("cluster", "distance").persist())
     return out.select("n_rows", *[r(c) for c in ("dist_min", "dist_p50", "dist_p90", "dist_max")], "n_clusters", "size_min", "size_p50", "size_max")
 
 
