@@ -18,18 +18,25 @@ from tapeline.llm import fitting, shared
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t",
         "|": "il", "€": "e"}
 SEPARATORS = " .-_*"
+MARKS = "!|+"  # may also stand behind a word as themselves
 LETTERS = 27  # a to z without accents; 0 is any boundary
 ORDER = 4
 _BASE = str.maketrans("àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ", "aaaaaaceeeeiiiinoooooouuuuyy")
 _LATIN = [chr(i).lower().translate(_BASE) for i in range(256)]
 _CODES = np.array([ord(c) - 96 if "a" <= c <= "z" else 0 for c in _LATIN], dtype=np.int64)
 _LETTER = np.array([chr(i).isalpha() for i in range(256)])
-_LEET = np.array([chr(i) in LEET for i in range(256)])
+_EURO = 0x80  # takes the place of the one leet symbol outside Latin-1
+_LEET = np.array([chr(i) in LEET or i == _EURO for i in range(256)])
 _LEET_DIGIT = np.array([chr(i) in LEET and chr(i).isdigit() for i in range(256)])
+_DIGIT = np.array([chr(i).isdigit() for i in range(256)])
+_SYMBOL = _LEET & ~_DIGIT
 _SEPARATOR = np.array([chr(i) in SEPARATORS + "\n\t" for i in range(256)])
 _SYMBOLS = re.escape("".join(c for c in LEET if not c.isdigit()))
-_SPACED = re.compile(rf"(?<![^\W_])(?:[^\W\d_][{re.escape(SEPARATORS)}]{{1,2}}){{2,}}[^\W\d_](?![^\W_])")
-_MIXED = re.compile(rf"(?:[^\W_]|[{_SYMBOLS}](?=[{_SYMBOLS}]*[^\W_]))+")
+_SINGLE = rf"(?:[^\W\d_]|[{re.escape(''.join(LEET))}])"
+_SPACED = re.compile(rf"(?<![^\W_])(?:{_SINGLE}[{re.escape(SEPARATORS)}]{{1,2}}){{2,}}{_SINGLE}(?![^\W_])")
+_MIXED = re.compile(rf"(?:[^\W_]|[{_SYMBOLS}])+")
+_SHOUTED = re.compile(r"[^\W\d_](?=!!)")
+_TAIL = re.compile("|".join(rf"[{re.escape(SEPARATORS)}]*{re.escape(c)}+$" for c in MARKS))
 _GAP = re.compile(r"\s")
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"([^\W\d_])\1\1")
@@ -41,23 +48,31 @@ def _bytes(text: str) -> np.ndarray:
 
 
 def suspicious(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places that could be obfuscated: inside a word with leetspeak or a letter three times, and where three or
-    more letters stand alone. Places are characters of the text; plain texts have none and need no lattice."""
-    b = _bytes(text)
+    """Places that could be obfuscated: inside or at the end of a word with leetspeak or a letter three times, and
+    where three or more letters or leet characters, at least one of them a letter, stand alone. Places are characters
+    of the text; plain texts have none and need no lattice. Words behind which two or more '!' stand are
+    left to ``restore``, and runs without any letter are numbers or marks."""
+    b = _bytes(text.replace("€", chr(_EURO)))
     none = np.empty(0, dtype=np.int64)
     if len(b) < 3:
         return none, none
-    letter = _LETTER[b]
-    mixed = _LEET[b[:-1]] & letter[1:] | letter[:-1] & _LEET_DIGIT[b[1:]]
+    letter, leet, symbol = _LETTER[b], _LEET[b], _SYMBOL[b]
+    mixed = leet[:-1] & letter[1:] | letter[:-1] & leet[1:]
     same = b[1:] == b[:-1]
+    shout = same & (b[1:] == ord("!"))
+    mixed[:-1] &= ~(letter[:-2] & shout[1:])
     mixed[1:] |= letter[2:] & same[1:] & same[:-1]
-    edge = ~letter
-    alone = letter.copy()  # letters without a letter beside them
-    alone[1:] &= edge[:-1]
-    alone[:-1] &= edge[1:]
+    word = letter | _DIGIT[b]
+    alone = letter | leet  # without a letter or digit beside them, symbols also without another symbol
+    alone[1:] &= ~(word[:-1] | symbol[1:] & symbol[:-1])
+    alone[:-1] &= ~(word[1:] | symbol[:-1] & symbol[1:])
     at = np.flatnonzero(alone)
+    if len(at) < 3:
+        return np.flatnonzero(mixed), none
     near = at[1:] - at[:-1] <= 3
-    return np.flatnonzero(mixed), at[:-2][near[1:] & near[:-1]]
+    run = np.concatenate([[0], np.cumsum(~near)])
+    held = np.bincount(run, weights=letter[at]) > 0
+    return np.flatnonzero(mixed), at[:-2][near[1:] & near[:-1] & held[run[:-2]]]
 
 
 class LanguageModel:
@@ -70,13 +85,17 @@ class LanguageModel:
     def restore(self, text: str) -> str:
         """The text with every obfuscated place in its likeliest reading; other places stay as they are."""
         mixed, alone = suspicious(text)
+        if "!!" in text:
+            mixed = np.union1d(mixed, [m.start() for m in _SHOUTED.finditer(text)]).astype(np.int64)
         if not len(mixed) and not len(alone):
             return text
         found: dict[int, str] = {}
         done = 0
         for at in alone.tolist():
             if at >= done and (m := _SPACED.match(text, at)):
-                found[at], done = m.group(0), m.end()
+                done = m.end()
+                if any(c.isalpha() for c in m.group(0)):
+                    found[at] = m.group(0)
         spans = [(a, a + len(t)) for a, t in found.items()]
         done = 0
         for at in mixed.tolist():
@@ -100,17 +119,24 @@ class LanguageModel:
         if found not in self.known:
             if len(self.known) > CACHED:
                 self.known.clear()
-            self.known[found] = self.decode(found)
+            tail = _TAIL.search(found)
+            self.known[found] = self.decode(found, len(tail.group(0)) if tail else 0)
         return self.known[found]
 
-    def decode(self, found: str) -> str:
+    def decode(self, found: str, tail: int = 0) -> str:
         """Viterbi over the lattice of readings: a state is the last three characters, each character of the text
-        is kept, replaced by what it may stand for, or left out (a separator, a repeated letter)."""
+        is kept, replaced by what it may stand for, or left out (a separator, a repeated letter). Of the last ``tail``
+        characters any number may stand behind the word as they are."""
         keep, swap, literal, drop = 0.0, math.log(0.3), math.log(0.2), math.log(0.5)
         low = found.lower()
         log, size = self.log, LETTERS ** (ORDER - 1)
         best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+        ends: list[tuple[float, tuple | None, str]] = []
+        finish = lambda left: ends.append((*max(((s + float(log[state * LETTERS]) + literal * left, t) for state, (s, t) in best.items()),
+                                                key=lambda x: x[0]), found[len(found) - left :]))
         for i, (c, shown) in enumerate(zip(low, found)):
+            if i and len(found) - i <= tail:
+                finish(len(found) - i)
             code = _code(c)
             moves: list[tuple[int, str, float]] = []
             if c in LEET:
@@ -131,8 +157,9 @@ class LanguageModel:
                 if skip and (state not in after or score + drop > after[state][0]):
                     after[state] = (score + drop, trail)
             best = after
-        score, trail = max(((s + float(log[state * LETTERS]), t) for state, (s, t) in best.items()), key=lambda x: x[0])
-        out = []
+        finish(0)
+        _, trail, rest = max(ends, key=lambda x: x[0])
+        out = [rest]
         while trail:
             trail, text = trail
             out.append(text)

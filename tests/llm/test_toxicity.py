@@ -25,6 +25,17 @@ def test_readings(language, seen, want):
     assert language.restore(f"the {seen} run") in (f"the {want} run",) or want == seen
 
 
+@pytest.mark.parametrize("seen,want", [
+    ("sh!+", "shit"), ("a$$", "ass"), ("s 7 u p 1 d", "stupid"), ("i d 1 o t", "idiot"), ("L-0-s-3-r", "Loser"), ("s.t.u.p.1.d", "stupid"),
+    ("5 t u p ! d", "stupid"), ("idio+", "idiot"), ("l0s€r", "loser"), ("los€r!", "loser!"), ("naz!", "nazi"), ("naz!!", "nazi!"),
+    ("stupid!!", "stupid!!"), ("loser!", "loser!"), ("s t u p 1 d !", "stupid!"), ("1 3 5 7", "1 3 5 7"), ("12!", "12!"),
+])
+def test_leet_at_the_end_and_between_separators(seen, want):
+    total = np.zeros(LETTERS**ORDER)
+    count_grams(WORDS + "shit ass nazi " * 40, total)
+    assert LanguageModel(log_probabilities(total)).restore(f"the {seen} run") == f"the {want} run"
+
+
 def test_viterbi_against_all_readings(language):
     """Every path through the lattice, scored one by one."""
     def readings(found):
