@@ -27,13 +27,25 @@ PROVIDER_FORMS = {
     "signed_token": re.compile(r"eyJ[A-Za-z0-9_-]{8,}"),
     "live_key": re.compile(r"[sr]k_live_[A-Za-z0-9]{16,}"),
 }
-HINT = re.compile(r"[0-9=]|-----BEGIN")
+HINT = re.compile(r"[0-9:=]|-----BEGIN")  # what every form below needs
+# A block of key material: ended, it holds nothing but lines of its alphabet and header lines; without an end it stops at
+# the first line that is none, where only one shorter line, the last, may follow long ones.
+_HEADER = r"(?:Proc-Type|DEK-Info|Comment|Version|Hash|Charset): [^\r\n\\]*"
+_GAP = r"(?:[\s\"'`>#*|,+]|\\[nrt])+"
+_BREAK = r"(?:[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t>#*|]*)+"
+_LINE_END = r"(?=[\"'`\\<]|[ \t]*(?:[\r\n]|\Z))"
+KEY_HEAD = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+_ENDED = re.compile(rf"{_GAP}(?:(?:{_HEADER}|[A-Za-z0-9+/=]++){_GAP})*+-----END [A-Z ]{{0,30}}PRIVATE KEY-----")
+_UNENDED = re.compile(
+    rf"(?:{_BREAK}{_HEADER})*(?:{_BREAK}[A-Za-z0-9+/]{{16,}}={{0,2}}{_LINE_END})*(?:{_BREAK}[A-Za-z0-9+/]+={{0,2}}{_LINE_END})?"
+    rf"|[ \t]+[A-Za-z0-9+/]{{16,}}={{0,2}}(?:[ \t]+[A-Za-z0-9+/]{{16,}}={{0,2}})*"
+)
 CANDIDATE = re.compile(
-    r"(?P<private_key>-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[\s\S]*?-----END [A-Z ]{0,30}PRIVATE KEY-----|[\s\S]*))"
-    r"|(?P<assignment>(?<![A-Za-z0-9])(?i:[a-z_.-]*(?:key|token|secret|password|passwd|pwd|credential|auth)[a-z0-9_.-]*)"
-    r"[\"']?\s{0,3}(?:=>|[:=])\s{0,3}[\"']?(?P<value>[^\s\"',;]{6,}))"
+    r"(?P<assignment>(?<![A-Za-z0-9])(?i:[a-z_.-]*(?:key|token|secret|password|passwd|pwd|credential|auth)[a-z0-9_.-]*)"
+    r"[\"']?\s{0,3}(?:=>|[:=])\s{0,3}[\"']?(?P<value>(?!-----BEGIN )[^\s\"',;]{6,}))"
     r"|(?P<token>[A-Za-z0-9+/_-]{12,}={0,2})"
 )
+_PLACEHOLDER = re.compile(rf"(?<![a-z0-9+/])(?:{'|'.join(PLACEHOLDER_WORDS)})")
 NEIGHBOURS = 16
 FEATURES = (
     "length", "digits", "upper", "lower", "marks", "turns", "entropy", "hexadecimal", "only_digits", "likelihood", "coverage",
@@ -43,21 +55,35 @@ FEATURES = (
 FINDING = "start long, length long, kind string, value string, features array<double>"
 
 
+def key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every private key block of a text, and of the head alone where no key material follows."""
+    for m in KEY_HEAD.finditer(text):
+        end = _ENDED.match(text, m.end()) or _UNENDED.match(text, m.end())
+        yield m.start(), end.end() if end else m.end()
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, str, str, bool]]:
-    """(start, end, kind, value, assigned) of every place of a text that has the form of a secret."""
+    """(start, end, kind, value, assigned) of every place of a text that has the form of a secret, in the order of
+    their starts. Key blocks hide nothing: places inside them are candidates of their own."""
     if not HINT.search(text):
         return
+    blocks = list(key_blocks(text))[::-1]
     for m in CANDIDATE.finditer(text):
-        kind = m.lastgroup if m.lastgroup != "value" else "assignment"
         value = m.group("value") or m.group(0)
         start = m.start("value") if m.group("value") else m.start()
-        if kind != "private_key":
-            value = value.rstrip(".)]}>!?:")
-            if kind == "token" and not any(c.isdigit() for c in value):
-                continue
+        while blocks and blocks[-1][0] <= start:
+            s, e = blocks.pop()
+            yield s, e, "private_key", text[s:e], False
+        assigned = m.group("value") is not None
+        value = value.rstrip(".)]}>!?:")
+        if not assigned and not any(c.isdigit() for c in value):
+            continue
         if len(value) >= 6:
+            kind = "assignment" if assigned else "token"
             named = next((k for k, form in PROVIDER_FORMS.items() if form.fullmatch(value)), kind)
-            yield start, start + len(value), named, value, kind == "assignment"
+            yield start, start + len(value), named, value, assigned
+    for s, e in reversed(blocks):
+        yield s, e, "private_key", text[s:e], False
 
 
 def passes_checksum(digits: str) -> bool:
@@ -94,23 +120,24 @@ class Lexicon:
 
 def describe(text: str, start: int, end: int, kind: str, value: str, assigned: bool, path: str, lexicon: Lexicon) -> list[float]:
     """The entries of ``FEATURES`` for one candidate."""
-    short = value[:400]
-    n = len(short)
-    groups = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "m" for c in short]
+    n = len(value)
+    groups = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "m" for c in value]
     share = Counter(groups)
-    spread = -sum(k / n * math.log2(k / n) for k in Counter(short).values())
+    spread = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
     around = text[max(0, start - 60) : start].lower()
     words = re.findall(r"[^\W\d_]+", around)[-3:] + re.findall(r"[^\W\d_]+", text[end : end + 40].lower())[:2]
     near = [0.0] * NEIGHBOURS
     for w in words:
         near[hashlib.md5(w.encode()).digest()[0] % NEIGHBOURS] += 1
-    low, place = short.lower(), path.lower()
+    low, place = value.lower(), path.lower()
+    # long key material has any four letters somewhere inside a line
+    made_up = _PLACEHOLDER.search(low) is not None if kind == "private_key" else any(w in low for w in PLACEHOLDER_WORDS)
     return [
         math.log1p(len(value)), share["d"] / n, share["u"] / n, share["l"] / n, share["m"] / n,
         sum(a != b for a, b in zip(groups, groups[1:])) / n, spread, float(all(c in "0123456789abcdef" for c in low)),
-        float(short.isdigit()), lexicon.likelihood(short), lexicon.coverage(short), float(assigned), float(kind == "private_key"),
-        float("@" in text[start : end + 1] or text[max(0, start - 1) : start] == "@"), float(short.isdigit() and passes_checksum(short)),
-        float(any(w in around[-25:] for w in CREDENTIAL_WORDS)), float(any(w in low for w in PLACEHOLDER_WORDS)),
+        float(value.isdigit()), lexicon.likelihood(value), lexicon.coverage(value), float(assigned), float(kind == "private_key"),
+        float("@" in text[start : end + 1] or text[max(0, start - 1) : start] == "@"), float(value.isdigit() and passes_checksum(value)),
+        float(any(w in around[-25:] for w in CREDENTIAL_WORDS)), float(made_up),
         float(place.count("/")), float(place.endswith((".env", ".ini", ".cfg", ".yml", ".yaml", ".json", ".toml"))),
         float(any(w in place for w in PLACEHOLDER_WORDS)), *near,
     ]
@@ -164,7 +191,8 @@ def settled_labels(found: DataFrame) -> DataFrame:
     provider = F.col("kind").isin("private_key", *PROVIDER_FORMS)
     wrong = (x("mail") > 0) | (x("only_digits") > 0) | (x("placeholder") > 0) | (x("coverage") >= 0.6)
     right = (x("assigned") > 0) & (x("digits") > 0) & (x("turns") >= 0.2) & (x("coverage") < 0.3)
-    label = F.when(wrong, 0).when(provider | right, 1)
+    bare = (F.col("kind") == "private_key") & F.col("value").rlike(rf"^{KEY_HEAD.pattern}$")  # a head without key material
+    label = F.when(wrong | bare, 0).when(provider | right, 1)
     return found.select("path", "start", "length", label.alias("secret")).where("secret IS NOT NULL")
 
 
@@ -275,9 +303,10 @@ def redacted(documents: DataFrame, labels: DataFrame | None = None, path: str =
                     keep = forest.score(np.array([f[4] for f in found])) >= least
                     parts, last = [], 0
                     for (start, n, *_), secret in zip(found, keep):
-                        if secret:
-                            parts += [text[last:start], mark]
-                            last = start + n
+                        if secret and start + n > last:
+                            if start >= last:
+                                parts += [text[last:start], mark]
+                            last = start + n  # one mark for places that overlap
                     texts[row] = "".join([*parts, text[last:]])
             columns = [pa.array(texts, out.types[i]) if i == at_doc else batch.column(i).cast(t) for i, t in enumerate(out.types)]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
