@@ -730,9 +730,10 @@ def lloyd_converged(spark, sf):
     return both.agg(F.count("*").alias("n_clusters"), F.sum("n").alias("n_rows"), F.count_if(moved).alias("n_moved"))
 
 
-def _assigned(spark, sf):
+def _assigned(spark, sf, **rounds):
+    """Rows with their cluster and distance, after rounds until unchanged or ``max_iter`` rounds."""
     v = _vectors(spark, sf)
-    c = K.lloyd(v, DIMS, CENTROIDS, ["vec_id"], max_iter=2)
+    c = K.lloyd(v, DIMS, CENTROIDS, ["vec_id"], **rounds)
     return K.original_distance(K.assign(v, DIMS, c), K.centroid_frame(spark, c, DIMS), DIMS)
 
 
@@ -741,6 +742,12 @@ ASSIGNED = [*LLOYD, _step(3, "c2"), "ds AS (SELECT a3.vec_id, a3.i, sqrt(" + eve
 
 @query("assign_distance", "ML4 JN13", with_sql(*ASSIGNED, "SELECT vec_id, CAST(i AS INTEGER) AS cluster, round(d, 6) AS distance FROM ds"))
 def assign_distance(spark, sf):
+    """After two rounds, as far as the SQL is unrolled; ``assign_distance_converged`` runs to the end."""
+    return _assigned(spark, sf, max_iter=2).select("vec_id", "cluster", r("distance"))
+
+
+@query("assign_distance_converged", "ML4 JN13")
+def assign_distance_converged(spark, sf):
     return _assigned(spark, sf).select("vec_id", "cluster", r("distance"))
 
 
@@ -752,18 +759,34 @@ SELECT (SELECT count(*) FROM ds) AS n_rows, round(min(d), 6) AS dist_min, round(
   (SELECT quantile_cont(n::DOUBLE, 0.5) FROM (SELECT count(*) AS n FROM ds GROUP BY i)) AS size_p50, (SELECT max(n)::DOUBLE FROM (SELECT count(*) AS n FROM ds GROUP BY i)) AS size_max FROM ds"""),
 )
 def assignment_stats(spark, sf):
+    """After two rounds, as far as the SQL is unrolled; ``assignment_stats_converged`` runs to the end."""
+    return _stats(_assigned(spark, sf, max_iter=2))
+
+
+@query("assignment_stats_converged", "A28")
+def assignment_stats_converged(spark, sf):
+    return _stats(_assigned(spark, sf))
+
+
+def _stats(assigned):
     # kept in memory or on disk: three order statistics read these two columns, and the plan behind them is wide
-    out = K.assignment_stats(_assigned(spark, sf).select("cluster", "distance").persist())
+    out = K.assignment_stats(assigned.select("cluster", "distance").persist())
     return out.select("n_rows", *[r(c) for c in ("dist_min", "dist_p50", "dist_p90", "dist_max")], "n_clusters", "size_min", "size_p50", "size_max")
 
 
 @query("worst_subjects", "T4", with_sql(*ASSIGNED, "SELECT vec_id, CAST(i AS INTEGER) AS cluster, round(d, 6) AS distance FROM ds ORDER BY round(d, 9) DESC, vec_id LIMIT 10"))
 def worst_subjects(spark, sf):
+    """After two rounds, as far as the SQL is unrolled; ``worst_subjects_converged`` runs to the end."""
+    return K.worst_subjects(_assigned(spark, sf, max_iter=2), "vec_id").select("vec_id", "cluster", r("distance"))
+
+
+@query("worst_subjects_converged", "T4")
+def worst_subjects_converged(spark, sf):
     return K.worst_subjects(_assigned(spark, sf), "vec_id").select("vec_id", "cluster", r("distance"))
 
 
 @query("kmeans_library", "ML3")
 def kmeans_library(spark, sf):
     v = _vectors(spark, sf)
-    c = K.library_kmeans(v, DIMS, 32, restarts=10, max_iter=300)
+    c = K.library_kmeans(v, DIMS, CENTROIDS, restarts=10, max_iter=300)
     return K.assign(v, DIMS, c).groupBy("cluster").agg(F.count("*").alias("n"), F.sqrt(F.avg("sq_dist")).alias("rms"))

@@ -1,5 +1,6 @@
 """Sizes and values past limits that operators once had."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tapeline.operators import cluster as K
@@ -8,7 +9,7 @@ from tapeline.operators import events as E
 from tapeline.operators import plan as L
 from tapeline.operators import sensors as S
 from tapeline.operators import sets
-from tapeline.plans import inputs
+from tapeline.plans import catalogue, inputs, runs
 from tapeline.sources import survey
 from tapeline.streaming import jobs as J
 
@@ -112,3 +113,30 @@ def test_transitions_fire_again(spark, tmp_path):
         J.run_once(J.transitions(stream), str(tmp_path / "out"), str(tmp_path / "state"))
     got = sorted((r.key, r.ordinal) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("a", 2), ("a", 6), ("a", 8), ("b", 9)]
+
+
+def test_assignments_rest_on_converged_centroids(spark, monkeypatch):
+    """Lloyd by brute force until unchanged; every distance, the statistics and the worst subjects from its end."""
+    rows = sorted((r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect())
+    ids, x = [i for i, _ in rows], np.array([v for _, v in rows], dtype=float)
+    monkeypatch.setattr(runs, "CENTROIDS", k := 12)  # few, so that it takes more than two rounds
+    c, rounds = x[:k].copy(), 0
+    while True:
+        near = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+        new = np.array([x[near == i].mean(0).round(12) if (near == i).any() else c[i] for i in range(k)])
+        rounds, moved, c = rounds + 1, np.abs(new - c).max(), new
+        if moved <= 1e-12:
+            break
+    square = ((x[:, None] - c[None]) ** 2).sum(2)
+    near, dist = square.argmin(1), np.sqrt(square.min(1))
+    assert rounds > 3
+    got = {r.vec_id: r for r in catalogue.QUERIES["assign_distance_converged"](spark, SF).collect()}
+    assert len(got) == len(ids)
+    assert all(got[i].cluster == n and abs(got[i].distance - d) < 2e-6 for i, n, d in zip(ids, near, dist))
+    stats = catalogue.QUERIES["assignment_stats_converged"](spark, SF).first()
+    sizes = np.bincount(near)[np.bincount(near) > 0]
+    want = (len(ids), dist.min(), np.quantile(dist, 0.5), np.quantile(dist, 0.9), dist.max(), len(sizes), sizes.min(), np.quantile(sizes, 0.5), sizes.max())
+    assert np.allclose([float(v) for v in stats], want, atol=2e-6)
+    worst = [r.vec_id for r in catalogue.QUERIES["worst_subjects_converged"](spark, SF).collect()]
+    assert worst == [i for _, i in sorted(zip(-dist.round(9), ids))[:10]]
+    assert catalogue.QUERIES["kmeans_library"](spark, SF).count() <= k
