@@ -352,3 +352,19 @@ def scenario_checks(body: Column, fitting: Column, garment: Column, scenario: Co
 def top_issues(rows: DataFrame, by: Sequence[str], k: int = 5) -> DataFrame:
     bad = rows.where(F.col("severity") != PASS).groupBy(*by, "label").agg(F.count("*").alias("n"))
     return first_k(bad, list(by), [F.desc("n"), F.asc("label")], k)
+
+
+def ordered_warnings(warnings: DataFrame, column: str = "warning") -> DataFrame:
+    """All warnings ordered by code, then by path, expected or id, then by themselves; ``code`` and ``place`` are added.
+
+    Without such a field a warning's place is its whole text, without a code the text is the code. It is a range sort
+    over all tasks; no warning is dropped, NULL comes first.
+    """
+    w = F.col(column)
+    full = r"(?d)^\[([^\]]+)\].*\| (?:path|expected|id)=([^;]*)(?:;|$)"
+    code, plain = F.regexp_extract(w, full, 1), F.regexp_extract(w, r"^\[([^\]]+)\]", 1)
+    place = F.regexp_replace(F.regexp_extract(w, full, 2), r"(?U)^\s+|\s+$", "")
+    return warnings.withColumns({
+        "code": F.when(code != "", code).when(plain != "", plain).otherwise(w),
+        "place": F.when(code != "", place).when(plain != "", w).when(w.isNotNull(), ""),
+    }).orderBy("code", "place", column)

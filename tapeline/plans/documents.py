@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tapeline.operators import contracts as D
 from tapeline.operators import sets as S
 from tapeline.plans.inputs import PROGRESS, progress, with_sql
-from tapeline.plans.registry import query, spread, table
+from tapeline.plans.registry import ORACLE, query, spread, table
 
 # The document texts are one expression for both engines; the comparison SQL then derives the expected
 # severities from the columns behind them, without reading the JSON.
@@ -353,7 +353,18 @@ def ledger_unmet(spark, sf):
 
 
 @query(
-    "top_issues", "A44 T6",
+    "warnings_ordered", "T6",
+    """
+SELECT '[' || gate_code || '] ' || consumer || ' | expected=' || module || '/' || step_id AS warning, gate_code AS code, module || '/' || step_id AS place
+FROM ({ledger}) ORDER BY code, place, warning""".replace("{ledger}", ORACLE["ledger_unmet"]),
+)
+def warnings_ordered(spark, sf):
+    unmet = ledger_unmet(spark, sf)
+    return D.ordered_warnings(unmet.select(F.format_string("[%s] %s | expected=%s/%s", "gate_code", "consumer", "module", "step_id").alias("warning")))
+
+
+@query(
+    "top_issues", "A44",
     """
 WITH c AS (SELECT o_orderpriority AS g, 'unit' AS label FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT o_orderpriority, 'measurements' FROM orders WHERE NOT ({h})
  UNION ALL SELECT o_orderpriority, 'missingness' FROM orders WHERE {h} AND ((o_custkey % 2 = 0) OR (o_custkey % 5 <> 0 AND o_custkey % 3 = 0) OR o_custkey % 7 = 1)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tapeline.operators import cluster as K
+from tapeline.operators import contracts as D
 from tapeline.operators import curate as C
 from tapeline.operators import events as E
 from tapeline.operators import plan as L
@@ -140,3 +141,17 @@ def test_assignments_rest_on_converged_centroids(spark, monkeypatch):
     worst = [r.vec_id for r in catalogue.QUERIES["worst_subjects_converged"](spark, SF).collect()]
     assert worst == [i for _, i in sorted(zip(-dist.round(9), ids))[:10]]
     assert catalogue.QUERIES["kmeans_library"](spark, SF).count() <= k
+
+
+def test_all_warnings_are_ordered_by_code_and_place(spark):
+    want = [
+        ("[A_1] z | path=N/A", "A_1", "N/A"), ("[A_1] no place", "A_1", "[A_1] no place"), ("[A_1] a | expected= b/c ", "A_1", "b/c"),
+        ("[B] y | id=1; expected=q; detail=d", "B", "1"), ("[B] x | path=2;", "B", "2"), ("[B] x | path=2;", "B", "2"), ("no code", "no code", ""),
+    ]
+    rows = [(w,) for w, _, _ in want[::-1]] + [(f"[Z] | path={i:03d}",) for i in reversed(range(200))]
+    got = [tuple(r) for r in D.ordered_warnings(spark.createDataFrame(rows, "warning string").repartition(7)).collect()]
+    assert [g for g in got if g[1] != "Z"] == want
+    assert [g[2] for g in got if g[1] == "Z"] == [f"{i:03d}" for i in range(200)]
+    table = [(r.code, r.place, r.warning) for r in catalogue.QUERIES["warnings_ordered"](spark, SF).collect()]
+    assert table and table == sorted(table)
+    assert catalogue.OPERATORS["warnings_ordered"] == "T6" and "T6" not in catalogue.OPERATORS["top_issues"].split()
