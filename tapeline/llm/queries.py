@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, digests, jaccard, licenses, packing, quality, search, secret_scan, shared, toxicity, warc
+from tapeline.llm import bpe, digests, jaccard, licenses, packing, periods, quality, search, secret_scan, shared, toxicity, warc
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,27 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.c AS component_id
 FROM sets s JOIN (SELECT a, min(c) AS c FROM reach GROUP BY a) r ON r.a = s.doc_id
 """
+
+
+@query
+def op11_seeded_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each tenth document by the CRC of its id gets its words from some place on repeated in turn before the search."""
+    h = crc_of("path")
+    words = F.filter(F.split("doc", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cycled = """transform(sequence(0L, n - 1), i -> element_at(words, CAST(1 + if(i >= a, a + (i - a) % p, i) AS INT)))"""
+    planted = (
+        run_documents(spark, sf)
+        .withColumn("words", F.when(h % 10 == 0, words))
+        .withColumn("n", F.size("words").cast("long")).withColumn("g", F.floor(h / 10))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+        .withColumn("doc", F.when(F.col("n") > 0, F.concat_ws(" ", F.expr(cycled))).otherwise(F.col("doc")))
+    )
+    found = periods.periodic_runs(planted.select("path", "doc"))
+    longest = F.array_max(F.expr("transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period))"))
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return found.select("path", "runs", "collapsed", longest.alias("longest")).select(
+        F.col("path").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length DIV -longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -60,6 +60,21 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
     give_back()
 
 
+def sized_chunks(batches: Iterator[pa.RecordBatch], column: int, size: int, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows whose texts in ``column`` have together at most ``size`` bytes, or of one longer text."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        filled = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = filled[start - 1] if start else 0
+            stop = min(max(int(np.searchsorted(filled, before + size, side="right")), start + 1), start + rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+    give_back()
+
+
 def kept_rows(documents: DataFrame, doc: str, keep: Callable[[list[str]], np.ndarray]) -> DataFrame:
     """The rows whose text ``keep`` says yes to, as they are; the texts stay where they are read."""
     at = documents.columns.index(doc)
