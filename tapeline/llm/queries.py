@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, digests, jaccard, licenses, packing, periods, quality, search, secret_scan, shared, toxicity, warc
+from tapeline.llm import bpe, digests, fragments, jaccard, licenses, packing, periods, quality, search, secret_scan, shared, toxicity, warc
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,12 @@ def op11_seeded_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("1000 * longest.length DIV -longest.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    found = fragments.encode_by_fragments(run_documents(spark, sf), vocabulary_file("word_bpe_49k.json"), decode=True)
+    return found.select(
+        F.col("path").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
