@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, digests, fragments, jaccard, licenses, packing, periods, quality, search, secret_scan, shared, toxicity, warc
+from tapeline.llm import alignment, bpe, digests, fragments, jaccard, licenses, packing, periods, quality, search, secret_scan, shared, toxicity, warc
 from tapeline.llm.tables import crc_of, run_documents, vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,12 @@ def op12_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.col("path").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op13_incidence_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    files = vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model")
+    found = alignment.align_tokenizers(run_documents(spark, sf), *files)
+    return found.withColumnRenamed("path", "doc_id").withColumn(
+        "groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    ).drop("groups")
