@@ -63,24 +63,25 @@ def mapping_frame(raw: DataFrame) -> DataFrame:
 
 
 def standardize(
-    df: DataFrame, mapping: Sequence, source: str, keep: Sequence[str] = ()
+    rows: DataFrame, names: DataFrame, mapping: DataFrame, source: str, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """One projection: each standard key takes its source column or NULL, in mapping order.
+    """Sheet rows (``fields``: text by column name) as one column per standard key, in mapping order, NULL where the
+    sheet has none, and the findings as rows: ``column_not_present`` (not mapped) and ``column_not_found`` (mapped, but
+    in none of the sheets whose ``names`` are given).
 
-    ``mapping`` is the dictionary of this source (a few dozen rows). The second relation holds
-    ``column_not_present`` (not mapped) and ``column_not_found`` (mapped but absent) findings.
+    ``mapping`` has (ord, standard_key, source, column, present). Only the part of this source, a row per column of
+    the table to be built, visits the driver: it is the plan itself.
     """
-    have = set(df.columns)
-    cols, notes = [F.col(c) for c in keep], []
-    for row in sorted((m for m in mapping if m["source"] == source), key=lambda m: m["ord"]):
-        name, key = row["column"], row["standard_key"]
-        if row["present"] and name in have:
-            cols.append(F.col(f"`{name}`").alias(key))
-            continue
-        cols.append(F.lit(None).cast("string").alias(key))
-        reason = "column_not_found" if row["present"] else "column_not_present"
-        notes.append((source, None, key, reason, None, name, None, None, None))
-    return df.select(*cols), df.sparkSession.createDataFrame(notes, WARNING_SCHEMA)
+    own = mapping.where(F.col("source") == source)
+    cols = [F.col(c) for c in keep]
+    for m in sorted(own.select("ord", "standard_key", "column", "present").collect(), key=lambda m: m.ord):
+        text = F.try_element_at("fields", F.lit(m.column)) if m.present and m.column is not None else F.lit(None).cast("string")
+        cols.append(text.alias(m.standard_key))
+    known = names.select(F.col("name").alias("_found")).distinct()
+    lost = own.join(known, F.col("column") == F.col("_found"), "left").where("NOT present OR _found IS NULL")
+    reason = F.when(F.col("present"), "column_not_found").otherwise("column_not_present")
+    notes = lost.select("source", F.col("standard_key").alias("column"), reason.alias("reason"), F.col("column").alias("original_value"))
+    return rows.select(*cols), notes
 
 
 def attach_by_position(primary: DataFrame, secondary: DataFrame, cols: Sequence[str], ordinal: str) -> DataFrame:
@@ -256,11 +257,11 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def curate_source(
-    spark: SparkSession, raw: DataFrame, mapping: Sequence, source: str, order: str
+    spark: SparkSession, frame: DataFrame, notes: DataFrame, source: str, order: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One source from raw text columns to metres, its findings, and the repaired long rows the sensors look at. All
-    are lazy plans over the same input; only the unit map (one row per key) visits the driver."""
-    frame, notes = standardize(raw, mapping, source, keep=[order])
+    """One source from standardized text columns to metres, its findings (with the ``notes`` on its columns), and the
+    repaired long rows the sensors look at. All are lazy plans over the same input; only the unit map (one row
+    per key) visits the driver."""
     numeric = [c for c in frame.columns if c not in (order, "HUMAN_ID", "SEX", "AGE")]
     meta = {
         "HUMAN_ID": lambda c: N.clean_id(c),

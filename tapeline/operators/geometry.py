@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions import numbers as N
-from tapeline.operators.scale import first_k, exact_quantiles
+from tapeline.operators.scale import exact_quantiles, first_k, join_keys
 
 # Landmark ratios, band heights, limits.
 CROTCH_RATIO = 0.45
@@ -286,26 +286,27 @@ def _clamp01(c: Column) -> Column:
 def fit_proxy(body_boxes: DataFrame, garment: DataFrame) -> DataFrame:
     """Clipping, penetration and violation scores of a garment against a body box, per pair.
 
-    Two aggregates: the garment box, then the garment vertices inside the body box and their depth.
+    Each vertex meets the one box of its case for its depth, vertices are summed up per case, and only those rows
+    and the boxes, one of each per case, are matched in full. Of several boxes of a case the smallest bounds count.
     A missing side scores a neutral 0.5.
     """
-    body = body_boxes.select(
-        "case_id", *[F.col(f"{c}_{s}").alias(f"b_{c}_{s}") for c in "xyz" for s in ("min", "max")]
-    )
+    keep = [f"b_{c}_{s}" for c in "xyz" for s in ("min", "max")]
+    body = body_boxes.groupBy("case_id").agg(*[F.min(k[2:]).alias(k) for k in keep])
     inside = F.lit(True)
     for c in "xyz":
         inside = inside & F.col(c).between(F.col(f"b_{c}_min"), F.col(f"b_{c}_max"))
     depth = F.least(*[d for c in "xyz" for d in (F.col(c) - F.col(f"b_{c}_min"), F.col(f"b_{c}_max") - F.col(c))])
-    g = garment.join(body, "case_id", "full")
-    keep = [f"b_{c}_{s}" for c in "xyz" for s in ("min", "max")]
-    agg = g.groupBy("case_id").agg(
-        *[F.min(k).alias(k) for k in keep],
+    worn = join_keys(garment, body, ["case_id"], "left").groupBy(F.col("case_id").alias("_case")).agg(
         *[F.min(c).alias(f"g_{c}_min") for c in "xyz"],
         *[F.max(c).alias(f"g_{c}_max") for c in "xyz"],
         F.count("x").alias("n_garment"),
         F.count_if(inside).alias("n_inside"),
         F.avg(F.when(inside, depth)).alias("mean_depth"),
+        F.lit(True).alias("_worn"),
     )
+    agg = worn.join(body, F.col("_case").eqNullSafe(F.col("case_id")), "full").withColumns(
+        {"case_id": F.when(F.col("_worn"), F.col("_case")).otherwise(F.col("case_id")), "n_garment": F.coalesce("n_garment", F.lit(0)), "n_inside": F.coalesce("n_inside", F.lit(0))}
+    ).drop("_case", "_worn")
 
     def vol(p):
         v = F.lit(1.0)

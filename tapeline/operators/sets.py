@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions import paths as P
@@ -68,11 +68,56 @@ def first_match(terms: DataFrame, columns: DataFrame) -> DataFrame:
     )
 
 
-def nearest_names(terms: DataFrame, columns: DataFrame, n: int = 3) -> DataFrame:
-    """The ``n`` column names closest in spelling to each unmatched term: the stated terms against all names of
-    a fitting length. Spark broadcasts whichever side its statistics show to be small."""
-    d = terms.join(columns, F.length("name") <= F.length("term") * 3 + 8).withColumn("distance", F.levenshtein("term", "name"))
-    return first_k(d, ["term"], [F.asc("distance"), F.asc("name")], n)
+def _grams(text: str) -> Column:
+    """The pairs of neighbouring characters of a padded text, each numbered among equal ones."""
+    padded = F.concat(F.lit("\1"), F.col(text), F.lit("\2"))
+    pair = lambda i: F.substring(padded, i, F.lit(2))
+    every = F.transform(F.sequence(F.lit(1), F.length(text) + 1), pair)
+    return F.transform(every, lambda g, i: F.concat(g, F.size(F.filter(F.slice(every, 1, i + 1), lambda x: x == g)).cast("string")))
+
+
+def _within(terms: DataFrame, names: DataFrame, held: DataFrame, radius: int) -> DataFrame:
+    """All (term, name, distance) of at most ``radius`` edits, by an index of character pairs.
+
+    An edit changes at most two pairs, so of any ``2 radius + 1`` pairs of a term one is left in a name that near: the
+    pairs that the fewest names hold are looked up. Terms of fewer pairs meet the names of a fitting length.
+    """
+    size = 2 * radius + 1
+    pairs = terms.where(F.length("term") >= 2 * radius).select("term", F.explode(_grams("term")).alias("gram"))
+    rare = pairs.join(held.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")), "gram", "left")
+    probes = first_k(rare, ["term"], [F.coalesce("_n", F.lit(0)), F.col("gram")], size).select("term", "gram")
+    met = probes.join(held, "gram").where(F.abs(F.length("term") - F.length("name")) <= radius).select("term", "name")
+    short = terms.where(F.length("term") < 2 * radius).withColumn(
+        "_size", F.explode(F.sequence(F.greatest(F.length("term") - radius, F.lit(0)), F.length("term") + radius))
+    )
+    met = met.unionByName(short.join(names.withColumn("_size", F.length("name")), "_size").select("term", "name")).distinct()
+    return met.withColumn("distance", F.levenshtein("term", "name", radius)).where("distance >= 0")
+
+
+def nearest_names(terms: DataFrame, columns: DataFrame, n: int = 3, radii: Sequence[int] = (2, 5)) -> DataFrame:
+    """The ``n`` column names closest in spelling to each term (term, name, distance, rank), ties by name, among names of at
+    most three times its length and eight characters more.
+
+    The names within a small radius are looked up by their rarest character pairs; terms with fewer than ``n`` of them
+    go on with the next radius, and those that are left meet the names of each fitting length. The result is that
+    of comparing all pairs. NULL terms and names are left out, repeated ones count once.
+    """
+    names = columns.select("name").where("name IS NOT NULL").distinct()
+    held = names.select("name", F.explode(_grams("name")).alias("gram"))
+    left = terms.select("term").where("term IS NOT NULL").distinct()
+    found = []
+    for radius in radii:
+        near = _within(left, names, held, radius)
+        enough = near.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n).select("term")
+        found.append(near.join(enough, "term", "left_semi"))
+        left = left.join(enough, "term", "left_anti")
+    sized = left.withColumn("_size", F.explode(F.sequence(F.lit(0), F.length("term") * 3 + 8)))
+    rest = sized.join(names.withColumn("_size", F.length("name")), "_size").select("term", "name")
+    found.append(rest.withColumn("distance", F.levenshtein("term", "name")))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return first_k(every, ["term"], [F.asc("distance"), F.asc("name")], n)
 
 
 def resolve_aliases(pairs: DataFrame, keymap: DataFrame, ids: Sequence[str]) -> DataFrame:

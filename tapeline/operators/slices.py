@@ -11,11 +11,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeline.operators.components import connected_components
 from tapeline.operators.geometry import TOLERANCE_LIMITS, slice_tolerance
-from tapeline.operators.scale import neighbour
+from tapeline.operators.scale import join_keys, neighbour
+from tapeline.sources.shared import written
 
 N_SLICES = 20
 QUANTUM = 1e-6
@@ -96,6 +99,8 @@ def slice_points(
 # --- convex hulls ---------------------------------------------------------------------------------
 
 PASS_POINTS = 48
+HELD_POINTS = 200_000  # hull points a map task holds before it passes them on
+FAN_IN = 64  # map tasks whose hulls of a group meet first
 
 
 def chain(pts: list) -> list:
@@ -158,19 +163,27 @@ def _runs(pdf: pd.DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
 
 
 def _thin(keys: list[str]):
-    """Per batch, replace the points of a crowded group by their hull: the combiner of the hull."""
+    """Crowded groups of a task shrink to their hull, batch by batch: the combiner of the hull. Other points pass."""
+
+    def rows(key, points: list, w: int) -> pd.DataFrame:
+        px, pz = map(list, zip(*points))
+        return pd.DataFrame({**dict(zip(keys, key)), "px": px, "pz": pz, "w": [w] + [0] * (len(px) - 1)})[[*keys, "px", "pz", "w"]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, tuple[list, int]] = {}
         for pdf in batches:
-            sizes = pdf.groupby(keys, sort=False)["px"].transform("size")
+            sizes = pdf.groupby(keys, sort=False, dropna=False)["px"].transform("size")
             small = pdf[sizes <= PASS_POINTS]
             if len(small):
                 yield small
-            big = pdf[sizes > PASS_POINTS]
-            for key, part in big.groupby(keys, sort=False):
-                px, pz = map(list, zip(*hull(part[["px", "pz"]].to_numpy())))
-                w = [int(part["w"].sum())] + [0] * (len(px) - 1)
-                yield pd.DataFrame({**dict(zip(keys, key)), "px": px, "pz": pz, "w": w})[[*keys, "px", "pz", "w"]]
+            for key, part in pdf[sizes > PASS_POINTS].groupby(keys, sort=False, dropna=False):
+                points, w = held.get(key, ([], 0))
+                held[key] = hull(np.array(points + list(zip(part["px"].tolist(), part["pz"].tolist())))), w + int(part["w"].sum())
+            if sum(len(points) for points, _ in held.values()) > HELD_POINTS:
+                yield pd.concat([rows(key, *h) for key, h in held.items()])
+                held = {}
+        if held:
+            yield pd.concat([rows(key, *h) for key, h in held.items()])
 
     return run
 
@@ -218,8 +231,9 @@ def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
 def hull_measures(points: DataFrame, keys: Sequence[str], u: str = "x", v: str = "z") -> DataFrame:
     """Hull perimeter, area and extents of each group of 2-D points (quantised to a micron).
 
-    Hulls combine like sums: crowded groups shrink to their hull in the map task, then rows meet per
-    group in key order and are folded batch by batch. No task ever holds a whole group.
+    Hulls combine like sums, as a tree: in the map task, then those of ``FAN_IN`` map tasks, then all. So a
+    task receives the hulls of a group, a few hundred points each, of some map tasks or of some such parts,
+    and folds them batch by batch; no task ever sees a whole group.
     """
     keys = list(keys)
     flat = points.select(
@@ -229,9 +243,11 @@ def hull_measures(points: DataFrame, keys: Sequence[str], u: str = "x", v: str =
         F.lit(1).cast("bigint").alias("w"),
     )
     ks = _key_schema(points, keys)
-    thin = flat.mapInPandas(_thin(keys), f"{ks}, px double, pz double, w long")
+    shape = f"{ks}, px double, pz double, w long"
+    near = F.floor(F.spark_partition_id() / FAN_IN).alias("_part")
+    parts = flat.mapInPandas(_thin(keys), shape).select("*", near).repartition(*keys, "_part").drop("_part").mapInPandas(_thin(keys), shape)
     return (
-        thin.repartition(*keys)
+        parts.repartition(*keys)
         .sortWithinPartitions(*keys)
         .mapInPandas(
             _finish(keys),
@@ -251,11 +267,11 @@ def select_slice(slices: DataFrame, bands: dict, size: str = "perimeter_m", digi
     At most twenty slices per group; compared after rounding so that ties are ties on every plan.
     """
     rules = band_rules(slices.sparkSession, bands)
-    s = slices.where(F.col(size).isNotNull()).withColumn("_p", F.round(size, digits))
-    med = s.groupBy("case_id", "key").agg(
-        F.percentile("_p", F.lit(0.5)).alias("_med"), F.count(F.lit(1)).alias("n_candidates")
+    twenty = Window.partitionBy("case_id", "key")
+    s = slices.where(F.col(size).isNotNull()).withColumn("_p", F.round(size, digits)).withColumns(
+        {"_med": F.percentile("_p", F.lit(0.5)).over(twenty), "n_candidates": F.count(F.lit(1)).over(twenty)}
     )
-    s = s.join(med, ["case_id", "key"]).join(F.broadcast(rules), "key")
+    s = s.join(F.broadcast(rules), "key")
     miss = (
         F.when(F.col("rule") == "max", -F.col("_p"))
         .when(F.col("rule") == "min", F.col("_p"))
@@ -380,83 +396,42 @@ def ordered_circumferences(verts: DataFrame, boxes: DataFrame, bands: dict | Non
 # --- connected parts of a slice -------------------------------------------------------------------
 
 
-def _join_cells(pts: dict, limit: int) -> dict:
-    """Cell -> representative cell, joining cells that hold two points closer than the limit."""
-    root = {c: c for c in pts}
-
-    def find(c):
-        while root[c] != c:
-            root[c] = root[root[c]]
-            c = root[c]
-        return c
-
-    reach = [(dx, dz) for dx in range(0, 3) for dz in range(-2, 3) if (dx, dz) > (0, 0)]
-    for (cx, cz), a in pts.items():
-        for dx, dz in reach:
-            other = (cx + dx, cz + dz)
-            if other not in pts or find((cx, cz)) == find(other):
-                continue
-            if _near(a, pts[other], limit):
-                root[find((cx, cz))] = find(other)
-    return {c: find(c) for c in pts}
-
-
-def _near(a: list, b: list, limit: int) -> bool:
-    if len(a) * len(b) <= 256:
-        return any((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 < limit for p in a for q in b)
-    right = np.array(b, dtype=np.int64)
-    for lo in range(0, len(a), 256):
-        d = np.array(a[lo : lo + 256], dtype=np.int64)[:, None, :] - right[None, :, :]
-        if ((d * d).sum(axis=2) < limit).any():
-            return True
-    return False
-
-
-def _parts(connect_q: int):
-    """Connected parts per slice, from rows sorted by slice: cell totals (n > 0) and outermost points."""
-    names = [*SLICE, "n_points", "area_m2", "perimeter_m", "centre_x", "centre_z"]
-
-    def measure(key, totals, pts):
-        groups: dict = {}
-        for cell, rep in _join_cells(pts, connect_q * connect_q).items():
-            groups.setdefault(rep, []).append(cell)
-        for cells in groups.values():
-            n = sum(totals[c][0] for c in cells)
-            if n < 3:
-                continue
-            flat = [(q[0] * QUANTUM, q[1] * QUANTUM) for c in cells for q in pts[c]]
-            ring = hull(np.array(flat)) if len(flat) > PASS_POINTS else chain(sorted(set(flat)))
-            centre = [sum(totals[c][i] for c in cells) / n for i in (1, 2)]
-            yield (*key, n, ring_area(ring), ring_length(ring), *centre)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, totals, pts = None, {}, {}
-        for pdf in batches:
-            out = []
-            for row in pdf[[*SLICE, "cx", "cz", "qx", "qz", "n", "sx", "sz"]].itertuples(index=False, name=None):
-                if row[:3] != key:
-                    if key is not None:
-                        out.extend(measure(key, totals, pts))
-                    key, totals, pts = row[:3], {}, {}
-                cell = row[3:5]
-                if row[7] > 0:
-                    totals[cell] = row[7:10]
-                else:
-                    pts.setdefault(cell, []).append(row[5:7])
-            if out:
-                yield pd.DataFrame(out, columns=names)
-        if key is not None:
-            yield pd.DataFrame(list(measure(key, totals, pts)), columns=names)
+def _meet(limit: int):
+    """The pairs of cells (rows with the points of both, ``p`` and ``q``) that hold two points closer than the limit."""
+
+    def points(column: pa.Array) -> list[np.ndarray]:
+        flat = column.flatten()
+        xz = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("qx", "qz")])
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        return np.split(xz, ends[:-1])
+
+    def near(a: np.ndarray, b: np.ndarray) -> bool:
+        for _ in range(2):  # only what is near the other cell's box can count
+            a = a[((a > b.min(axis=0) - limit) & (a < b.max(axis=0) + limit)).all(axis=1)]
+            if not len(a):
+                return False
+            a, b = b, a
+        for lo in range(0, len(a), 256):
+            d = a[lo : lo + 256, None, :] - b[None, :, :]
+            if ((d * d).sum(axis=2) < limit * limit).any():
+                return True
+        return False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                met = [near(a, b) for a, b in zip(points(part.column("p")), points(part.column("q")))]
+                yield part.filter(pa.array(met, pa.bool_())).drop_columns(["p", "q"])
 
     return run
 
 
-def slice_parts(points: DataFrame, connect: float = CONNECT_M) -> DataFrame:
-    """Connected parts of each slice: vertices closer than ``connect`` belong together.
+def cell_table(points: DataFrame, connect: float) -> DataFrame:
+    """One row per slice and grid cell: vertex count and sums, extent in microns, and its outermost points.
 
-    A grid whose cell diagonal is ``connect`` makes all vertices of a cell one part. Whether two cells
-    meet depends only on the outermost vertices per micron row and column of each, so a cell is reduced
-    by plain aggregates to those points and its totals before any slice is looked at as a whole.
+    A cell's diagonal is ``connect``, so its vertices are one part. Whether two cells meet depends only on the first and last
+    vertex per micron row and column of each: as many points as the cell has microns along its sides, at most.
     """
     cell = connect / 2**0.5
     q = points.select(
@@ -470,25 +445,59 @@ def slice_parts(points: DataFrame, connect: float = CONNECT_M) -> DataFrame:
         }
     )
     g = [*SLICE, "cx", "cz"]
-    totals = q.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("z").alias("sz")
-    ).select(*g, F.lit(0).cast("bigint").alias("qx"), F.lit(0).cast("bigint").alias("qz"), "n", "sx", "sz")
-    rows = q.groupBy(*g, "qz").agg(F.min("qx").alias("a"), F.max("qx").alias("b"))
-    cols = q.groupBy(*g, "qx").agg(F.min("qz").alias("a"), F.max("qz").alias("b"))
-    outer = (
-        rows.select(*g, F.explode(F.array_distinct(F.array("a", "b"))).alias("qx"), "qz")
-        .unionByName(cols.select(*g, "qx", F.explode(F.array_distinct(F.array("a", "b"))).alias("qz")))
-        .select(*g, "qx", "qz", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sz"))
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("z").alias("sz")]
+    none = [F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sz")]
+    ends = lambda c: F.array_distinct(F.array(F.min(c), F.max(c)))
+    rows = q.groupBy(*g, "qz").agg(*sums, ends("qx").alias("a")).select(
+        *g, "n", "sx", "sz", F.transform("a", lambda x: F.struct(x.alias("qx"), F.col("qz"))).alias("p")
     )
-    return (
-        totals.unionByName(outer)
-        .repartition(*SLICE)
-        .sortWithinPartitions(*SLICE)
-        .mapInPandas(
-            _parts(round(connect / QUANTUM)),
-            _key_schema(points, SLICE)
-            + ", n_points long, area_m2 double, perimeter_m double, centre_x double, centre_z double",
-        )
+    cols = q.groupBy(*g, "qx").agg(ends("qz").alias("a")).select(
+        *g, *none, F.transform("a", lambda z: F.struct(F.col("qx"), z.alias("qz"))).alias("p")
+    )
+    merged = rows.unionByName(cols).groupBy(*g).agg(
+        F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sz").alias("sz"), F.array_distinct(F.flatten(F.collect_list("p"))).alias("p")
+    )
+    extent = {f"{m}_{c}": (F.array_min if m == "lo" else F.array_max)(F.col(f"p.{c}")) for c in ("qx", "qz") for m in ("lo", "hi")}
+    return merged.withColumns(extent).withColumn("node", F.shiftleft("cx", 32) + F.col("cz"))
+
+
+def slice_parts(points: DataFrame, connect: float = CONNECT_M) -> DataFrame:
+    """Connected parts of each slice: vertices closer than ``connect`` belong together.
+
+    Vertices become grid cells (:func:`cell_table`). Each cell meets its occupied neighbours by an equi-join on
+    cell coordinates; the extents settle most pairs, the outermost points the others. Components of the cells are
+    settled in rounds, and hulls fold per part. No task holds a slice.
+    """
+    limit = round(connect / QUANTUM)
+    cells = written(cell_table(points, connect))
+    ahead = [(dx, dz) for dx in range(0, 3) for dz in range(-2, 3) if (dx, dz) > (0, 0)]
+    offsets = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dz).alias("dz")) for dx, dz in ahead])).alias("o")
+    extent = ["lo_qx", "hi_qx", "lo_qz", "hi_qz"]
+    light = cells.select(*SLICE, "cx", "cz", "node", *extent)
+    shifted = light.select("*", offsets).select(
+        *SLICE, (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cz") + F.col("o.dz")).alias("cz"), F.col("node").alias("a"),
+        *[F.col(c).alias(f"a_{c}") for c in extent],
+    )
+    pairs = join_keys(shifted, light.withColumnRenamed("node", "b"), [*SLICE, "cx", "cz"])
+    gap2 = far2 = F.lit(0).cast("bigint")
+    for c in ("qx", "qz"):
+        gap = F.greatest(F.col(f"lo_{c}") - F.col(f"a_hi_{c}"), F.col(f"a_lo_{c}") - F.col(f"hi_{c}"), F.lit(0))
+        far = F.greatest(f"hi_{c}", f"a_hi_{c}") - F.least(f"lo_{c}", f"a_lo_{c}")
+        gap2, far2 = gap2 + gap * gap, far2 + far * far
+    pairs = pairs.where(gap2 < limit * limit).select(*SLICE, "a", "b", (far2 < limit * limit).alias("sure"))
+    unsure = pairs.where("NOT sure").drop("sure")
+    for side, name in (("a", "p"), ("b", "q")):
+        unsure = join_keys(unsure, cells.select(*SLICE, F.col("node").alias(side), F.col("p").alias(name)), [*SLICE, side])
+    unsure = unsure.select(*SLICE, "a", "b", "p", "q")
+    met = unsure.mapInArrow(_meet(limit), unsure.drop("p", "q").schema)
+    found = connected_components(pairs.where("sure").drop("sure").unionByName(met), SLICE)
+    parted = join_keys(cells, found, [*SLICE, "node"], "left").withColumn("part", F.coalesce("component", "node"))
+    by = [*SLICE, "part"]
+    sums = parted.groupBy(*by).agg(F.sum("n").alias("n_points"), F.sum("sx").alias("_sx"), F.sum("sz").alias("_sz")).where("n_points >= 3")
+    outline = parted.select(*by, F.inline("p")).select(*by, (F.col("qx") * QUANTUM).alias("x"), (F.col("qz") * QUANTUM).alias("z"))
+    rings = hull_measures(outline, by).select(*by, F.col("hull_area_m2").alias("area_m2"), "perimeter_m")
+    return join_keys(sums, rings, by).select(
+        *SLICE, "n_points", "area_m2", "perimeter_m", (F.col("_sx") / F.col("n_points")).alias("centre_x"), (F.col("_sz") / F.col("n_points")).alias("centre_z")
     )
 
 

@@ -90,32 +90,6 @@ def normalize_sex(spark, sf):
     )
 
 
-@query(
-    "clean_id", "P6 S1",
-    """
-SELECT id, count(*) AS n FROM (
-  SELECT coalesce(CASE WHEN regexp_matches(raw, '^[+-]?\\d+(\\.\\d+)?[eE][+-]?\\d+$')
-           THEN CAST(TRY_CAST(raw AS DECIMAL(38,0)) AS VARCHAR)
-           ELSE regexp_replace(raw, '\\.0$', '') END, '') AS id
-  FROM (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN CAST(o_custkey AS VARCHAR) || '.0'
-      WHEN '2-HIGH' THEN CAST(o_custkey AS VARCHAR) || 'E3'
-      WHEN '3-MEDIUM' THEN '  ' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || ' '
-      WHEN '4-NOT SPECIFIED' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS r0, trim(r0) AS raw FROM orders))
-GROUP BY 1""",
-)
-def clean_id(spark, sf):
-    o = table(spark, sf, "orders")
-    k, p = F.col("o_custkey").cast("string"), F.col("o_orderpriority")
-    raw = (
-        F.when(p == "1-URGENT", F.concat(k, F.lit(".0")))
-        .when(p == "2-HIGH", F.concat(k, F.lit("E3")))
-        .when(p == "3-MEDIUM", F.concat(F.lit("  "), F.lpad(k, 8, "0"), F.lit(" ")))
-        .when(p == "4-NOT SPECIFIED", F.lit(None).cast("string"))
-        .otherwise(k)
-    )
-    return o.select(N.clean_id(raw).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(
     "infer_units", "P9 W7",
     with_sql(SURVEY_RAW, SURVEY_LONG, UNITS, "SELECT source, key, round(sample_median, 6) AS sample_median, n_sample, unit FROM units"),
@@ -220,30 +194,6 @@ def impute_median(spark, sf):
     )
 
 
-@query(
-    "standardize", "P1 S4",
-    with_sql(SURVEY_RAW, """
-SELECT key, count(v) AS n_values FROM (
-  SELECT 'HUMAN_ID' AS key, HUMAN_ID AS v FROM survey_raw UNION ALL SELECT 'HEIGHT_M', HEIGHT_M FROM survey_raw
-  UNION ALL SELECT 'WAIST_CIRC_M', WAIST_CIRC_M FROM survey_raw UNION ALL SELECT 'NECK_CIRC_M', NULL FROM survey_raw
-  UNION ALL SELECT 'ARM_LEN_M', NULL FROM survey_raw) GROUP BY 1"""),
-)
-def standardize(spark, sf):
-    mapping = [
-        {"ord": i, "standard_key": k, "source": "8th_3d", "column": c, "present": p}
-        for i, (k, c, p) in enumerate(
-            [
-                ("HUMAN_ID", "HUMAN_ID", True), ("HEIGHT_M", "HEIGHT_M", True),
-                ("WAIST_CIRC_M", "WAIST_CIRC_M", True), ("NECK_CIRC_M", None, False), ("ARM_LEN_M", "arm", True),
-            ]
-        )
-    ]
-    frame, _ = C.standardize(survey_raw(spark, sf), mapping, "8th_3d")
-    return (
-        frame.unpivot([], frame.columns, "key", "v").groupBy("key").agg(F.count("v").alias("n_values"))
-    )
-
-
 @query(
     "key_rules", "P8",
     with_sql("""k AS (SELECT upper(replace(p_name, ' ', '_')) || CASE WHEN p_size < 10 THEN '_CIRC_M' WHEN p_size < 20 THEN '_WIDTH_M_REF'

@@ -3,9 +3,6 @@ read back by the source, a sink or a stream. The comparison SQL skips the files.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from tapeline.functions import paths as P
@@ -16,18 +13,10 @@ from tapeline.plans.registry import query, table
 from tapeline.sources import records as R
 from tapeline.sources import sinks as K
 from tapeline.sources import survey as V
+from tapeline.sources.shared import scratch
 from tapeline.streaming import jobs as J
 
 
-def scratch(spark) -> str:
-    """A new folder in the shared place the cluster names; a local session gets a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = root or tempfile.mkdtemp(prefix="tapeline-")
-    return f"{root.rstrip('/')}/tapeline-{uuid.uuid4().hex}"
-
-
 @query(
     "source_events", "S7",
     with_sql(PROGRESS, CODES, """

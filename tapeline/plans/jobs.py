@@ -18,11 +18,6 @@ from tapeline.operators import slices as L
 from tapeline.sources import sinks, survey
 
 
-def mapping_rows(mapping: DataFrame, source: str) -> list:
-    """The mapping of one source: a row per column of the table to be built, which is a plan's own size."""
-    return [r.asDict() for r in mapping.where(F.col("source") == source).collect()]
-
-
 def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Survey sheets to (curated table, warnings, completeness).
 
@@ -31,8 +26,11 @@ def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tu
     mapping = survey.read_mapping(spark, mapping_path)
     frames, notes, texts = [], [], []
     for source, path in sheets.items():
-        raw = survey.read_survey(spark, path, strip_prefix=source.startswith("8th"), source=source)
-        wide, found, repaired = C.curate_source(spark, raw, mapping_rows(mapping, source), source, "row_idx")
+        sheets_of = survey.read_survey(spark, path, strip_prefix=source.startswith("8th"), source=source)
+        # files one behind the other: a row is known by its file and its place there
+        rows = sheets_of.rows.withColumn("row", F.format_string("%s#%012d", "file", "row_idx"))
+        frame, lost = C.standardize(rows, sheets_of.names, mapping, source, keep=["row"])
+        wide, found, repaired = C.curate_source(spark, frame, lost, source, "row")
         frames.append(wide)
         notes.append(found)
         texts.append(repaired)

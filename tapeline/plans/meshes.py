@@ -309,7 +309,23 @@ def slice_parts(spark, sf):
     )
 
 
-@query("torso_part", "G7")
+TORSO_SQL = """pt AS (SELECT case_id, key, slice, t.n_points, CASE WHEN nd >= 3 THEN ph.area_m2 ELSE 0 END AS area, CASE WHEN nd >= 3 THEN ph.perimeter_m END AS perimeter, cx, cz
+  FROM (SELECT case_id, key, slice, part, CAST(sum(n) AS BIGINT) AS n_points, count(*) AS nd, sum(sx) / sum(n) AS cx, sum(sz) / sum(n) AS cz FROM pp GROUP BY 1, 2, 3, 4) t
+  LEFT JOIN ph USING (case_id, key, slice, part) WHERE t.n_points >= 3),
+ds AS (SELECT pt.*, round(sqrt((cx - x_mean) ** 2 + (cz - z_mean) ** 2), 6) AS d FROM pt JOIN boxes USING (case_id)),
+rk AS (SELECT *, min(d) OVER (PARTITION BY case_id, key, slice) AS first,
+    row_number() OVER (PARTITION BY case_id, key, slice ORDER BY d, -round(area, 6), -round(perimeter, 6) NULLS FIRST, round(cx, 9), round(cz, 9)) AS rn,
+    row_number() OVER (PARTITION BY case_id, key, slice ORDER BY area DESC, cx, cz) AS big FROM ds)"""
+
+
+@query(
+    "torso_part", "G7",
+    with_sql(CLOUD, BOXES, sql_bands(WAIST_ONLY), sql_slices(), PARTS_SQL, sql_hull("pp", "case_id, key, slice, part", out="ph"), TORSO_SQL, """
+SELECT case_id, slice, count(*) AS n_parts, any_value(n_points) FILTER (WHERE rn = 1) AS n_points, round(any_value(area) FILTER (WHERE rn = 1), 6) AS area_m2,
+  round(any_value(perimeter) FILTER (WHERE rn = 1), 6) AS perimeter_m, count(*) FILTER (WHERE d = first) > 1 AS tie_used, round(quantile_cont(area, 0.5), 6) AS area_p50,
+  string_agg(format('{:.6f}', area), '|' ORDER BY big) FILTER (WHERE big <= 3) AS area_top3
+FROM rk GROUP BY case_id, key, slice""").replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def torso_part(spark, sf):
     v = cloud(spark, sf)
     boxes = G.bounding_boxes(v)

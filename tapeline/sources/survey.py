@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions import keys as K
 from tapeline.functions import numbers as N
-from tapeline.operators.curate import mapping_frame, union_sources
+from tapeline.operators.curate import mapping_frame
 from tapeline.sources.lines import BOM, number_rows, placed
 
 # Header terms of the surveys, rows to look at, default header row by source and of others, meta line.
@@ -20,42 +23,53 @@ MAX_HEADER_ROWS = 20
 DEFAULT_HEADERS = {"7th": 6, "8th_direct": 6, "8th_3d": 6}
 DEFAULT_HEADER = 4
 NUMERIC_PREFIX = r"^\d+\.?\d*\s*"
-ENCODINGS = ("UTF-8", "MS949")
+ENCODINGS = ("utf-8", "cp949")
 SCAN_META = r"sex\s*:\s*([A-Za-z]+)\s*/\s*age\s*:\s*(\d+)"
 SCAN_PRECISION = 3
 
 
-def choose_encoding(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS) -> str:
-    """The first encoding that decodes every line; stops at the first line that fails."""
-    lines = spark.read.text(path)
-    if lines.where(~F.is_valid_utf8("value")).isEmpty():
-        return encodings[0]
-    return encodings[1] if len(encodings) > 1 else encodings[0]
+class Sheets(NamedTuple):
+    """Survey sheets as rows: data (file, row_idx, fields: text by column name), names (file, position, name)."""
 
+    rows: DataFrame
+    names: DataFrame
 
-def read_cells(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS) -> DataFrame:
-    """All rows of a sheet as text columns ``_c0..``, with ``row_idx`` (0-based) in file order.
 
-    The width is that of the widest row of all; commas inside quotes do not count.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, row_idx, value, utf8): the raw lines of the sheets, blank ones left out, counted from 0, and whether
+    every line of the file is UTF-8. Files are read in blocks; only a row per file is matched with the lines."""
+    lines = placed(spark.read.text(path))
+    valid = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    return number_rows(lines, "row_idx", keep=F.trim("value") != "", first=0).join(valid, "file").select(
+        "file", "row_idx", F.col("value").cast("binary").alias("value"), "utf8"
+    )
+
+
+def split_cells(lines: DataFrame, encodings: Sequence[str] = ENCODINGS) -> DataFrame:
+    """(file, row_idx, cells): each line decoded in the encoding of its file and cut at commas outside quotes.
+
+    The first of ``encodings`` is that of files that are UTF-8, the last that of all others. Empty cells are NULL.
     """
-    encoding = choose_encoding(spark, path, encodings)
-    if encoding != "UTF-8":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    bare = F.regexp_replace("value", '"[^"]*"', "")
-    widest = spark.read.text(path).agg(F.max(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))).alias("n")).first()
-    width = (widest.n or 0) + 1
-    schema = ", ".join(f"_c{i} string" for i in range(width))
-    raw = spark.read.csv(path, schema=schema, header=False, encoding=encoding, mode="PERMISSIVE",
-                         ignoreLeadingWhiteSpace=False, enforceSchema=True)
-    rows = number_rows(placed(raw), "row_idx", first=0)
-    return rows.withColumn("_c0", F.regexp_replace("_c0", f"^{BOM}", ""))
-
-
-def head_cells(rows: DataFrame, by: Sequence[str] = ("file",), max_check: int = MAX_HEADER_ROWS) -> DataFrame:
-    """The cells of the first rows: (by, row_idx, col_idx, cell)."""
-    cols = [c for c in rows.columns if c.startswith("_c")]
-    cells = F.posexplode(F.array(*[F.col(c) for c in cols])).alias("col_idx", "cell")
-    return rows.where(F.col("row_idx") < max_check).select(*by, "row_idx", cells)
+    first, last = encodings[0], encodings[-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(1 << 30)
+        for batch in batches:
+            cells = []
+            for raw, utf8, row in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(1).to_pylist()):
+                text = raw.decode(first if utf8 else last, errors="replace")
+                text = text.removeprefix(BOM) if row == 0 else text
+                cells.append([c or None for c in next(csv.reader([text]), [])])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(cells, pa.list_(pa.string()))], names=["file", "row_idx", "cells"]
+            )
+
+    return lines.mapInArrow(run, "file string, row_idx long, cells array<string>")
+
+
+def head_cells(rows: DataFrame, by: Sequence[str] = ("file",)) -> DataFrame:
+    """Rows of cells as one row per cell: (by, row_idx, col_idx, cell)."""
+    return rows.select(*by, "row_idx", F.posexplode("cells").alias("col_idx", "cell"))
 
 
 def locate_header_rows(
@@ -94,32 +108,44 @@ def cut_header(rows: DataFrame, header: DataFrame, by: Sequence[str] = ("file",)
     return rows.join(header.select(*by, last.alias("_last")), list(by)).where(F.col("row_idx") > F.col("_last")).drop("_last")
 
 
+def _unique(names: Column) -> Column:
+    """Names of one header with an ordinal suffix behind repeated ones."""
+    count = lambda x, i: F.size(F.filter(F.slice(names, 1, i), lambda y: y == x))
+    return F.transform(names, lambda x, i: F.when(count(x, i) == 0, x).otherwise(F.concat(x, F.lit("__dup"), count(x, i).cast("string"))))
+
+
 def read_survey(
-    spark: SparkSession, path: str, ids: Sequence[str] = ("HUMAN_ID",), strip_prefix: bool = False, source: str | None = None,
-    max_check: int = MAX_HEADER_ROWS,
-) -> DataFrame:
-    """Data rows of the sheets at ``path``, each under the names of its own primary header row, united by name; ids
-    as clean text. A sheet without the anchor in its first ``max_check`` rows has the header row of its source."""
-    rows = read_cells(spark, path)
-    header = locate_header_rows(head_cells(rows, max_check=max_check), strip_prefix=strip_prefix, default=default_header(F.lit(source)))
-    cols = [c for c in rows.columns if c.startswith("_c")]
-    last = F.greatest("primary", F.coalesce("secondary", F.lit(-1)))
-    near = rows.join(F.broadcast(header.select("file", last.alias("_last"))), "file").where(F.col("row_idx") <= F.col("_last"))
-    found = {(r["file"], r["row_idx"]): r for r in near.collect()}  # header rows only
-    data = cut_header(rows, header)
-    parts = []
-    for h in sorted(header.collect(), key=lambda r: r["file"]):
-        top, low = found.get((h["file"], h["primary"])), found.get((h["file"], h["secondary"]))
-        names = []
-        for c in cols:
-            name = (top[c] or "").strip() if top else ""
-            if low is not None and (low[c] or "").strip() and (not name or name == ANCHOR):
-                name = low[c].strip()
-            names.append(name or c)
-        own = data.where(F.col("file") == h["file"])
-        parts.append(own.select("row_idx", *[F.trim(F.col(c)).alias(n) for c, n in zip(cols, dedupe_names(names))]))
-    out = union_sources(parts) if parts else data.select("row_idx", *cols)
-    return out.withColumns({c: N.clean_id(F.col(c)) for c in out.columns if c in ids})
+    spark: SparkSession, path: str, strip_prefix: bool = False, source: str | None = None, max_check: int = MAX_HEADER_ROWS,
+    encodings: Sequence[str] = ENCODINGS,
+) -> Sheets:
+    """The sheets at ``path``, each in its own encoding and under the names of its own header.
+
+    A name is the cell of the primary header row or, where that is blank or the anchor, of the secondary row;
+    columns without one are ``_c`` and their position, repeated names get a suffix. A sheet without the anchor in its
+    first ``max_check`` rows has the header row of its source. Headers are found by plans over the first rows of all
+    files; nothing is collected, and a row carries its texts by name, so sheets with different columns are one
+    table. Blocks of a file are decoded where they are read.
+    """
+    lines = numbered_lines(spark, path)
+    first = split_cells(lines.where(F.col("row_idx") < max_check), encodings)
+    header = locate_header_rows(head_cells(first), strip_prefix=strip_prefix, default=default_header(F.lit(source)))
+    near = first.join(header, "file")
+    at = lambda row: F.first(F.when(F.col("row_idx") == F.col(row), F.col("cells")), ignorenulls=True)
+    pair = near.groupBy("file").agg(at("primary").alias("top"), at("secondary").alias("low"), F.max(F.size("cells")).alias("width"))
+
+    def name(i):
+        top, low = (F.coalesce(F.trim(F.get(c, i)), F.lit("")) for c in ("top", "low"))
+        blank = F.concat(F.lit("_c"), i.cast("string"))
+        return F.when((low != "") & top.isin("", ANCHOR), low).when(top != "", top).otherwise(blank)
+
+    size = F.greatest(F.coalesce(F.size("top"), F.lit(0)), F.coalesce(F.size("low"), F.lit(0)))
+    every = pair.withColumn("names", F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1), name)).otherwise(F.array().cast("array<string>")))
+    every = every.withColumn("names", _unique(F.col("names"))).select("file", "names")
+    data = split_cells(cut_header(lines, header), encodings).join(every, "file")
+    late = lambda i: F.concat(F.lit("_c"), i.cast("string"), F.when(F.array_contains("names", F.concat(F.lit("_c"), i.cast("string"))), "__late").otherwise(""))
+    keys = F.transform("cells", lambda c, i: F.coalesce(F.get("names", i), late(i)))
+    fields = F.map_from_arrays(keys, F.transform("cells", lambda c: F.trim(c)))
+    return Sheets(data.select("file", "row_idx", fields.alias("fields")), every.select("file", F.posexplode("names").alias("position", "name")))
 
 
 def dedupe_names(names: Sequence[str]) -> list[str]:

@@ -92,10 +92,14 @@ def test_sheets_with_own_headers_and_wide_late_rows(spark, tmp_path):
     second = ",표준 측정항목 명,허리\nHUMAN_ID,,\n9,y,70\n"
     (tmp_path / "a.csv").write_text(first, encoding="utf-8")
     (tmp_path / "b.csv").write_text(second, encoding="utf-8")
-    got = survey.read_survey(spark, str(tmp_path), source="7th")
-    assert {"키", "허리", "_c5"} <= set(got.columns)
-    assert {r["키"] for r in got.where("HUMAN_ID = '031'").collect()} == {"1"}
-    assert got.where("_c5 = 'late'").count() == 1 and got.where("`허리` = '70'").count() == 1
+    (tmp_path / "c.csv").write_bytes("표준 측정항목 명,엉덩이,엉덩이\n\"x, \"\"y\"\"\",8,9\n".encode("cp949"))
+    sheets = survey.read_survey(spark, str(tmp_path), source="7th")
+    got = [r.fields for r in sheets.rows.collect()]
+    assert [f["키"] for f in got if f.get("HUMAN_ID") == "031"] == ["1"]
+    assert sum(f.get("_c5") == "late" for f in got) == 1 and sum(f.get("허리") == "70" for f in got) == 1 and len(got) == 33
+    assert [f for f in got if "엉덩이" in f] == [{"표준 측정항목 명": 'x, "y"', "엉덩이": "8", "엉덩이__dup1": "9"}]
+    names = {(r.file[-5:], r.position, r["name"]) for r in sheets.names.collect()}
+    assert {("a.csv", 0, "HUMAN_ID"), ("b.csv", 2, "허리"), ("c.csv", 2, "엉덩이__dup1")} <= names
 
 
 @pytest.mark.parametrize("source,row", [("7th", 6), ("8th_3d", 6), ("other", 4), (None, 4)])
@@ -155,3 +159,28 @@ def test_all_warnings_are_ordered_by_code_and_place(spark):
     table = [(r.code, r.place, r.warning) for r in catalogue.QUERIES["warnings_ordered"](spark, SF).collect()]
     assert table and table == sorted(table)
     assert catalogue.OPERATORS["warnings_ordered"] == "T6" and "T6" not in catalogue.OPERATORS["top_issues"].split()
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_nearest_names_equal_all_pairs_without_comparing_them(spark):
+    rng = np.random.default_rng(10)
+    letters = np.array(list("abcdé본"))
+    word = lambda n: "".join(rng.choice(letters, n))
+    names = [word(n) for n in rng.integers(0, 14, 300)] + ["waist girth", "waist girths", "waste girth", "hip girth", "", None, "waist girth"]
+    terms = [word(n) for n in rng.integers(0, 12, 60)] + ["waist girth", "wast girt", "x" * 30, "", None, "zzzzzzzz"]
+    got = sets.nearest_names(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame([(n,) for n in names], "name string"))
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.term, {})[r["rank"]] = (r.distance, r.name)
+    for t in {t for t in terms if t is not None}:
+        every = sorted((_distance(t, n), n.encode(), n) for n in {n for n in names if n is not None} if len(n) <= 3 * len(t) + 8)[:3]
+        assert [found[t][i + 1] for i in range(len(every))] == [(d, n) for d, _, n in every]
+    assert "BroadcastNestedLoopJoin" not in got._jdf.queryExecution().executedPlan().toString()
