@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -105,9 +106,10 @@ class Codecs:
         ]
         self.length_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         self.space = self.b.piece_to_id("▁")
-        # where no piece has a space behind another character, a space after one starts a fragment that is encoded alone
+        # No piece has a space behind another character and no match of A's pattern crosses from a character to the space after
+        # it, but for white space before it: there a fragment starts that both encode alone.
         apart = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.fragments = re.compile(r" +[^ ]*" if apart else r"(?s).+").findall
+        self.fragments = re.compile(r" +(?:[^ ]*[^\S ] +)*[^ ]*" if apart else r"(?s).+").findall
         self.known = Memory(KNOWN)
         self.kind_a, self.kind_b = ("<u2" if n <= 1 << 16 else "<u4" for n in (self.size_a, self.size_b))
         names = [[f"{i}{mark}" for mark in marks for i in range(n)] for n, marks in ((self.size_a, ",|"), (self.size_b, ",;"))]
@@ -118,21 +120,34 @@ class Codecs:
         split = [self.fragments(" " + t) if t else [] for t in texts]
         known = self.known
         new = known.missing(set().union(*split))
-        found = self.b.encode([f[1:] for f in new], num_threads=1) if new else []
-        for fragment, ids in zip(new, found):
-            if fragment == " ":
-                ids = [self.space]
-            right = b"".join([self.bytes_b[i] for i in ids]) == fragment.encode()
-            known.young[fragment] = np.array(ids, dtype=self.kind_b).tobytes() if right else None
-        b = [[known.young[f] for f in fragments] for fragments in split]
-        known.age([f for f in new if len(f) > LONG_FRAGMENT])
+        if new:
+            known.young.update(zip(new, self.encode_fragments(new)))
         ids_a, ids_b = [], []
-        for text, parts in zip(texts, b):
-            right = bool(parts) and None not in parts
-            ids_a.append(self.a.encode_to_numpy(" " + text, disallowed_special=()).astype(self.kind_a).tobytes() if right else b"")
-            ids_b.append(b"".join(parts) if right else b"")
+        for fragments in split:
+            parts = [known.young[f] for f in fragments]
+            right = None not in parts
+            ids_a.append(b"".join([a for a, _ in parts]) if right else b"")
+            ids_b.append(b"".join([b for _, b in parts]) if right else b"")
+        known.age([f for f in new if len(f) > LONG_FRAGMENT])
         return ids_a, ids_b
 
+    def encode_fragments(self, fragments: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of each fragment by A and B, None where B's bytes are others."""
+        b = self.b.encode([f[1:] for f in fragments], num_threads=1)
+        b = [[self.space] if f == " " else ids for f, ids in zip(fragments, b)]
+        a = [self.a.encode_ordinary(f) for f in fragments]
+        # a character that B changes makes its bytes fewer, so equal sums of bytes are equal bytes
+        if b"".join([self.bytes_b[i] for ids in b for i in ids]) == "".join(fragments).encode():
+            right = [True] * len(fragments)
+        else:
+            right = [b"".join([self.bytes_b[i] for i in ids]) == f.encode() for f, ids in zip(fragments, b)]
+        raw = []
+        for side, kind in ((a, self.kind_a), (b, self.kind_b)):
+            flat = np.fromiter(chain.from_iterable(side), dtype=kind).tobytes()
+            ends = (np.cumsum([len(ids) for ids in side]) * np.dtype(kind).itemsize).tolist()
+            raw.append([flat[i:j] for i, j in zip([0, *ends], ends)])
+        return [x if ok else None for ok, *x in zip(right, *raw)]
+
     def packed(self, ids: list[bytes]) -> bytes:
         return pa.compress(b"".join(ids), codec="zstd", asbytes=True)
 

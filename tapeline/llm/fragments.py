@@ -73,7 +73,7 @@ class Memory:
     def missing(self, keys: set) -> list:
         """The keys without a value; all others are in ``young`` afterwards."""
         new = keys.difference(self.young)
-        back = new.intersection(self.old)
+        back = {k for k in new if k in self.old}
         self.young.update((k, self.old[k]) for k in back)
         return list(new - back)
 
