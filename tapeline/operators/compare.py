@@ -56,6 +56,22 @@ def degraded_keys(current: DataFrame, baseline: DataFrame, by: Sequence[str], k:
     return first_k(worse, list(by), [F.desc("rise"), F.asc("standard_key")], k, "rank")
 
 
+def degradation_signals(rises: DataFrame, current: DataFrame, baseline: DataFrame, by: Sequence[str], height: str = "HEIGHT_M",
+                        key: str = "standard_key", value: str = "value") -> DataFrame:
+    """One row per run that has a baseline: whether any key's missing rate rose, the keys that rose most (from
+    :func:`degraded_keys`), and the shift of the median height in metres, NULL where one side has none."""
+    by = list(by)
+    top = F.transform(F.array_sort(F.collect_list(F.struct("rank", key))), lambda x: x[key])
+    worst = rises.groupBy(*by).agg(F.array_join(top, ",").alias("degraded_keys"))
+    median = lambda df, name: exact_quantiles(df.where(F.col(key) == height), by, value, {name: 0.5})
+    both = join_keys(current.select(*by).distinct(), baseline.select(*by).distinct(), by)
+    out = join_keys(join_keys(join_keys(both, worst, by, "left"), median(current, "_now"), by, "left"), median(baseline, "_then"), by, "left")
+    return out.select(
+        *by, F.col("degraded_keys").isNotNull().alias("degradation_flag"), F.coalesce("degraded_keys", F.lit("")).alias("degraded_keys"),
+        (F.col("_now") - F.col("_then")).alias("height_p50_shift"),
+    )
+
+
 def compare_methods(results: DataFrame, by: Sequence[str], value: str = "residual_cm") -> DataFrame:
     """Per method or config: p50, p90, largest absolute value, missing count."""
     s = order_stats(results, list(by), value, {"p50": 0.5, "p90": 0.9})
@@ -65,6 +81,32 @@ def compare_methods(results: DataFrame, by: Sequence[str], value: str = "residua
     )
 
 
+def method_delta(long: DataFrame, method: str, first: str, second: str, by: Sequence[str], changed: str, warnings: str,
+                 key: str = "key", value: str = "residual_cm") -> DataFrame:
+    """Two methods side by side per group: p90 of the key the methods change and its differences, missing values and warnings
+    of each, and whether the other keys stayed as they were.
+
+    ``long`` has a row per case, method and key; ``warnings`` counts the warnings of a row.
+    """
+    by, near = list(by), 1e-6
+    stats = order_stats(long, [*by, method, key], value, {"p90": 0.9})
+    noted = long.where(F.col(key) == changed).groupBy(*by, method).agg(F.sum(warnings).alias("_w"))
+    side = lambda m, c: F.max(F.when((F.col(method) == m) & (F.col(key) == changed), c))
+    others = stats.where(F.col(key) != changed).groupBy(*by, key).agg(
+        *[F.coalesce(F.max(F.when(F.col(method) == m, F.col("p90"))), F.lit(0.0)).alias(n) for m, n in ((first, "_a"), (second, "_b"))]
+    )
+    close = F.abs(F.col("_a") - F.col("_b")) <= F.greatest(F.lit(near), near * F.greatest(F.abs("_a"), F.abs("_b")))
+    same = others.groupBy(*by).agg(F.bool_and(close).alias("others_unchanged"))
+    out = stats.groupBy(*by).agg(
+        *[side(m, F.col("p90")).alias(f"p90_{n}") for m, n in ((first, "a"), (second, "b"))],
+        *[side(m, F.col("n_rows") - F.col("n_values")).alias(f"null_{n}") for m, n in ((first, "a"), (second, "b"))],
+    )
+    warned = noted.groupBy(*by).agg(*[F.max(F.when(F.col(method) == m, F.col("_w"))).alias(f"warnings_{n}") for m, n in ((first, "a"), (second, "b"))])
+    return join_keys(join_keys(out, warned, by), same, by, "left").withColumns(
+        {"delta_p90": F.col("p90_b") - F.col("p90_a"), "delta_abs_p90": F.abs("p90_b") - F.abs("p90_a")}
+    )
+
+
 def best_config(stats: DataFrame, config: str, by: Sequence[str] = ()) -> DataFrame:
     """The config with the smallest absolute p90; ties by name."""
     return stats.groupBy(*by).agg(
@@ -123,6 +165,19 @@ def registry_conflicts(proposed: DataFrame, registry: DataFrame, keys: Sequence[
     return out
 
 
+def conflict_positions(proposed: DataFrame, registry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every registered position that repeats a value of a proposed entry: (entry_id, conflict, position).
+
+    Proposals are few and the registry is long; each proposal is known by its value once, so positions are only listed
+    where they are asked for, a row each.
+    """
+    out = None
+    for k in keys:
+        one = registry.select("position", k).join(proposed.select("entry_id", k), k).select("entry_id", F.lit(f"duplicate_{k}").alias("conflict"), "position")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def hash_diff(first: DataFrame, second: DataFrame, key: str, digest: str) -> DataFrame:
     """Determinism check: rows missing on either side or with another digest."""
     a = first.select(key, F.col(digest).alias("_a"))
@@ -180,15 +235,26 @@ def threshold_grid(summary: DataFrame, keys: Sequence[str], residuals: Sequence[
     r = F.explode(F.array(*[F.lit(float(x)) for x in residuals])).alias("residual_thr")
     s = F.explode(F.array(*[F.lit(float(x)) for x in scores])).alias("score_thr")
     grid = summary.select("*", r).select("*", s)
+    least = F.coalesce(F.col("score_min") >= F.col("score_thr"), F.lit(False)) if "score_min" in summary.columns else F.lit(None).cast("boolean")
     keys_ok = F.lit(True)
     for k in keys:
         keys_ok = keys_ok & F.coalesce(F.abs(F.col(f"p90_{k}")) <= F.col("residual_thr"), F.lit(False))
     quality = F.coalesce(F.col("score_p90") >= F.col("score_thr"), F.lit(False))
-    return grid.withColumns({"keys_ok": keys_ok, "quality_ok": quality}).withColumn(
+    return grid.withColumns({"keys_ok": keys_ok, "quality_ok": quality, "least_ok": least}).withColumn(
         "would_pass", F.col("keys_ok") & F.col("quality_ok") & (F.col("failures") <= max_failures)
     )
 
 
+def implied_rates(summary: DataFrame, scores: Sequence[int], at_score: int) -> DataFrame:
+    """The share of fits above the threshold of the summary, as the rate the candidate scores imply: exact at that
+    threshold only, and a note where it is none of the candidates or the share is missing."""
+    share = F.round(N.finite(F.col("fraction_above")), 4)
+    note = F.when(share.isNull(), "FRACTION_NOT_AVAILABLE").when(F.lit(at_score not in scores), "fraction_from_summary_single_threshold_only").otherwise("")
+    return summary.withColumns(
+        {"implied_ok_fraction": share, "at_threshold_score": F.when(share.isNotNull(), F.lit(at_score)), "note": note}
+    )
+
+
 def prediction_gap(predicted: DataFrame, residuals: DataFrame, key: str, value: str, residual: str) -> DataFrame:
     """Target recovered as prediction minus residual, per prototype."""
     return predicted.select(key, F.col(value).alias("predicted")).join(

@@ -281,6 +281,14 @@ def presence(files: DataFrame, kinds: dict[str, Column], by: Sequence[str]) -> D
     )
 
 
+def distinct_warnings(documents: DataFrame, by: Sequence[str], place: str, texts: Sequence[str] = ("gate_codes", "warnings")) -> DataFrame:
+    """(by, warning, n): every non-empty warning and gate code of the manifests of a group once, with its count and the
+    ``first_place`` it stands at; a row each, so a group may have any number."""
+    every = F.concat(*[F.coalesce(F.col(c), F.array().cast("array<string>")) for c in texts])
+    long = documents.select(*by, place, F.explode(every).alias("warning")).where(F.col("warning") != "")
+    return long.groupBy(*by, "warning").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first_place"))
+
+
 def artifact_flags(paths: DataFrame, artifacts: dict[str, Sequence[str]], by: Sequence[str] = ()) -> DataFrame:
     """Per group one flag per artifact: does any path match one of its patterns."""
     aggs = []

@@ -492,18 +492,22 @@ def score_worst_by_group(spark, sf):
     return first_k(d, ["l_returnflag"], [F.asc("score"), F.asc("l_orderkey"), F.asc("l_linenumber")], 10)
 
 
-GATE_SUMMARY = """gs AS (SELECT s.l_returnflag, round(quantile_cont(score, 0.9), 6) AS score_p90, count(*) FILTER (WHERE h IS NULL) AS failures,
+GATE_SUMMARY = """gs AS (SELECT s.l_returnflag, round(quantile_cont(score, 0.9), 6) AS score_p90, min(score) AS score_min, count(*) FILTER (WHERE h IS NULL) AS failures,
   round(quantile_cont(b * 100, 0.9), 6) AS pb, round(quantile_cont(w * 100, 0.9), 6) AS pw, round(quantile_cont(h * 100, 0.9), 6) AS ph,
   round(avg(CASE WHEN score >= 70 THEN 1.0 ELSE 0 END)::DOUBLE, 6) AS fraction_above FROM scored s GROUP BY 1)"""
 
 
 def _gate_summary(spark, sf):
+    """Residuals and score as one long table: a single quantile tree for all of them, and one scan for the counts."""
     cm = _res_cm(spark, sf)
-    long = D.fit_summary(cm.select("l_returnflag", *U1_KEYS), U1_KEYS, ["l_returnflag"])
-    wide = long.groupBy("l_returnflag").agg(*[F.max(F.when(F.col("key") == k, F.round("p90", 6))).alias(f"p90_{k}") for k in U1_KEYS])
-    s = D.score_summary(cm, P.SCORE_OK, ["l_returnflag"]).select("l_returnflag", r("p90", "score_p90"), r("fraction_above"))
-    f = cm.groupBy("l_returnflag").agg(F.count_if(F.col("HIP_CIRC_M").isNull()).alias("failures"))
-    return wide.join(s, "l_returnflag").join(f, "l_returnflag")
+    long = D.fit_summary(cm.select("l_returnflag", "score", *U1_KEYS), ["score", *U1_KEYS], ["l_returnflag"])
+    of = lambda k, c: F.max(F.when(F.col("key") == k, F.col(c)))
+    wide = long.groupBy("l_returnflag").agg(
+        *[r(of(k, "p90"), f"p90_{k}") for k in U1_KEYS], r(of("score", "p90"), "score_p90"), of("score", "min_value").alias("score_min"),
+        (of("HIP_CIRC_M", "n_rows") - of("HIP_CIRC_M", "n_values")).alias("failures"),
+    )
+    share = cm.groupBy("l_returnflag").agg(F.round(F.avg((F.col("score") >= P.SCORE_OK).cast("double")), 6).alias("fraction_above"))
+    return wide.join(share, "l_returnflag")
 
 
 @query(
@@ -522,13 +526,13 @@ def gate_eval(spark, sf):
 @query(
     "threshold_grid", "A32 JN12",
     with_sql(RESIDUALS, GATE_SUMMARY, """
-SELECT l_returnflag, rt AS residual_thr, st AS score_thr, abs(pb) <= rt AND abs(pw) <= rt AND abs(ph) <= rt AS keys_ok, score_p90 >= st AS quality_ok,
+SELECT l_returnflag, rt AS residual_thr, st AS score_thr, abs(pb) <= rt AND abs(pw) <= rt AND abs(ph) <= rt AS keys_ok, score_p90 >= st AS quality_ok, score_min >= st AS least_ok,
   failures <= 100000 AND abs(pb) <= rt AND abs(pw) <= rt AND abs(ph) <= rt AND score_p90 >= st AS would_pass
 FROM gs, (VALUES (1.0::DOUBLE), (5.0), (9.0), (12.0)) r(rt), (VALUES (70.0::DOUBLE), (90.0), (97.0)) s(st)"""),
 )
 def threshold_grid(spark, sf):
     out = D.threshold_grid(_gate_summary(spark, sf), U1_KEYS, [1, 5, 9, 12], [70, 90, 97], 100_000)
-    return out.select("l_returnflag", "residual_thr", "score_thr", "keys_ok", "quality_ok", "would_pass")
+    return out.select("l_returnflag", "residual_thr", "score_thr", "keys_ok", "quality_ok", "least_ok", "would_pass")
 
 
 @query(
