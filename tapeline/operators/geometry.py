@@ -24,6 +24,7 @@ MIN_BAND_POINTS = 3
 WIDTH_LIMITS = (0.05, 1.0)
 MAX_SHIFT_M = 0.010
 PLANE_STEP_M = 0.001
+SHIFTED_LEVELS = ("WAIST", "HIP")  # levels that may move to the nearest plane
 MM_LIMIT = 10.0
 ARM_FACTOR = 1.05
 TOLERANCE_SHARE = 0.002
@@ -100,17 +101,19 @@ def _half_band(key: Column, span_y: Column) -> Column:
     return F.when(key == "CHEST", half).otherwise(F.greatest(half, F.lit(MIN_HALF_BAND)))
 
 
-def band_widths(verts: DataFrame, boxes: DataFrame, levels: dict[str, float] | None = None) -> DataFrame:
+def band_widths(verts: DataFrame, boxes: DataFrame, levels: dict[str, float] | None = None, shifted: Sequence[str] = SHIFTED_LEVELS) -> DataFrame:
     """Width (x span) and depth (z span) of the vertices in a thin band at each level.
 
-    Fewer than three points leave the value NULL; every (case, level) has a row.
+    Fewer than three points leave the value NULL; every (case, level) has a row. Where the band of one of the ``shifted``
+    levels holds no vertex at all, the nearest plane within 10 mm that holds three stands in, with its ``shift_mm`` and
+    the code NEAREST_VALID_PLANE_FALLBACK; only those cases are probed.
     """
     levels = levels or LEVEL_RATIO
-    frame = boxes.select("case_id", "y_min", "span_y", F.explode(_levels(levels)).alias("l")).select(
+    frame = boxes.select("case_id", "y_min", "y_max", "span_y", F.explode(_levels(levels)).alias("l")).select(
         "case_id",
         F.col("l.key").alias("key"),
         (F.col("y_min") + F.col("l.ratio") * F.col("span_y")).alias("y_target"),
-        _half_band(F.col("l.key"), F.col("span_y")).alias("half"),
+        _half_band(F.col("l.key"), F.col("span_y")).alias("half"), "y_min", "y_max",
     )
     hit = F.filter(
         _levels(levels),
@@ -127,49 +130,65 @@ def band_widths(verts: DataFrame, boxes: DataFrame, levels: dict[str, float] | N
             (F.max("z") - F.min("z")).alias("depth"),
         )
     )
+    band = frame.join(inside, ["case_id", "key"], "left")
+    empty = band.where(F.col("n_points").isNull() & F.col("key").isin(*shifted)).select("case_id", "key", "y_target", "half", "y_min", "y_max")
+    plane = planes_near(verts, empty).select("case_id", "key", "shift_mm", *[F.col(c).alias(f"_{c}") for c in ("n_points", "width", "depth")])
     enough = F.col("n_points") >= MIN_BAND_POINTS
-    out = frame.join(inside, ["case_id", "key"], "left").select(
+    out = band.join(plane, ["case_id", "key"], "left").withColumns(
+        {c: F.coalesce(c, f"_{c}") for c in ("n_points", "width", "depth")}
+    ).select(
         "case_id", "key", "y_target", "half",
         F.coalesce("n_points", F.lit(0)).alias("n_points"),
         F.when(enough, F.col("width")).alias("width_m"),
         F.when(enough, F.col("depth")).alias("depth_m"),
+        "shift_mm", F.when(F.col("shift_mm").isNotNull(), "NEAREST_VALID_PLANE_FALLBACK").alias("plane_code"),
     )
     code = lambda c: F.when(c < WIDTH_LIMITS[0], "SMALL").when(c > WIDTH_LIMITS[1], "LARGE")
     return out.withColumns({"width_code": code(F.col("width_m")), "depth_code": code(F.col("depth_m"))})
 
 
 def nearest_planes(verts: DataFrame, boxes: DataFrame, levels: dict[str, float], half: float) -> DataFrame:
-    """For each level the closest plane within 10 mm, in 1 mm steps, that holds three points.
+    """For each level the closest plane within 10 mm, in 1 mm steps, that holds three points."""
+    targets = boxes.select("case_id", "y_min", "y_max", "span_y", F.explode(_levels(levels)).alias("l")).select(
+        "case_id", F.col("l.key").alias("key"), (F.col("y_min") + F.col("l.ratio") * F.col("span_y")).alias("y_target"),
+        F.lit(half).alias("half"), "y_min", "y_max",
+    )
+    return planes_near(verts, targets).select("case_id", "key", "shift_mm", "plane", "n_points")
+
 
-    A vertex lies near at most 21 candidate planes, found by arithmetic; planes are then counted.
+def planes_near(verts: DataFrame, targets: DataFrame) -> DataFrame:
+    """The closest plane to each of the ``targets`` (case_id, key, y_target, half, y_min, y_max) within 10 mm, in 1 mm
+    steps from the lowest, whose band of ``half`` on either side holds three points, and what that band measures.
+
+    Vertices meet only the targets of their case that they lie near; the candidate planes of a vertex follow by
+    arithmetic, and planes are then counted.
     """
     lo = F.greatest(F.col("y_min"), F.col("y_target") - MAX_SHIFT_M)
     hi = F.least(F.col("y_max"), F.col("y_target") + MAX_SHIFT_M)
     near = (
-        verts.join(boxes.select("case_id", "y_min", "y_max", "span_y"), "case_id")
-        .select("case_id", "y", "y_min", "y_max", "span_y", F.explode(_levels(levels)).alias("l"))
-        .select(
-            "case_id", "y", "y_min", "y_max", F.col("l.key").alias("key"),
-            (F.col("y_min") + F.col("l.ratio") * F.col("span_y")).alias("y_target"),
-        )
-        .where(F.abs(F.col("y") - F.col("y_target")) < MAX_SHIFT_M + half)
+        verts.select("case_id", "x", "y", "z").join(targets, "case_id")
+        .where(F.abs(F.col("y") - F.col("y_target")) < MAX_SHIFT_M + F.col("half"))
         .withColumns({"lo": lo, "hi": hi})
         .withColumn("steps", F.floor((F.col("hi") - F.col("lo")) / PLANE_STEP_M).cast("int"))
     )
-    first = F.greatest(F.floor((F.col("y") - half - F.col("lo")) / PLANE_STEP_M).cast("int"), F.lit(0))
-    last = F.least(F.ceil((F.col("y") + half - F.col("lo")) / PLANE_STEP_M).cast("int"), F.col("steps"))
+    first = F.greatest(F.floor((F.col("y") - F.col("half") - F.col("lo")) / PLANE_STEP_M).cast("int"), F.lit(0))
+    last = F.least(F.ceil((F.col("y") + F.col("half") - F.col("lo")) / PLANE_STEP_M).cast("int"), F.col("steps"))
+    span = lambda c: (F.max(c) - F.min(c))
     planes = (
         near.withColumns({"i0": first, "i1": last})
         .where(F.col("i0") <= F.col("i1"))
         .withColumn("i", F.explode(F.sequence("i0", "i1")))
         .withColumn("plane", F.col("lo") + F.col("i") * PLANE_STEP_M)
-        .where((F.abs(F.col("y") - F.col("plane")) < half) & (F.col("plane") <= F.col("hi")))
+        .where((F.abs(F.col("y") - F.col("plane")) < F.col("half")) & (F.col("plane") <= F.col("hi")))
         .groupBy("case_id", "key", "i")
-        .agg(F.count(F.lit(1)).alias("n_points"), F.min("plane").alias("plane"), F.min("y_target").alias("y_target"))
+        .agg(
+            F.count(F.lit(1)).alias("n_points"), F.min("plane").alias("plane"), F.min("y_target").alias("y_target"),
+            span("x").alias("width"), span("z").alias("depth"),
+        )
         .where(F.col("n_points") >= MIN_BAND_POINTS)
         .withColumn("shift_mm", F.abs(F.col("plane") - F.col("y_target")) * 1000.0)
     )
-    best = F.min_by(F.struct("shift_mm", "plane", "n_points"), F.struct(F.round("shift_mm", 9), "i"))
+    best = F.min_by(F.struct("shift_mm", "plane", "n_points", "width", "depth"), F.struct(F.round("shift_mm", 9), "i"))
     return planes.groupBy("case_id", "key").agg(best.alias("b")).select("case_id", "key", "b.*")
 
 

@@ -75,7 +75,7 @@ def write_curation(curated: DataFrame, warnings: DataFrame, path: str, fmt: str
 
 
 def measure(verts: DataFrame) -> DataFrame:
-    """Vertex table to long results (case_id, standard_key, value, code)."""
+    """Vertex table to long results (case_id, standard_key, value, code, shift_mm of values taken at a nearby plane)."""
     fixed = G.repair_scale(verts).drop("scaled", "max_abs")
     boxes = G.bounding_boxes(fixed)
     girths = L.measurement_outcomes(fixed, boxes).select("case_id", "standard_key", "value", "code")
@@ -84,7 +84,10 @@ def measure(verts: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 *[
-                    F.struct(F.concat("key", F.lit(f"_{n}_M")).alias("standard_key"), F.col(f"{c}_m").alias("value"), F.col(f"{c}_code").alias("code"))
+                    F.struct(
+                        F.concat("key", F.lit(f"_{n}_M")).alias("standard_key"), F.col(f"{c}_m").alias("value"),
+                        F.nullif(F.concat_ws(",", "plane_code", f"{c}_code"), F.lit("")).alias("code"), "shift_mm",
+                    )
                     for n, c in (("WIDTH", "width"), ("DEPTH", "depth"))
                 ]
             )

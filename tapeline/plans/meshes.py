@@ -79,6 +79,33 @@ def nearest_plane(spark, sf):
     return out.select("case_id", "key", r6("shift_mm"), r6("plane"), "n_points")
 
 
+GAP = """gap AS (SELECT c.* FROM cloud c JOIN boxes b USING (case_id) WHERE NOT (c.case_id % 3 = 0 AND abs(c.y - (y_min + 0.5::DOUBLE * span_y)) < greatest(span_y * 0.02, 0.005))),
+lv AS (SELECT b.*, k.key, y_min + k.ratio * span_y AS y_target, CASE WHEN k.key = 'CHEST' THEN span_y * 0.02 ELSE greatest(span_y * 0.02, 0.005) END AS half
+  FROM boxes b, (VALUES ('CHEST', 0.35::DOUBLE), ('WAIST', 0.5::DOUBLE), ('HIP', 0.6::DOUBLE)) k(key, ratio)),
+bd AS (SELECT lv.case_id, lv.key, count(c.x) AS n_points, max(c.x) - min(c.x) AS w, max(c.z) - min(c.z) AS d FROM lv LEFT JOIN gap c ON c.case_id = lv.case_id AND abs(c.y - lv.y_target) < lv.half GROUP BY 1, 2),
+em AS (SELECT lv.*, greatest(y_min, y_target - 0.01::DOUBLE) AS lo, least(y_max, y_target + 0.01::DOUBLE) AS hi FROM lv JOIN bd USING (case_id, key) WHERE n_points = 0 AND key <> 'CHEST'),
+pl AS (SELECT *, lo + i * 0.001::DOUBLE AS plane FROM em, (SELECT CAST(range AS INTEGER) AS i FROM range(22)) WHERE i <= floor((hi - lo) / 0.001::DOUBLE)),
+ph AS (SELECT pl.case_id, pl.key, pl.i, abs(min(plane) - min(y_target)) * 1000 AS shift, count(*) AS n, max(c.x) - min(c.x) AS w, max(c.z) - min(c.z) AS d FROM pl JOIN gap c
+  ON c.case_id = pl.case_id AND abs(c.y - pl.plane) < pl.half AND pl.plane <= pl.hi GROUP BY 1, 2, 3 HAVING count(*) >= 3),
+bp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id, key ORDER BY round(shift, 9), i) AS rn FROM ph) WHERE rn = 1)"""
+
+
+@query(
+    "widths_shifted", "A49 A50",
+    with_sql(CLOUD, BOXES, GAP, """
+SELECT bd.case_id, bd.key, coalesce(bp.n, bd.n_points) AS n_points, round(CASE WHEN coalesce(bp.n, bd.n_points) >= 3 THEN coalesce(bp.w, bd.w) END, 6) AS width_m,
+  round(CASE WHEN coalesce(bp.n, bd.n_points) >= 3 THEN coalesce(bp.d, bd.d) END, 6) AS depth_m, round(bp.shift, 6) AS shift_mm FROM bd LEFT JOIN bp USING (case_id, key)"""),
+)
+def widths_shifted(spark, sf):
+    """Every third case has no vertex in its waist band, so the nearest plane stands in."""
+    v = cloud(spark, sf)
+    boxes = G.bounding_boxes(v)
+    target, span = F.col("y_min") + 0.5 * F.col("span_y"), F.col("span_y")
+    waist = F.abs(F.col("y") - target) < F.greatest(span * 0.02, F.lit(0.005))
+    gap = v.join(boxes.select("case_id", "y_min", "span_y"), "case_id").where(~((F.col("case_id") % 3 == 0) & waist)).select(*v.columns)
+    return G.band_widths(gap, boxes).select("case_id", "key", "n_points", r6("width_m"), r6("depth_m"), r6("shift_mm"))
+
+
 @query(
     "arm_length", "A51",
     with_sql(CLOUD, BOXES, """
