@@ -286,8 +286,8 @@ def streaming_transitions(spark, sf):
     flags = s.where(F.col("step_id").isNotNull()).select(
         F.concat_ws("/", "module", "step_id").alias("key"), (F.col("k") >= 80).alias("flag"), "ordinal"
     )
-    J.run_once(J.transitions(flags), f"{where}/out", f"{where}/state")
-    return spark.read.parquet(f"{where}/out")
+    J.run_batches(flags, J.transition_batches(f"{where}/out", 1000), f"{where}/state")
+    return J.found_transitions(spark, f"{where}/out")
 
 
 @query(

@@ -6,15 +6,13 @@ their state.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tapeline.operators import events as E
+from tapeline.operators.scale import join_keys, neighbour
 
 
 def only(events: DataFrame, event_type: str) -> DataFrame:
@@ -43,27 +41,47 @@ def balance_windows(events: DataFrame, time: str = "time", size: str = "24 hours
     )
 
 
-def _became_true(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    parts = [(pdf["ordinal"].to_numpy(), pdf["flag"].fillna(False).to_numpy(dtype=bool)) for pdf in batches]
-    ordinal, flag = (np.concatenate(c) for c in zip(*parts))
-    order = np.argsort(ordinal, kind="stable")
-    ordinal, flag = ordinal[order], flag[order]
-    rises = flag & ~np.append(state.exists, flag[:-1])
-    if flag[-1]:
-        state.update((True,))
-    elif state.exists:
-        state.remove()
-    if rises.any():
-        yield pd.DataFrame({"key": key[0], "ordinal": ordinal[rises]})
-
-
-def transitions(flags: DataFrame) -> DataFrame:
-    """(key, ordinal) each time a key's flag turns from false to true. Rows of a key are taken in the order of
-    their ordinal within a micro-batch. Only keys whose last flag is true have state; it is freed when the
-    flag turns false."""
-    return flags.select("key", "flag", "ordinal").groupBy("key").applyInPandasWithState(
-        _became_true, "key string, ordinal long", "flag boolean", "append", GroupStateTimeout.NoTimeout
-    )
+def transition_batches(path: str, block: int = 100_000):
+    """``foreachBatch`` body for rows (key, flag, ordinal): (key, ordinal) each time a key's flag turns from false to true, rows
+    of a key taken in the order of their ordinal within a micro-batch. A NULL flag is false; of rows with one ordinal
+    the false ones come first.
+
+    The row before each is found in blocks of ordinals, with one carry row per block, so a key with a third of a
+    batch is spread over its blocks and never held in one task. What is remembered is the set of keys whose last flag is
+    true, a table per batch next to the rises; both are written per batch id, so a repeated batch replaces itself.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            flags = batch.select("key", F.coalesce("flag", F.lit(False)).alias("flag"), "ordinal")
+            earlier = [i for i in batch_ids(spark, f"{path}/state") if i < batch_id]
+            state = spark.read.schema(batch.select("key").schema).parquet(f"{path}/state/batch={max(earlier)}") if earlier else flags.select("key").limit(0)
+            before = neighbour(flags, ["key"], ["ordinal", "flag"], ["flag"], F.floor(F.col("ordinal") / block), False, "was_")
+            first = before.where("flag AND was_flag IS NULL").select("key", "ordinal")
+            rises = before.where("flag AND NOT was_flag").select("key", "ordinal").unionByName(join_keys(first, state, ["key"], "left_anti"))
+            rises.write.mode("overwrite").parquet(f"{path}/rises/batch={batch_id}")
+            last = flags.groupBy("key").agg(F.max_by("flag", F.struct("ordinal", "flag")).alias("flag"))
+            kept = join_keys(state, last, ["key"], "left_anti").unionByName(last.where("flag").select("key"))
+            kept.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return run
+
+
+def found_transitions(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rises").drop("batch")
+
+
+def batch_ids(spark, path: str) -> list[int]:
+    """The batches that have a folder under ``path``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    return [int(f.getPath().getName().removeprefix("batch=")) for f in store.listStatus(place) if f.getPath().getName().startswith("batch=")]
 
 
 def correct_batch(findings_path: str):

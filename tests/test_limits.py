@@ -115,11 +115,27 @@ def test_transitions_fire_again(spark, tmp_path):
     for rows in ([("a", True, 2), ("a", False, 1), ("b", False, 1)], [("a", False, 5)], [("a", True, 8), ("a", False, 7), ("a", True, 6), ("b", True, 9)]):
         write(rows)
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        J.run_once(J.transitions(stream), str(tmp_path / "out"), str(tmp_path / "state"))
-    got = sorted((r.key, r.ordinal) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+        J.run_batches(stream, J.transition_batches(str(tmp_path / "out"), 2), str(tmp_path / "state"))
+    got = sorted((r.key, r.ordinal) for r in J.found_transitions(spark, str(tmp_path / "out")).collect())
     assert got == [("a", 2), ("a", 6), ("a", 8), ("b", 9)]
 
 
+def test_transitions_of_a_key_with_a_third_of_the_batch(spark, tmp_path):
+    """Its rows are dealt to blocks of ordinals; no task orders more than a block."""
+    rng = np.random.default_rng(11)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 500}" if i % 7 else None, bool(rng.integers(0, 2)) if i % 11 else None, i) for i in range(6000)]
+    for part in (rows[:2500], rows[2500:]):
+        spark.createDataFrame(part, "key string, flag boolean, ordinal long").repartition(5).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("key string, flag boolean, ordinal long").parquet(str(tmp_path / "in"))
+        J.run_batches(stream, J.transition_batches(str(tmp_path / "out"), 100), str(tmp_path / "state"))
+    last, want = {}, []
+    for key, flag, ordinal in rows:
+        if flag and not last.get(key):
+            want.append((str(key), ordinal))
+        last[key] = flag
+    assert sorted((str(r.key), r.ordinal) for r in J.found_transitions(spark, str(tmp_path / "out")).collect()) == sorted(want)
+
+
 def test_assignments_rest_on_converged_centroids(spark, monkeypatch):
     """Lloyd by brute force until unchanged; every distance, the statistics and the worst subjects from its end."""
     rows = sorted((r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect())
