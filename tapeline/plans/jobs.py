@@ -1,21 +1,28 @@
-"""The four batch jobs end to end, composed from the operators."""
+"""The batch jobs end to end, composed from the operators."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeline.functions import paths as H
 from tapeline.functions import scoring as P
 from tapeline.operators import cluster as K
 from tapeline.operators import compare as D
+from tapeline.operators import contracts as X
 from tapeline.operators import curate as C
+from tapeline.operators import events as E
 from tapeline.operators import facts as A
 from tapeline.operators import geometry as G
+from tapeline.operators import plan as L
 from tapeline.operators import sensors as S
-from tapeline.operators import slices as L
+from tapeline.operators import slices as W
+from tapeline.operators.scale import join_keys
 from tapeline.sources import sinks, survey
+from tapeline.sources.shared import written
 
 
 def curate(spark: SparkSession, sheets: dict[str, str], mapping_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -78,7 +85,7 @@ def measure(verts: DataFrame) -> DataFrame:
     """Vertex table to long results (case_id, standard_key, value, code, shift_mm of values taken at a nearby plane)."""
     fixed = G.repair_scale(verts).drop("scaled", "max_abs")
     boxes = G.bounding_boxes(fixed)
-    girths = L.measurement_outcomes(fixed, boxes).select("case_id", "standard_key", "value", "code")
+    girths = W.measurement_outcomes(fixed, boxes).select("case_id", "standard_key", "value", "code")
     widths = G.band_widths(fixed, boxes).select(
         "case_id",
         F.inline(
@@ -142,3 +149,86 @@ def compare_runs(current: DataFrame, reference: DataFrame) -> tuple[DataFrame, D
     cur = current.withColumn("run", F.lit("current"))
     ref = reference.withColumn("run", F.lit("current"))
     return D.diff_rates(current, reference, ["standard_key"]), D.degraded_keys(cur, ref, ["run"])
+
+
+class Audit(NamedTuple):
+    """What the contract and log job finds: problems one by one, the registry's new records, the state of the plan."""
+
+    findings: DataFrame  # area, subject, code, severity, detail
+    severities: DataFrame  # path, worst, n_worst, n_checks of every document
+    registry: DataFrame
+    plan: DataFrame
+
+
+#: Which document is of which kind, by the end of its name.
+DOCUMENT_KINDS = {
+    "manifest": ("geometry_manifest.json",), "body": ("body_measurements_subset.json",),
+    "fitting": ("fitting_facts_summary.json",), "garment": ("garment_proxy_meta.json",),
+}
+
+
+def document_checks(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """(path, kind, label, severity) of every check of every document of a known kind, in one pass over the texts. Which
+    inputs lie beside a document is told by ``files`` (path), summed up per folder."""
+    name = F.substring_index("path", "/", -1)
+    kind = None
+    for k, ends in DOCUMENT_KINDS.items():
+        hit = name.isin(*ends)
+        kind = F.when(hit, k) if kind is None else kind.when(hit, k)
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    has = lambda *ends: F.bool_or(F.lower("path").rlike("(" + "|".join(ends) + r")$"))
+    beside = files.groupBy(folder.alias("folder")).agg(has(r"\.npz").alias("npz"), has(r"\.glb").alias("glb"), has(r"\.glb", r"\.obj", r"\.npz").alias("mesh"))
+    flagged = join_keys(X.parse(documents.select("path", "doc", kind.alias("kind"), folder.alias("folder")).where("kind IS NOT NULL")), beside, ["folder"], "left")
+    there = lambda c: F.coalesce(F.col(c), F.lit(False))
+    v = F.col("v")
+    of_kind = {
+        "manifest": X.manifest_checks(v), "body": X.body_checks(v), "fitting": X.fitting_checks(v, there("npz"), there("glb")),
+        "garment": X.garment_checks(v, there("mesh")),
+    }
+    checks = {f"{k}|{label}": F.when(F.col("kind") == k, c) for k, named in of_kind.items() for label, c in named.items()}
+    rows = X.check_rows(flagged, ["path", "kind"], checks)
+    return rows.withColumn("label", F.substring("label", F.length("kind") + 2, F.length("label")))
+
+
+def audit(
+    documents: DataFrame, files: DataFrame, events: DataFrame, steps: DataFrame, edges: DataFrame, ledger: Sequence[dict],
+    registry: DataFrame, now: Column,
+) -> Audit:
+    """Contract and log job: run documents (path, doc), the files of the runs, the progress log (``ts_text``, ``time``, ``paths``
+    beside the fields of an event), the plan, the dependency ledger and the registry, to all findings.
+
+    Documents and log are each read once and written to the shared folder in the few columns that are needed; the checks,
+    the ledger, hygiene, balance, blockers, schema, registry and plan fan out from there. A finding of a document is a
+    check that does not pass; lines a tombstone exempts have none.
+    """
+    documents = written(documents.select("path", "doc"))
+    events = written(events.select(
+        "ordinal", "module", "event_type", "step_id", "round_id", "note", "ts_text", "time", "gate_codes", "warnings", "paths", "status", "m_level"
+    ))
+    rows = written(document_checks(documents, files))
+    reached = L.reached_levels(events)
+    plan = L.plan_state(steps, edges, reached)
+    none = F.lit(None).cast("string")
+
+    def found(df: DataFrame, area: Column, subject: Column, code: Column, severity: Column, detail: Column = none) -> DataFrame:
+        columns = {"area": area, "subject": subject, "code": code, "severity": severity, "detail": detail}
+        return df.select(*[c.cast("string").alias(n) for n, c in columns.items()])
+
+    col, warn, fail = F.col, F.lit(X.WARN), F.lit(X.FAIL)
+    codes = F.explode(F.split("codes", ",")).alias("code")
+    # a module whose events name no path has none of what it needs
+    observed = events.select("module", F.explode_outer(H.event_paths(col("paths"))).alias("path")).na.fill("", ["path"])
+    parts = [
+        found(rows.where(col("severity") != X.PASS), col("kind"), col("path"), col("label"), col("severity")),
+        found(E.without_exempted(E.schema_findings(events), events), F.lit("log"), col("ordinal"), col("code"), fail),
+        found(E.hygiene(events, now).where("codes <> ''").select("module", codes), F.lit("hygiene"), col("module"), col("code"), warn),
+        found(E.round_balance(events, now).where("end_missing"), F.lit("balance"), col("module"), F.lit("ROUND_END_MISSING"), warn),
+        found(E.blockers(events), F.lit("blocker"), none, col("code"), warn, col("n")),
+        found(X.unmet_dependencies(observed, ledger, ["module"]), F.lit("ledger"), col("module"), col("gate_code"), warn, col("consumer")),
+        found(L.lint(steps, edges), F.lit("lint"), col("step_id"), col("code"), fail, col("detail")),
+        found(plan.where("state = 'blocked'"), F.lit("plan"), col("step_id"), F.lit("STEP_BLOCKED"), warn, col("n_unmet")),
+    ]
+    findings = parts[0]
+    for p in parts[1:]:
+        findings = findings.unionByName(p)
+    return Audit(findings, X.roll_up(rows, ["path"]), E.new_records(E.registry_records(events), registry), plan)
