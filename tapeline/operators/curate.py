@@ -90,8 +90,16 @@ def attach_by_position(primary: DataFrame, secondary: DataFrame, cols: Sequence[
 
 
 def to_long(df: DataFrame, ids: Sequence[str], keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Wide survey rows to (ids, key, value) in one pass over the columns."""
-    return df.unpivot(list(ids), list(keys), "key", value)
+    """Wide survey rows to (ids, key, value) in one pass over the columns. The columns must be of one type.
+
+    A row is repeated per key and picks its column; unlike ``unpivot`` this leaves plans that Spark recognises as the
+    same, so what is counted from these rows is computed once however often it is used.
+    """
+    rows = df.withColumn("key", F.explode(F.array(*[F.lit(k) for k in keys])))
+    picked = None
+    for k in keys:
+        picked = F.when(F.col("key") == k, F.col(f"`{k}`")) if picked is None else picked.when(F.col("key") == k, F.col(f"`{k}`"))
+    return rows.select(*ids, "key", picked.alias(value))
 
 
 def repair(long: DataFrame, raw: str = "raw") -> DataFrame:

@@ -422,25 +422,20 @@ def shoulder_width(verts: DataFrame, joints: DataFrame) -> DataFrame:
     names = {f"q{i}": q for i, q in enumerate(CAP_QUANTILES)}
     cuts = exact_quantiles(pts, ["case_id", "side"], "score", names)
     above = pts.join(cuts, ["case_id", "side"])
+    # count and sums above every cut in one pass; which cut counts is known afterwards
+    past = {n: F.col("score") >= F.round(F.col(n), 12) for n in names}
     levels = above.groupBy("case_id", "side").agg(
-        *[F.count_if(F.col("score") >= F.round(F.col(n), 12)).alias(f"c{n}") for n in names],
-        *[F.first(F.round(F.col(n), 12)).alias(n) for n in names],
+        *[F.count_if(c).alias(f"c{n}") for n, c in past.items()],
+        *[F.sum(F.when(c, F.col(a))).alias(f"{a}{n}") for n, c in past.items() for a in "xyz"],
     )
-    chosen = F.col(list(names)[-1])
-    n_kept = F.col(f"c{list(names)[-1]}")
+    fields = lambda n: F.struct(F.col(f"c{n}").alias("n"), *[(F.col(f"{a}{n}") / F.col(f"c{n}")).alias(f"k{a}") for a in "xyz"])
+    chosen = fields(list(names)[-1])
     for n in reversed(list(names)):
-        chosen = F.when(F.col(f"c{n}") >= CAP_POINTS, F.col(n)).otherwise(chosen)
-        n_kept = F.when(F.col(f"c{n}") >= CAP_POINTS, F.col(f"c{n}")).otherwise(n_kept)
-    picked = levels.select("case_id", "side", chosen.alias("cut"), n_kept.alias("n_kept"))
+        chosen = F.when(F.col(f"c{n}") >= CAP_POINTS, fields(n)).otherwise(chosen)
+    picked = levels.select("case_id", "side", chosen.alias("b")).select("case_id", "side", F.col("b.n").alias("n_kept"), "b.kx", "b.ky", "b.kz")
     top = first_k(pts, ["case_id", "side"], [F.desc("score"), F.asc("vertex_id")], CAP_TOP, "_r")
     top = top.groupBy("case_id", "side").agg(*[F.avg(c).alias(f"t{c}") for c in "xyz"])
-    means = (
-        pts.join(picked, ["case_id", "side"])
-        .where(F.col("score") >= F.col("cut"))
-        .groupBy("case_id", "side")
-        .agg(*[F.avg(c).alias(f"k{c}") for c in "xyz"], F.max("n_kept").alias("n_kept"))
-        .join(top, ["case_id", "side"])
-    )
+    means = picked.join(top, ["case_id", "side"])
     mark = [F.when(F.col("n_kept") >= CAP_MIN, F.col(f"k{c}")).otherwise(F.col(f"t{c}")) for c in "xyz"]
     marks = means.select("case_id", "side", F.struct(*[m.alias(c) for m, c in zip(mark, "xyz")]).alias("m"))
     sides = marks.groupBy("case_id").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeline.functions import keys as K
 from tapeline.functions import numbers as N
-from tapeline.operators.scale import exact_quantiles, first_k, join_keys, order_stats, sample_text
+from tapeline.operators.scale import NULL_KEY, exact_quantiles, first_k, join_keys, order_stats, sample_text, stats_of_counts, value_counts
 from tapeline.operators.sets import containing
 
 # Sensor thresholds.
@@ -76,13 +76,15 @@ def completeness(long: DataFrame, value: str = "value") -> DataFrame:
 def scale_and_range(long: DataFrame, value: str = "value") -> DataFrame:
     """SCALE_SUSPECTED and RANGE_SUSPECTED findings on metre keys, with the order statistics."""
     metre = long.where(K.expected_unit(F.col("key")) == "m").withColumn("_v", N.finite(F.col(value)))
-    lo, hi = K.physical_range(F.col("key"))
-    outside = (
-        metre.withColumn("_out", (F.col("_v") < lo) | (F.col("_v") > hi))
-        .groupBy("source", "key")
-        .agg(F.count_if("_out").alias("out_of_range"))
+    counts = value_counts(metre, ["source", "key"], "_v")  # equal values once: both the order and the range need no more
+    lo, hi = K.physical_range(F.col("_k1"))
+    outside = counts.groupBy("_k0", "_k1").agg(
+        F.sum(F.when((F.col("_v") < lo) | (F.col("_v") > hi), F.col("_n")).otherwise(0)).alias("out_of_range")
+    )
+    back = lambda k, name: F.when(F.col(k) != NULL_KEY, F.col(k)).alias(name)
+    s = stats_of_counts(counts, SURVEY_PROBS).join(outside, ["_k0", "_k1"]).select(
+        back("_k0", "source"), back("_k1", "key"), *SURVEY_PROBS, "min_value", "max_value", "out_of_range"
     )
-    s = join_keys(order_stats(metre, ["source", "key"], "_v", SURVEY_PROBS), outside, ["source", "key"])
     found = s.where(F.col("p50").isNotNull()).withColumn(
         "reason",
         F.explode(
