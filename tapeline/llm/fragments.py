@@ -39,15 +39,21 @@ def ranges(points: list[int]) -> str:
 
 
 @cache
-def word_patterns() -> list[tuple[str, re.Pattern]]:
-    """(last character, pattern) for texts of characters up to that one, from the smallest. Words are contractions, runs of
-    letters, single numbers, and runs of anything else but white space."""
+def character_classes() -> list[tuple[str, str, str]]:
+    """(last character, letters, numbers): insides of character classes up to that character, from the smallest. The fewer
+    ranges a class has, the faster a pattern is."""
     kinds = [unicodedata.category(chr(point))[0] for point in range(sys.maxunicode + 1)]
-    out = []
-    for end in (0x7F, 0xFFFF, sys.maxunicode):  # the fewer ranges, the faster
-        letters, numbers = (ranges([p for p in range(end + 1) if kinds[p] == kind]) for kind in "LN")
-        out.append((chr(end), re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+")))
-    return out
+    return [(chr(end), *(ranges([p for p in range(end + 1) if kinds[p] == kind]) for kind in "LN")) for end in (0x7F, 0xFFFF, sys.maxunicode)]
+
+
+@cache
+def word_patterns() -> list[tuple[str, re.Pattern]]:
+    """(last character, pattern) for texts of characters up to that one. Words are contractions, runs of letters, single
+    numbers, and runs of anything else but white space."""
+    return [
+        (end, re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+"))
+        for end, letters, numbers in character_classes()
+    ]
 
 
 def unsettled(char: str) -> bool:

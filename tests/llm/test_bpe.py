@@ -30,6 +30,17 @@ def test_random_texts(encoding):
     assert codec.decode(got) == [t.encode() for t in texts]
 
 
+def test_every_character_beside_letters_and_spaces(encoding):
+    codec = Codec(FILE)
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    split = encoding._pat_str
+    import regex
+
+    want = regex.compile(split).findall
+    bad = [c for c in chars if codec.split(f"a{c}b1 {c}{c} {c}2  {c}") != want(f"a{c}b1 {c}{c} {c}2  {c}")]
+    assert not bad, bad[:20]
+
+
 def test_long_words_in_several_queries(encoding, monkeypatch):
     rng = np.random.default_rng(6)
     blob = base64.b64encode(rng.bytes(6000)).decode()
@@ -37,7 +48,19 @@ def test_long_words_in_several_queries(encoding, monkeypatch):
     monkeypatch.setattr(bpe, "STEP_ROWS", 100_000)
     codec = Codec(FILE)
     assert [np.frombuffer(x, "<i4").tolist() for x in codec.encode(texts)] == [encoding.encode_ordinary(t) for t in texts]
-    assert b"".join(codec.pieces(blob.encode())) == blob.encode() and len(codec.pieces(blob.encode())) > 100
+    parts, ends = codec.cut([blob.encode(), b"gate"])
+    assert b"".join(parts) == blob.encode() + b"gate" and len(parts) > 100 and ends[-1] == len(parts)
+
+
+def test_many_long_documents_of_distinct_words(encoding):
+    """A batch of words that were never seen goes through the queries by bytes, within the memory of the database."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (20_000, 10))) for _ in range(10)]
+    codec = Codec(FILE)
+    got = codec.encode(texts)
+    assert [np.frombuffer(x, "<i4").tolist() for x in got] == [encoding.encode_ordinary(t) for t in texts]
+    assert codec.decode(got) == [t.encode() for t in texts]
+    assert len(codec.words.young) <= bpe.KNOWN_WORDS + 200_000
 
 
 def test_every_document_against_the_library(spark, encoding):
