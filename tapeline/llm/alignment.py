@@ -17,7 +17,7 @@ from tapeline.llm import shared
 from tapeline.llm.fragments import Memory
 from tapeline.llm.packing import vocabulary
 
-KNOWN = 300_000  # fragments in the younger half of what a worker remembers
+KNOWN = 100_000  # fragments in the younger half of what a worker remembers
 LONG_FRAGMENT = 64  # characters from which a fragment is not remembered
 PAGE_CHARS = 250_000  # text of one row of the encoded table, or one longer document
 BLOCK_PAGES = 16  # pages whose pairs are counted together before they are shuffled
