@@ -183,9 +183,12 @@ def value_profile(
 ) -> DataFrame:
     """Min, max, mean and a few values over a seeded sample of rows per source.
 
-    The sample is the first ``n_rows`` rows by a hash of their id and the seed, the same on every run.
+    The sample is the first ``n_rows`` rows by the MD5 of the seed and the parts of their id, joined by commas: the same on
+    every run and on every engine.
     """
-    order = [F.xxhash64(F.lit(seed), *row_id), *[F.col(c) for c in row_id]]
+    many = {f.name for f in long.select(*row_id).schema.fields if f.dataType.typeName() == "array"}
+    parts = [F.col(c).cast("array<string>" if c in many else "string") for c in row_id]
+    order = [F.md5(F.concat_ws(",", F.lit(str(seed)), *parts).cast("binary")), *[F.col(c) for c in row_id]]
     picked = first_k(long.where(F.col("value").isNotNull()), keys, order, n_rows, "_s")
     head = F.array_sort(
         F.collect_list(F.when(F.col("_s") <= shown, F.struct("_s", F.col("value").alias("v"))))

@@ -398,11 +398,18 @@ def header_candidates(spark, sf):
     return S.header_candidates(profile, patterns).select("pattern", "name", "n_rows", "n_values")
 
 
-@query("value_profile", "A13")
+@query(
+    "value_profile", "A13",
+    with_sql(SURVEY_RAW, SURVEY_LONG, """
+dr AS (SELECT source, key, value, row_number() OVER (PARTITION BY source, key ORDER BY md5('42,' || array_to_string(row_idx, ',')), row_idx) AS s FROM survey_long WHERE value IS NOT NULL AND NOT isinf(value))""", """
+SELECT source, key, min(value) AS min_value, max(value) AS max_value, round(avg(value), 6) AS mean_value, count(*) AS n_valid,
+  string_agg(CAST(value AS VARCHAR), '|' ORDER BY s) FILTER (WHERE s <= 5) AS sample_values FROM dr WHERE s <= 20 GROUP BY 1, 2"""),
+)
 def value_profile(spark, sf):
     long = survey_long(spark, sf).where(~N.is_infinite(F.col("value")))
     out = S.value_profile(long, ["source", "key"], ["row_idx"])
-    return out.withColumn("sample_values", F.array_join(F.transform("sample_values", lambda v: v.cast("string")), "|"))
+    shown = F.array_join(F.transform("sample_values", lambda v: v.cast("string")), "|")
+    return out.withColumns({"sample_values": shown, "mean_value": F.round("mean_value", 6)})
 
 
 @query(

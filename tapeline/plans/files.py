@@ -213,8 +213,9 @@ SELECT standard_key, count(*) AS n, count(*) FILTER (WHERE value IS NULL OR k =
 )
 def safe_json(spark, sf):
     nan = F.when(F.col("k") == 50, F.lit(float("nan"))).otherwise(F.col("value"))
-    text = K.to_safe_json(results(spark, sf).select("standard_key", nan.alias("value")))
-    back = text.select(F.from_json("value", "standard_key string, value double").alias("r"), F.get_json_object("value", "$.value").alias("raw"))
+    where = scratch(spark)
+    K.write_safe_json(results(spark, sf).select("standard_key", nan.alias("value")), where)
+    back = spark.read.text(where).select(F.from_json("value", "standard_key string, value double").alias("r"), F.get_json_object("value", "$.value").alias("raw"))
     return back.groupBy("r.standard_key").agg(F.count("*").alias("n"), F.count_if(F.col("raw").isNull()).alias("n_null"))
 
 

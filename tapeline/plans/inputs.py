@@ -282,8 +282,9 @@ RESIDUALS = """residuals AS (
 scored AS (SELECT *, greatest(0, least(100, 100 - (abs(b) * 100 + abs(w) * 100 + coalesce(abs(h) * 100, 0)))) AS score FROM residuals)"""
 
 
-# The same text runs on Spark and as the comparison SQL: a progress log derived from ``events``.
-PROGRESS_SELECT = """SELECT event_id AS ordinal, ts, k,
+# The comparison SQL of a progress log derived from ``events``.
+PROGRESS = """progress AS (
+  SELECT event_id AS ordinal, ts, k,
     CASE user_id % 3 WHEN 0 THEN 'body' WHEN 1 THEN 'fitting' ELSE 'garment' END AS module,
     CASE event_type WHEN 'click' THEN 'round_start' WHEN 'signup' THEN 'round_end' ELSE event_type END AS event_type,
     CASE WHEN k < 8 THEN 'UNSPECIFIED' WHEN k >= 12 THEN 'S' || CAST(user_id % 20 AS STRING) END AS step_id,
@@ -299,15 +300,36 @@ PROGRESS_SELECT = """SELECT event_id AS ordinal, ts, k,
     CASE WHEN k % 4 = 3 THEN '' ELSE 'exports/runs/lane' || CAST(user_id % 4 AS STRING) || '/run_' || substr(CAST(ts AS STRING), 9, 2) || '/'
       || CASE k % 4 WHEN 0 THEN 'geometry_manifest.json:12' WHEN 1 THEN 'facts_summary.json' ELSE 'RUN_README.md' END END AS path1,
     CASE WHEN k % 6 = 0 THEN 'exports/runs/other/run_x/geometry_manifest.json' ELSE 'docs' || chr(92) || 'note.md' END AS path2
-  FROM (SELECT *, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT) AS k FROM events)"""
-PROGRESS = "progress AS (\n  " + PROGRESS_SELECT + "\n)"
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT) AS k FROM events)
+)"""
 
 
 def progress(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
-    p = spark.sql(PROGRESS_SELECT.replace("FROM events)", "FROM {events})"), events=events)
+    """A progress log from ``events``: the user decides module, step, lane and run, ``k`` of the properties everything else."""
     from tapeline.functions.times import event_time
 
+    e = table(spark, sf, "events").withColumn("k", F.regexp_extract("props", r'"k": ([0-9]+)', 1).cast("int"))
+    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
+    ts, text = F.col("ts").cast("string"), lambda c: c.cast("string")
+    day = F.substring(ts, 9, 2)
+    stamp = F.concat(F.substring(ts, 1, 10), F.lit("T"), F.substring(ts, 12, 8), F.when(k % 2 == 0, "Z").otherwise("+09:00"))
+    name = F.when(k % 4 == 0, "geometry_manifest.json:12").when(k % 4 == 1, "facts_summary.json").otherwise("RUN_README.md")
+    p = e.select(
+        F.col("event_id").alias("ordinal"), "ts", "k",
+        F.when(user % 3 == 0, "body").when(user % 3 == 1, "fitting").otherwise("garment").alias("module"),
+        F.when(kind == "click", "round_start").when(kind == "signup", "round_end").otherwise(kind).alias("event_type"),
+        F.when(k < 8, "UNSPECIFIED").when(k >= 12, F.concat(F.lit("S"), text(user % 20))).alias("step_id"),
+        F.when(k % 5 == 0, " ").otherwise(F.concat(F.lit("R"), day)).alias("round_id"),
+        F.when(k < 70, "short").when(k == 88, F.concat(F.lit("referenced_line="), text(user), F.lit("/"), text(F.col("event_id") - 5)))
+        .otherwise(F.concat(F.lit("a longer note, k="), text(k))).alias("note"),
+        F.when(k == 97, "not-a-time").otherwise(stamp).alias("ts_text"),
+        F.when(k < 20, '"STEP_ID_MISSING"').when(k < 30, '["STEP_ID_BACKFILLED","EXTRA"]').when(k < 40, "[]")
+        .when(k == 88, '["SCHEMA_VIOLATION_BACKFILLED"]').alias("gate_codes"),
+        F.when(k.between(40, 45), "[EVENT_THIN] few words").when(k.between(46, 50), "plain text").otherwise("").alias("warning"),
+        (k % 3).alias("dod_done_delta"), F.when(k % 7 != 0, k % 4 + 5).alias("dod_total"),
+        F.when(k % 4 == 3, "").otherwise(F.concat(F.lit("exports/runs/lane"), text(user % 4), F.lit("/run_"), day, F.lit("/"), name)).alias("path1"),
+        F.when(k % 6 == 0, "exports/runs/other/run_x/geometry_manifest.json").otherwise("docs\\note.md").alias("path2"),
+    )
     return p.withColumns(
         {
             "warnings": F.filter(F.array("warning"), lambda w: w != ""),

@@ -11,6 +11,20 @@ from tapeline.plans.inputs import (
 )
 from tapeline.plans.registry import query, table
 
+# The bands the comparison SQL goes by, written out from the contract and not taken from the operators.
+CIRC_SQL = sql_bands({
+    "NECK_CIRC_M": (0.75, 0.90, "median", "high"), "BUST_CIRC_M": (0.40, 0.70, "max", "low"), "UNDERBUST_CIRC_M": (0.30, 0.60, "median", "high"),
+    "WAIST_CIRC_M": (0.42, 0.66, "median", "high"), "HIP_CIRC_M": (0.48, 0.78, "max", "low"), "THIGH_CIRC_M": (0.20, 0.40, "max", "low"),
+    "MIN_CALF_CIRC_M": (0.05, 0.20, "min", "high"),
+})
+GROUP_SQL = sql_bands({"WAIST_GROUP": (0.42, 0.66, "min", "high"), "HIP_GROUP": (0.48, 0.78, "max", "low")})
+HIP_SQL = sql_bands({
+    "A": (0.50, 0.80, "max", "low"), "B": (0.48, 0.78, "max", "low"), "C": (0.50, 0.78, "max", "low"), "D": (0.52, 0.80, "max", "low"),
+    "E": (0.46, 0.76, "max", "low"), "B_high": (0.48, 0.78, "max", "high"),
+})
+ORDERED_BANDS_SQL = sql_bands({"BUST": (0.30, 0.60, "max", "first"), "WAIST": (0.40, 0.70, "min", "first"), "HIP": (0.50, 0.80, "max", "first")})
+UNDERBUST_SQL = sql_bands({"UNDERBUST": (0.30, 0.60, "median", "first"), "BUST": (0.40, 0.70, "max", "first")})
+WAIST_SQL = sql_bands({"WAIST_CIRC_M": (0.42, 0.66, "median", "high")})
 HULLS = sql_hull("sp", "case_id, key, slice")
 ORDER_BLOCK = 50_000  # orders whose lines form a chunk of vertices
 
@@ -164,7 +178,7 @@ def slice_tolerance(spark, sf):
 
 @query(
     "band_join_slices", "JN5",
-    with_sql(CLOUD, BOXES, sql_bands(L.CIRC_BANDS), sql_slices(), """
+    with_sql(CLOUD, BOXES, CIRC_SQL, sql_slices(), """
 SELECT case_id, key, slice, round(min(y_slice), 6) AS y_slice, count(*) AS n_points FROM sp GROUP BY 1, 2, 3"""),
 )
 def band_join_slices(spark, sf):
@@ -175,7 +189,7 @@ def band_join_slices(spark, sf):
 
 @query(
     "hull_perimeter", "G1",
-    with_sql(CLOUD, BOXES, sql_bands(L.CIRC_BANDS), sql_slices(), HULLS, SLICE_ROWS, """
+    with_sql(CLOUD, BOXES, CIRC_SQL, sql_slices(), HULLS, SLICE_ROWS, """
 SELECT case_id, key, slice, n_points, round(h.perimeter_m, 6) AS perimeter_m, round(h.area_m2, 6) AS area_m2,
   round(width_m, 6) AS width_m, round(depth_m, 6) AS depth_m
 FROM cnt JOIN hulls h USING (case_id, key, slice) WHERE nd >= 3"""),
@@ -190,7 +204,7 @@ def hull_perimeter(spark, sf):
 
 @query(
     "circumference_select", "G2",
-    with_sql(CLOUD, BOXES, sql_bands(L.CIRC_BANDS), sql_slices(), HULLS, SLICE_ROWS, PICKED, """
+    with_sql(CLOUD, BOXES, CIRC_SQL, sql_slices(), HULLS, SLICE_ROWS, PICKED, """
 SELECT case_id, key, slice, round(y_slice, 6) AS y_slice, round(p, 6) AS perimeter_m, n_candidates FROM picked"""),
 )
 def circumference_select(spark, sf):
@@ -201,7 +215,7 @@ def circumference_select(spark, sf):
 
 @query(
     "measurement_outcomes", "G10",
-    with_sql(CLOUD, BOXES, sql_bands(L.CIRC_BANDS), sql_slices(), HULLS, SLICE_ROWS, PICKED, """
+    with_sql(CLOUD, BOXES, CIRC_SQL, sql_slices(), HULLS, SLICE_ROWS, PICKED, """
 SELECT b.case_id, k.key AS standard_key, round(p, 6) AS value, coalesce(n_candidates, 0) AS n_candidates,
   CASE WHEN p IS NULL THEN 'EMPTY_CANDIDATES' WHEN k.key = 'MIN_CALF_CIRC_M' THEN 'MIN_SEARCH_USED' ELSE '' END AS code
 FROM boxes b CROSS JOIN bands k LEFT JOIN picked ON picked.case_id = b.case_id AND picked.key = k.key"""),
@@ -216,7 +230,7 @@ def measurement_outcomes(spark, sf):
 
 @query(
     "shared_slice_groups", "G3",
-    with_sql(CLOUD, BOXES, sql_bands(L.GROUP_BANDS), sql_slices(), HULLS, SLICE_ROWS, PICKED, """
+    with_sql(CLOUD, BOXES, GROUP_SQL, sql_slices(), HULLS, SLICE_ROWS, PICKED, """
 SELECT case_id, slice, replace(key, '_GROUP', '') || '_' || n || '_M' AS standard_key,
   round(CASE n WHEN 'CIRC' THEN p WHEN 'WIDTH' THEN width_m ELSE depth_m END, 6) AS value_m
 FROM picked, (VALUES ('CIRC'), ('WIDTH'), ('DEPTH')) t(n)"""),
@@ -228,7 +242,7 @@ def shared_slice_groups(spark, sf):
 
 @query(
     "hip_band_sweep", "G5",
-    with_sql(CLOUD, BOXES, sql_bands(L.HIP_CONFIGS), sql_slices(), HULLS, SLICE_ROWS, PICKED, """
+    with_sql(CLOUD, BOXES, HIP_SQL, sql_slices(), HULLS, SLICE_ROWS, PICKED, """
 SELECT case_id, key AS config, slice, round(p, 6) AS perimeter_m FROM picked"""),
 )
 def hip_band_sweep(spark, sf):
@@ -278,7 +292,7 @@ def _order_chunk():
 
 @query(
     "ordered_perimeter", "G4",
-    with_sql(CLOUD, BOXES, sql_bands(L.ORDERED_BANDS), sql_slices(adaptive=False), ORDERED_SQL, PICKED, """
+    with_sql(CLOUD, BOXES, ORDERED_BANDS_SQL, sql_slices(adaptive=False), ORDERED_SQL, PICKED, """
 SELECT case_id, key, slice, n_points, round(perimeter_m, 6) AS perimeter_m, 'y:' || slice || ':' || format('{:.6f}', y_slice) AS section_id,
   coalesce(CASE WHEN perimeter_m < 0.1 THEN 'PERIMETER_SMALL' WHEN perimeter_m > 3 THEN 'PERIMETER_LARGE' END, '') AS code FROM picked"""),
 )
@@ -290,7 +304,7 @@ def ordered_perimeter(spark, sf):
 
 @query(
     "bust_underbust", "G4",
-    with_sql(CLOUD, BOXES, sql_bands(L.BUST_UNDERBUST_BANDS), sql_slices(adaptive=False), ORDERED_SQL, PICKED, """
+    with_sql(CLOUD, BOXES, UNDERBUST_SQL, sql_slices(adaptive=False), ORDERED_SQL, PICKED, """
 SELECT case_id, key, slice, round(perimeter_m, 6) AS perimeter_m FROM picked"""),
 )
 def bust_underbust(spark, sf):
@@ -300,7 +314,7 @@ def bust_underbust(spark, sf):
 
 @query(
     "loop_quality", "G8",
-    with_sql(CLOUD, BOXES, sql_bands(L.ORDERED_BANDS), sql_slices(adaptive=False), ORDERED_SQL, """
+    with_sql(CLOUD, BOXES, ORDERED_BANDS_SQL, sql_slices(adaptive=False), ORDERED_SQL, """
 SELECT case_id, key, slice, round(area_m2, 6) AS area_m2, CASE WHEN area_m2 > 1e-10 THEN round(perimeter_m * perimeter_m / area_m2, 2) END AS shape_ratio,
   CASE WHEN area_m2 < 1e-10 THEN 'EMPTY' ELSE 'VALID' END AS validity FROM st"""),
 )
@@ -322,7 +336,7 @@ pp AS (SELECT dd.*, lb.part FROM dd JOIN lb USING (case_id, key, slice, u, v))""
 
 @query(
     "slice_parts", "G7",
-    with_sql(CLOUD, BOXES, sql_bands(WAIST_ONLY), sql_slices(), PARTS_SQL, sql_hull("pp", "case_id, key, slice, part", out="ph"), """
+    with_sql(CLOUD, BOXES, WAIST_SQL, sql_slices(), PARTS_SQL, sql_hull("pp", "case_id, key, slice, part", out="ph"), """
 SELECT case_id, slice, t.n_points, round(CASE WHEN nd >= 3 THEN ph.area_m2 ELSE 0 END, 6) AS area_m2,
   round(CASE WHEN nd >= 3 THEN ph.perimeter_m END, 6) AS perimeter_m, round(cx, 6) AS centre_x, round(cz, 6) AS centre_z
 FROM (SELECT case_id, key, slice, part, CAST(sum(n) AS BIGINT) AS n_points, count(*) AS nd, sum(sx) / sum(n) AS cx, sum(sz) / sum(n) AS cz FROM pp GROUP BY 1, 2, 3, 4) t
@@ -347,7 +361,7 @@ rk AS (SELECT *, min(d) OVER (PARTITION BY case_id, key, slice) AS first,
 
 @query(
     "torso_part", "G7",
-    with_sql(CLOUD, BOXES, sql_bands(WAIST_ONLY), sql_slices(), PARTS_SQL, sql_hull("pp", "case_id, key, slice, part", out="ph"), TORSO_SQL, """
+    with_sql(CLOUD, BOXES, WAIST_SQL, sql_slices(), PARTS_SQL, sql_hull("pp", "case_id, key, slice, part", out="ph"), TORSO_SQL, """
 SELECT case_id, slice, count(*) AS n_parts, any_value(n_points) FILTER (WHERE rn = 1) AS n_points, round(any_value(area) FILTER (WHERE rn = 1), 6) AS area_m2,
   round(any_value(perimeter) FILTER (WHERE rn = 1), 6) AS perimeter_m, count(*) FILTER (WHERE d = first) > 1 AS tie_used, round(quantile_cont(area, 0.5), 6) AS area_p50,
   string_agg(format('{:.6f}', area), '|' ORDER BY big) FILTER (WHERE big <= 3) AS area_top3

@@ -11,7 +11,7 @@ from tapeline.operators import plan as L
 from tapeline.operators import sensors as S
 from tapeline.operators import sets
 from tapeline.plans import catalogue, inputs, runs
-from tapeline.sources import survey
+from tapeline.sources import records, sinks, survey
 from tapeline.streaming import jobs as J
 
 SF = "/root/testdata/sf0.001"
@@ -163,6 +163,28 @@ def test_assignments_rest_on_converged_centroids(spark, monkeypatch):
     assert catalogue.QUERIES["kmeans_library"](spark, SF).count() <= k
 
 
+def test_library_clusters_hold_all_rows_and_cost_no_more(spark):
+    """The fit of Spark's own k-means against the converged Lloyd rounds on the same rows."""
+    rng = np.random.default_rng(12)
+    points = np.vstack([rng.normal(m, 0.05, (40, 2)) for m in ((0, 0), (1, 1), (0, 1), (2, 0))])
+    d = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "id long, x double, y double")
+    centres = K.library_kmeans(d, ["x", "y"], 4)
+    sizes = [r["count"] for r in K.assign(d, ["x", "y"], centres).groupBy("cluster").count().collect()]
+    assert sum(sizes) == 160 and len(sizes) == 4
+    cost = lambda c: ((points[:, None, :] - np.asarray(c)[None]) ** 2).sum(2).min(1).sum()
+    assert cost(centres) <= cost(K.lloyd(d, ["x", "y"], 4, ["id"])) * 1.01 + 1e-9
+
+
+def test_case_manifest_head_events_and_json_without_nan(spark, tmp_path):
+    (tmp_path / "cases.json").write_text('{"schema_version":"v1","meta_unit":"m","cases":[{"case_id":"c1","mesh_path":"a.obj"},{"case_id":"c2","mesh_path":null,"verts_path":"v.npz"}]}')
+    got = [tuple(r) for r in records.read_cases(spark, str(tmp_path / "cases.json")).orderBy("case_id").collect()]
+    assert got == [("m", "c1", "a.obj", None), ("m", "c2", None, "v.npz")]
+    events = spark.createDataFrame([("f", i) for i in range(9, 0, -1)] + [("g", 5)], "file string, ordinal long")
+    assert sorted(tuple(r) for r in records.head_events(events, 2).collect()) == [("f", 1), ("f", 2), ("g", 5)]
+    sinks.write_safe_json(spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 0.5)], "id long, v double"), str(tmp_path / "out"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ['{"id":1,"v":null}', '{"id":2,"v":null}', '{"id":3,"v":0.5}']
+
+
 def test_all_warnings_are_ordered_by_code_and_place(spark):
     want = [
         ("[A_1] z | path=N/A", "A_1", "N/A"), ("[A_1] no place", "A_1", "[A_1] no place"), ("[A_1] a | expected= b/c ", "A_1", "b/c"),
